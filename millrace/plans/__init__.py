@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-THEMES = ("etl", "markdown")
+THEMES = ("etl", "markdown", "trust", "streams")
 
 
 def _merged(attribute: str) -> dict:

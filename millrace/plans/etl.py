@@ -62,7 +62,7 @@ def s5_roundtrip_orc(spark, sf_dir):
 
 def s6_read_json(spark, sf_dir):
     path = scratch_dir(spark, "events-json")
-    table(spark, sf_dir, "events").write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+    table(spark, sf_dir, "events").write.options(**tabular.MICROS).json(path)
     rows = tabular.read_json(spark, path, EVENTS_DDL)
     return rows.select("event_id", F.date_format("ts", TS_TEXT).alias("ts"), "user_id", "event_type", "value", "props")
 
@@ -240,8 +240,8 @@ cut AS (SELECT regexp_extract(line, '^(\S+) \S+ \S+ \[([^\]]+)\] "([A-Z]+) (\S+)
 parsed AS (SELECT CASE WHEN NOT bad THEN f.ip END AS ip, CASE WHEN NOT bad THEN
     strftime(strptime(f.ts, '%d/%b/%Y:%H:%M:%S +0000'), '%Y-%m-%d %H:%M:%S') END AS ts,
   CASE WHEN NOT bad THEN f.method END AS method, CASE WHEN NOT bad THEN f.path END AS path,
-  CASE WHEN NOT bad THEN CAST(f.status AS INTEGER) END AS status,
-  CASE WHEN NOT bad AND f.bytes <> '-' THEN CAST(f.bytes AS BIGINT) END AS bytes, CAST(bad AS INTEGER) AS malformed FROM cut)"""
+  TRY_CAST(f.status AS INTEGER) AS status,
+  TRY_CAST(f.bytes AS BIGINT) AS bytes, CAST(bad AS INTEGER) AS malformed FROM cut)"""
 
 _D2 = "DECIMAL(18,2)"
 

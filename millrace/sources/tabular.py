@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
 CORRUPT = "_corrupt_record"
+# JSON text drops below milliseconds unless told otherwise.
+MICROS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def _schema(schema: S.StructType | str) -> S.StructType:
@@ -74,7 +79,7 @@ def to_envelope(rows: DataFrame, topic: str, key: Column, partition: Column, off
     """Rows as message-bus records, the shape that decode_envelope reads."""
     return rows.select(
         key.cast("string").cast("binary").alias("key"),
-        F.to_json(F.struct(*rows.columns)).cast("binary").alias("value"),
+        F.to_json(F.struct(*rows.columns), MICROS).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         partition.cast("int").alias("partition"),
         offset.cast("long").alias("offset"),
