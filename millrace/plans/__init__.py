@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-THEMES = ("etl", "markdown", "trust", "streams")
+THEMES = ("etl", "markdown", "trust", "streams", "learning")
 
 
 def _merged(attribute: str) -> dict:

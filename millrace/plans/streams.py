@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.session import scratch_dir, table
+from millrace.session import scratch_dir, setting, table
 from millrace.streaming import jobs
 
 FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -41,7 +41,8 @@ def t2_sliding_sums(spark, sf_dir):
 
 
 def t3_sessions(spark, sf_dir):
-    result, _ = _drain(spark, sf_dir, lambda s: jobs.sessions(s, "ts", "user_id", "2 hours", "1 hour"), "sessions")
+    with setting(spark, jobs.LOCAL_SESSIONS_CONF, "true"):
+        result, _ = _drain(spark, sf_dir, lambda s: jobs.sessions(s, "ts", "user_id", "2 hours", "1 hour"), "sessions")
     return result.select(
         "user_id", F.date_format("start", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("start"), F.date_format("end", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("end"), "n"
     )
@@ -75,13 +76,9 @@ def t5_late_rows(spark, sf_dir):
 
 def t6_running_counts(spark, sf_dir):
     out, checkpoint = scratch_dir(spark, "counts-out"), scratch_dir(spark, "counts-checkpoint")
-    before = spark.conf.get(jobs.STATE_STORE_CONF)
-    spark.conf.set(jobs.STATE_STORE_CONF, jobs.ROCKSDB)
-    try:
+    with setting(spark, jobs.STATE_STORE_CONF, jobs.ROCKSDB):
         stream = jobs.stream_files(spark, _source(sf_dir), _schema(spark, sf_dir))
         jobs.run_available(jobs.running_counts(stream, "user_id"), out, checkpoint, "update")
-    finally:
-        spark.conf.set(jobs.STATE_STORE_CONF, before)
     lanes = jobs.latest(spark.read.parquet(out), ["key", "lane"], "n")
     return lanes.groupBy(F.col("key").alias("user_id")).agg(F.sum("n").alias("n"))
 

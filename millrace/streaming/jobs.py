@@ -42,10 +42,13 @@ def sliding_sums(stream: DataFrame, ts: str, value: str, length: str, step: str,
     return grouped.agg(total, F.count("*").alias("n")).select(F.col("window.start").alias("start"), "total", "n")
 
 
+LOCAL_SESSIONS_CONF = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
+
 def sessions(stream: DataFrame, ts: str, key: str, gap: str, delay: str) -> DataFrame:
     """Runs of a key's events with no pause of `gap` or longer.
 
-    With RECOMMENDED_CONF the rows of a key are merged to partial sessions in
+    With LOCAL_SESSIONS_CONF on, the rows of a key are merged to partial sessions in
     each task before the shuffle, so a busy key sends sessions and not rows.
     """
     grouped = with_event_time(stream, ts, delay).groupBy(F.session_window(ts, gap), key)
