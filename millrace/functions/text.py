@@ -20,14 +20,11 @@ LINE_ENDS = r"\n\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
 BLANKS = r"\t\r\x1f\x20\xa0\u1680\u2000-\u200a\u202f\u205f\u3000"
 SPACES = LINE_ENDS + BLANKS
 
-_LINE_START = f"(?<![^{LINE_ENDS}])"
-_REST_OF_LINE = f"[{BLANKS}]*(?:[{LINE_ENDS}]|\\z)"
-FENCE_OPEN = f"{_LINE_START}[{BLANKS}]*```(?i:{'|'.join(SHELL_LANGUAGES)}){_REST_OF_LINE}"
-FENCE_CLOSE = f"{_LINE_START}[{BLANKS}]*```{_REST_OF_LINE}"
-# One whole block. An unclosed one runs to the end of the text, and fences of
-# other languages are ordinary text. The lazy single-character loop is
-# iterative in the JVM, so long blocks do not deepen the stack.
-SHELL_BLOCK = f"{FENCE_OPEN}[\\s\\S]*?(?:{FENCE_CLOSE}|\\z)"
+# The same white space as characters, for the trim functions.
+SPACE_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+FENCE = "```"
+SHELL_FENCE = f"\\A[{SPACES}]*{FENCE}(?i:{'|'.join(SHELL_LANGUAGES)})[{SPACES}]*\\z"
 
 
 def normalize_newlines(text: Column) -> Column:
@@ -35,20 +32,67 @@ def normalize_newlines(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^[{SPACES}]+|[{SPACES}]+\\z", "")
+    return F.trim(text, F.lit(SPACE_CHARS))
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, f"[{SPACES}]+\\z", "")
+    return F.rtrim(text, F.lit(SPACE_CHARS))
 
 
 def is_blank(text: Column) -> Column:
-    return text.rlike(f"\\A[{SPACES}]*\\z")
+    return F.ltrim(text, F.lit(SPACE_CHARS)) == ""
 
 
 def split_lines(text: Column) -> Column:
-    """Lines with their terminators, so that joining them gives the text back."""
-    return F.filter(F.split(text, f"(?<=[{LINE_ENDS}])", -1), lambda line: line != "")
+    """Lines with their terminators, so that joining them gives the text back.
+
+    A mark is put behind each terminator and the text cut at the marks, which is
+    many times faster than matching lines; a text that holds the mark itself is matched.
+    """
+    mark = "\x00"
+    cut = F.filter(F.split(F.regexp_replace(text, f"[{LINE_ENDS}]", f"$0{mark}"), mark, -1), lambda line: line != "")
+    matched = F.regexp_extract_all(text, F.lit(f"[^{LINE_ENDS}]*+[{LINE_ENDS}]|[^{LINE_ENDS}]++"), F.lit(0))
+    return F.when(F.contains(text, F.lit(mark)), matched).otherwise(cut)
+
+
+def is_fence_close(line: Column) -> Column:
+    return strip(line) == FENCE
+
+
+def shell_blocks(lines: Column) -> Column:
+    """Where the shell blocks of a text stand: structs (opening, closing) of line numbers from 0.
+
+    An unclosed block has the number of lines as its closing. Fences of other
+    languages are ordinary lines. Only lines that could be a fence are folded.
+    """
+    kind = lambda line: F.when(
+        F.contains(line, F.lit(FENCE)), F.when(line.rlike(SHELL_FENCE), "open").when(is_fence_close(line), "close")
+    )
+    marks = F.filter(
+        F.transform(lines, lambda line, i: F.struct(i.alias("at"), kind(line).alias("kind"))), lambda m: m["kind"].isNotNull()
+    )
+    none = F.array().cast("array<struct<opening:int,closing:int>>")
+
+    def state(opening: Column, found: Column) -> Column:
+        return F.struct(opening.cast("int").alias("opening"), found.alias("found"))
+
+    def extended(acc: Column, closing: Column) -> Column:
+        return F.concat(acc["found"], F.array(F.struct(acc["opening"].alias("opening"), closing.alias("closing"))))
+
+    def step(acc: Column, mark: Column) -> Column:
+        outside = acc["opening"] < 0
+        return (
+            F.when(outside & (mark["kind"] == "open"), state(mark["at"], acc["found"]))
+            .when(~outside & (mark["kind"] == "close"), state(F.lit(-1), extended(acc, mark["at"])))
+            .otherwise(acc)
+        )
+
+    return F.aggregate(
+        marks,
+        state(F.lit(-1), none),
+        step,
+        lambda acc: F.when(acc["opening"] < 0, acc["found"]).otherwise(extended(acc, F.size(lines))),
+    )
 
 
 def strip_anchor(url: Column) -> Column:
@@ -91,7 +135,8 @@ def has_part(path: Column, names: Sequence[str]) -> Column:
 
 def is_comment_line(line: Column) -> Column:
     """A full-line shell comment; a `#!` line is not one."""
-    return line.rlike(f"\\A[{SPACES}]*#(?!!)")
+    start = F.ltrim(line, F.lit(SPACE_CHARS))
+    return F.startswith(start, F.lit("#")) & ~F.startswith(start, F.lit("#!"))
 
 
 def strip_inline_comment(line: Column) -> Column:
@@ -100,9 +145,10 @@ def strip_inline_comment(line: Column) -> Column:
     The line keeps its terminator only when nothing is cut; a cut line always
     ends in a newline. Quotes are not looked at.
     """
-    body = F.regexp_replace(line, r"\n+\z", "")
+    body = F.rtrim(line, F.lit("\n"))
     cut = rstrip(F.regexp_replace(body, f"[{SPACES}]{{2,}}#[^\\n]*\\z", ""))
-    return F.when(line.rlike(f"[{SPACES}]{{2,}}#[{SPACES}]"), F.concat(cut, F.lit("\n"))).otherwise(line)
+    found = F.contains(line, F.lit("#")) & line.rlike(f"[{SPACES}]{{2,}}#[{SPACES}]")
+    return F.when(found, F.concat(cut, F.lit("\n"))).otherwise(line)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -19,27 +19,26 @@ def once(df: DataFrame, *columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*columns))))
 
 
-def _is_close(line: Column) -> Column:
-    return T.strip(line) == "```"
+def _located(docs: DataFrame) -> DataFrame:
+    """(path, value) with the lines of the text and the places of its shell blocks."""
+    lines = once(docs.select("path", "value"), T.split_lines(F.col("value")).alias("lines"))
+    return once(lines, T.shell_blocks(F.col("lines")).alias("blocks"))
 
 
-def _block_parts(block: Column) -> Column:
-    """A block as struct(opening, body, closing); closing is empty when the text ends first."""
+def _part(start: Column, end: Column) -> Column:
+    """Lines from start up to, not including, end."""
+    return F.slice("lines", start + 1, F.greatest(end - start, F.lit(0)))
 
-    def cut(lines: Column) -> Column:
-        closed = (F.size(lines) > 1) & _is_close(F.element_at(lines, -1))
-        return F.struct(
-            F.get(lines, 0).alias("opening"),
-            F.slice(lines, F.lit(2), F.size(lines) - F.when(closed, 2).otherwise(1)).alias("body"),
-            F.when(closed, F.element_at(lines, -1)).otherwise("").alias("closing"),
-        )
 
-    return T.let(T.split_lines(block), cut)
+def _outer_parts() -> Column:
+    """Bounds of the text around the block bodies, fences included: one more than there are blocks."""
+    starts = F.concat(F.array(F.lit(0)), F.transform("blocks", lambda b: b["closing"]))
+    ends = F.concat(F.transform("blocks", lambda b: b["opening"] + 1), F.array(F.size("lines")))
+    return F.arrays_zip(starts.alias("start"), ends.alias("end"))
 
 
-def shell_blocks(text: Column) -> Column:
-    """All shell blocks of a text, in order."""
-    return F.transform(F.regexp_extract_all(text, F.lit(T.SHELL_BLOCK), F.lit(0)), _block_parts)
+def _body(block: Column) -> Column:
+    return _part(block["opening"] + 1, block["closing"])
 
 
 def mark_fences(docs: DataFrame) -> DataFrame:
@@ -48,41 +47,35 @@ def mark_fences(docs: DataFrame) -> DataFrame:
     `role` is open, body or close inside a shell block and text elsewhere;
     `block_id` numbers the blocks of a file from 1 and is null outside.
     """
+    n_blocks = F.size("blocks")
 
-    def plain(line: Column) -> Column:
-        return F.struct(line.alias("line"), F.lit("text").alias("role"), F.lit(None).cast("int").alias("block_id"))
+    def item(line: Column, pos: Column, role: Column, block: Column) -> Column:
+        return F.struct(pos.alias("pos"), line.alias("line"), role.alias("role"), block.cast("int").alias("block_id"))
 
-    def inside(lines: Column, number: Column) -> Column:
-        last = F.size(lines) - 1
+    def outer(part: Column, k: Column) -> Column:
+        closing = lambda i: (i == 0) & (k > 0)
+        opening = lambda i: (i == part["end"] - part["start"] - 1) & (k < n_blocks)
         return F.transform(
-            lines,
-            lambda line, i: F.struct(
-                line.alias("line"),
-                F.when(i == 0, "open").when((i == last) & _is_close(line), "close").otherwise("body").alias("role"),
-                number.cast("int").alias("block_id"),
+            _part(part["start"], part["end"]),
+            lambda line, i: item(
+                line,
+                part["start"] + i,
+                F.when(closing(i), "close").when(opening(i), "open").otherwise("text"),
+                F.when(closing(i), k).when(opening(i), k + 1),
             ),
         )
 
-    pieces = F.arrays_zip(
-        F.split("value", T.SHELL_BLOCK, -1).alias("outer"),
-        F.regexp_extract_all("value", F.lit(T.SHELL_BLOCK), F.lit(0)).alias("block"),
-    )
-    lines = F.flatten(
-        F.transform(
-            pieces,
-            lambda piece, i: F.concat(
-                F.transform(T.split_lines(piece["outer"]), plain),
-                T.let(T.split_lines(F.coalesce(piece["block"], F.lit(""))), lambda ls: inside(ls, i + 1)),
-            ),
-        )
-    )
-    return docs.select("path", F.posexplode(lines).alias("pos", "item")).select("path", "pos", "item.*")
+    def inner(block: Column, k: Column) -> Column:
+        return F.transform(_body(block), lambda line, i: item(line, block["opening"] + 1 + i, F.lit("body"), k + 1))
+
+    items = F.flatten(F.concat(F.transform(_outer_parts(), outer), F.transform("blocks", inner)))
+    return _located(docs).select("path", F.inline(items)).select("path", "pos", "line", "role", "block_id")
 
 
 def block_bodies(docs: DataFrame) -> DataFrame:
     """(path, value) to one row per shell block: (path, block_id, body) with body an array of lines."""
-    return docs.select("path", F.posexplode(shell_blocks(F.col("value"))).alias("n", "block")).select(
-        "path", (F.col("n") + 1).alias("block_id"), F.col("block.body").alias("body")
+    return _located(docs).select("path", F.posexplode(F.transform("blocks", _body)).alias("n", "body")).select(
+        "path", (F.col("n") + 1).alias("block_id"), "body"
     )
 
 
@@ -95,19 +88,17 @@ def replace_literals(text: Column, pairs: Sequence[tuple[str, str]]) -> tuple[Co
     return text, hits
 
 
-def clean_block(block: Column) -> Column:
-    """A block of shell_blocks to struct(text, n_changes)."""
+def clean_body(body: Column) -> Column:
+    """The lines of a block to struct(text, n_changes)."""
 
     def rewrite(kept: Column) -> Column:
-        changed = F.size(F.filter(kept, lambda line: T.strip_inline_comment(line) != line))
+        changed = F.size(F.filter(kept, lambda line: F.contains(line, F.lit("#")) & (T.strip_inline_comment(line) != line)))
         return F.struct(
-            F.concat(
-                block["opening"], F.array_join(T.trim_block(T.collapse_blank_lines(kept)), ""), block["closing"]
-            ).alias("text"),
-            (F.size(block["body"]) - F.size(kept) + changed).cast("long").alias("n_changes"),
+            F.array_join(T.trim_block(T.collapse_blank_lines(kept)), "").alias("text"),
+            (F.size(body) - F.size(kept) + changed).cast("long").alias("n_changes"),
         )
 
-    return T.let(T.drop_comment_lines(block["body"]), rewrite)
+    return T.let(T.drop_comment_lines(body), rewrite)
 
 
 def clean_shell_blocks(docs: DataFrame, pairs: Sequence[tuple[str, str]] = ()) -> DataFrame:
@@ -117,15 +108,11 @@ def clean_shell_blocks(docs: DataFrame, pairs: Sequence[tuple[str, str]] = ()) -
     the whole text. A text with no counted change keeps its bytes, even where
     only blank lines would have gone.
     """
-    staged = once(
-        docs.select("path", "value"),
-        F.split("value", T.SHELL_BLOCK, -1).alias("outer"),
-        F.transform(shell_blocks(F.col("value")), clean_block).alias("blocks"),
-    )
-    joined = F.array_join(
-        F.zip_with("outer", "blocks", lambda o, b: F.concat(o, F.coalesce(b["text"], F.lit("")))), ""
-    )
-    in_blocks = F.aggregate("blocks", F.lit(0).cast("long"), lambda acc, b: acc + b["n_changes"])
+    outer = F.transform(_outer_parts(), lambda part: F.array_join(_part(part["start"], part["end"]), ""))
+    inner = F.transform("blocks", lambda block: T.let(_body(block), clean_body))
+    staged = once(_located(docs), outer.alias("outer"), inner.alias("inner"))
+    joined = F.array_join(F.zip_with("outer", "inner", lambda o, b: F.concat(o, F.coalesce(b["text"], F.lit("")))), "")
+    in_blocks = F.aggregate("inner", F.lit(0).cast("long"), lambda acc, b: acc + b["n_changes"])
     rebuilt = staged.select("path", "value", joined.alias("rebuilt"), in_blocks.alias("in_blocks"))
     cleaned, hits = replace_literals(F.col("rebuilt"), pairs)
     counted = once(rebuilt, cleaned.alias("cleaned"), (F.col("in_blocks") + hits).alias("n_changes"))
@@ -133,5 +120,10 @@ def clean_shell_blocks(docs: DataFrame, pairs: Sequence[tuple[str, str]] = ()) -
 
 
 def changes_report(cleaned: DataFrame) -> DataFrame:
-    """Changed files, most changes first, ties in path order."""
-    return cleaned.where("n_changes > 0").select("path", "n_changes").orderBy(F.desc("n_changes"), "path")
+    """Changed files, most changes first, ties in path order.
+
+    The narrow rows are shuffled once before the sort, which samples its input
+    and would otherwise clean every text a second time.
+    """
+    changed = cleaned.where("n_changes > 0").select("path", "n_changes").repartition("path")
+    return changed.orderBy(F.desc("n_changes"), "path")

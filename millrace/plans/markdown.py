@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 from millrace.operators import links, shell
-from millrace.session import scratch_dir, table
+from millrace.session import scratch_dir, spread, table
 from millrace.sources import sinks
 from millrace.sources import text as tree
 
@@ -35,7 +35,7 @@ VALUE_SQL = """concat('# Document ', CAST(doc_id AS STRING), chr(10),
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.expr(PATH_SQL).alias("path"), F.expr(VALUE_SQL).alias("value"))
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(F.expr(PATH_SQL).alias("path"), F.expr(VALUE_SQL).alias("value"))
 
 
 def p1_extract_links(spark, sf_dir):

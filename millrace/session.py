@@ -45,6 +45,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores for costly work on a table that is read in few splits.
+
+    A table of many splits, which is every large one, comes back unchanged and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str):
     """A session setting for the length of a block."""
