@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import logs, ordered, profiling
 from millrace.operators import relational as R
-from millrace.session import scratch_dir, table
+from millrace.session import scratch_dir, spread, table
 from millrace.sources import sinks, tabular
 
 ORDERS_DDL = (
@@ -104,11 +104,11 @@ def a3_group_agg(spark, sf_dir):
 
 
 def a4_word_count(spark, sf_dir):
-    return R.word_count(table(spark, sf_dir, "documents"))
+    return R.word_count(spread(table(spark, sf_dir, "documents"), "doc_id"))
 
 
 def a4_top_words(spark, sf_dir):
-    return R.top_k(R.word_count(table(spark, sf_dir, "documents")), "n", ["word"], 20)
+    return R.top_k(R.word_count(spread(table(spark, sf_dir, "documents"), "doc_id")), "n", ["word"], 20)
 
 
 # Events as access-log lines; expensive errors give lines that are no log lines.

@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 
 from millrace.ml import insight, models, relations
 from millrace.operators.relational import exact
-from millrace.session import scratch_dir, table
+from millrace.session import scratch_dir, spread, table
 
 TEXT_NUMBERS = ["n_words", "word_length", "letter_share", "digit_share", "mark_share", "upper_share", "n_lines", "line_repeat"]
 
 
 def labelled_documents(spark, sf_dir):
     """Documents that have labels, with measurements of their whole text."""
-    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id").join(table(spark, sf_dir, "labels"), "doc_id")
     size = F.greatest(F.length("text"), F.lit(1))
     words, lines = F.regexp_count("text", F.lit(r"\p{L}+")), F.split("text", "\n")
     return docs.select(
@@ -86,7 +86,7 @@ def m5_linear_regression(spark, sf_dir):
 
 def m5_forest_regression(spark, sf_dir):
     """Length of a document from its counts of words and lines, scored on held-out documents."""
-    docs = table(spark, sf_dir, "documents").select(
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id", "lang", F.col("n_chars").cast("double").alias("label"),
         F.regexp_count("text", F.lit(r"\p{L}+")).alias("n_words"), F.size(F.split("text", "\n")).alias("n_lines"),
     )
@@ -124,7 +124,7 @@ def m8_text_classifier(spark, sf_dir):
 
 def m9_tfidf(spark, sf_dir):
     """Per document: its number of terms, the sum of weights and the heaviest weight."""
-    weighted = relations.tfidf(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    weighted = relations.tfidf(spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", "text"), "doc_id", "text")
     return weighted.groupBy("doc_id").agg(
         F.count("*").alias("n_terms"), F.round(F.sum("tfidf"), 3).alias("total"), F.round(F.max("tfidf"), 6).alias("top")
     )
@@ -280,7 +280,7 @@ def m18_cluster_distance(spark, sf_dir):
 
 def m19_language_classifier(spark, sf_dir):
     """Many classes from text: the language of all documents, as a stand-in for kinds of legal text."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", "text", "lang")
     classes = F.when(F.col("lang") == "en", 0).when(F.col("lang") == "fr", 1).when(F.col("lang") == "de", 2).otherwise(3)
     train, test = models.split(docs.withColumn("label", classes.cast("double")), "doc_id")
     model = models.fit(train, models.text_stages("text", 1 << 12), models.logistic(regParam=0.1, maxIter=20))

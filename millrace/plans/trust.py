@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.operators import groups, privacy, sketches
 from millrace.operators.privacy import Linked, Policy
 from millrace.operators.relational import top_k, word_count
-from millrace.session import scratch_dir, table
+from millrace.session import scratch_dir, spread, table
 
 # Used when the session names no key, so that the SQL twin can hash alike.
 DEMO_KEY = "demo-key/"
@@ -17,7 +17,7 @@ DEMO_KEY = "demo-key/"
 
 def _words(spark, sf_dir):
     found = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
-    return table(spark, sf_dir, "documents").select(F.explode(found).alias("word"))
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(F.explode(found).alias("word"))
 
 
 def a9a_approx_distinct(spark, sf_dir):
@@ -35,14 +35,14 @@ def a9a_approx_distinct(spark, sf_dir):
 def a9b_heavy_hitters(spark, sf_dir):
     """The 20 most frequent words, and whether the bounded sketch reports each among its top 40."""
     words = _words(spark, sf_dir)
-    exact = top_k(word_count(table(spark, sf_dir, "documents")), "n", ["word"], 20)
+    exact = top_k(word_count(spread(table(spark, sf_dir, "documents"), "doc_id")), "n", ["word"], 20)
     found = sketches.heavy_hitters(words, "word", 40)
     return exact.join(found, "word", "left").select("word", "n", F.col("estimate").isNotNull().cast("int").alias("reported"))
 
 
 def a9b_count_min(spark, sf_dir):
     """All words: estimates that fall below the truth (none may) and the truth's totals."""
-    counts = word_count(table(spark, sf_dir, "documents"))
+    counts = word_count(spread(table(spark, sf_dir, "documents"), "doc_id"))
     estimate = sketches.count_min_estimate(sketches.count_min(_words(spark, sf_dir), "word"), counts, "word")
     both = counts.join(estimate, "word")
     return both.agg(
@@ -171,7 +171,7 @@ def g7_fingerprint(spark, sf_dir):
 
 
 def g8_redact_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return privacy.redact_text(docs, "text")
 
 
@@ -189,7 +189,7 @@ def u1_per_group_model(spark, sf_dir):
 
 def u2_mapreduce(spark, sf_dir):
     word = re.compile("[a-z]+")
-    lines = table(spark, sf_dir, "documents").select("text")
+    lines = spread(table(spark, sf_dir, "documents"), "doc_id").select("text")
     counted = groups.mapreduce(lines, lambda text: ((w, 1) for w in word.findall(text.lower())))
     return counted.select(F.col("key").alias("word"), F.col("value").alias("n"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +22,12 @@ RECOMMENDED_CONF = {
 }
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+LOCAL_SCRATCH_CONF = "spark.millrace.local.scratch"
 
 
-def local_session(cpus: int | str = "*", app: str = "millrace", memory: str = "8g") -> SparkSession:
+def local_session(
+    cpus: int | str = "*", app: str = "millrace", memory: str = "8g", conf: Mapping[str, str] | None = None
+) -> SparkSession:
     """Session for tests and benchmarks on one machine."""
     partitions = "8" if cpus == "*" else str(cpus)
     builder = (
@@ -34,7 +38,7 @@ def local_session(cpus: int | str = "*", app: str = "millrace", memory: str = "8
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", partitions)
     )
-    for key, value in RECOMMENDED_CONF.items():
+    for key, value in {**RECOMMENDED_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -70,13 +74,15 @@ def setting(spark: SparkSession, key: str, value: str):
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the cluster; a temporary one only on a local master."""
-    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    root = spark.conf.get(CHECKPOINT_CONF, None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set(CHECKPOINT_CONF, root)
+    root = spark.conf.get(LOCAL_SCRATCH_CONF, None)
+    if root is None:
+        root = tempfile.mkdtemp(prefix="millrace-")
+        spark.conf.set(LOCAL_SCRATCH_CONF, root)
     return root
 
 
