@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.ordered import over_last_rows
 from millrace.operators.quantiles import quantiles
+from millrace.operators.relational import cents, total
 
 
 def tfidf(docs: DataFrame, key: str, text: str, pattern: str = "[a-z]+") -> DataFrame:
@@ -16,20 +17,20 @@ def tfidf(docs: DataFrame, key: str, text: str, pattern: str = "[a-z]+") -> Data
     terms = docs.select(key, F.explode(F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))).alias("term"))
     tf = terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    total = docs.agg(F.count("*")).scalar()
-    idf = df.select("term", F.log((total + 1) / (F.col("df") + 1)).alias("idf"))
+    n_docs = docs.agg(F.count("*")).scalar()
+    idf = df.select("term", F.log((n_docs + 1) / (F.col("df") + 1)).alias("idf"))
     return tf.join(idf, "term").select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def rolling_anomalies(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, value: str, rows: int, limit: float
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, rows: int, limit: float
 ) -> DataFrame:
     """Rows further than `limit` deviations from the mean of the `rows` rows before them.
 
     A row needs a full history of that length.
     """
     framed = over_last_rows(
-        df, keys, order, bucket, rows, 1, {"_n": F.count("*"), "_mean": F.avg(value), "_std": F.stddev_samp(value)}
+        df, keys, order, rows, 1, {"_n": F.count("*"), "_mean": F.avg(value), "_std": F.stddev_samp(value)}
     )
     z = (F.col(value) - F.col("_mean")) / F.nullif(F.col("_std"), F.lit(0.0))
     scored = framed.withColumn("z", z).where((F.col("_n") == rows) & (F.abs("z") > limit))
@@ -83,5 +84,5 @@ def rfm(orders: DataFrame) -> DataFrame:
     return orders.groupBy("o_custkey").agg(
         F.datediff(newest, F.max("o_orderdate")).alias("recency"),
         F.count("*").alias("frequency"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("money"),
+        (total(cents(F.col("o_totalprice"))).cast("double") / 100).alias("money"),
     )

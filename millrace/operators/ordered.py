@@ -1,25 +1,36 @@
 """Ranks, neighbours and running values inside groups of any size.
 
-A plain window sends a whole group to one task. Here the caller names a
-`bucket`, a column that never decreases along the order (a day for timestamps,
-a price band for prices). Rows are worked on per (keys, bucket), and what earlier
-buckets contribute comes from a table with one row per (keys, bucket), so a
-group with a third of all rows is spread over its buckets. Moving frames renumber
-the rows of a group and cut it into chunks of equal size that overlap by the frame.
+A plain window sends a whole group to one task. Here the rows are range-partitioned
+by the group and the full order within it, so a group, or a single order value,
+with a third of all rows is cut into many parts of about equal size. The parts
+are numbered and written once to the shared folder: the cut comes from sampled
+bounds and must be the same for every later use. Windows then work per (keys,
+part), and what earlier parts contribute comes from a table with one row per (keys, part).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = "_bucket"
+from millrace.session import settle
+
+PART = "_part"
+
+
+def in_parts(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """df with a part number that never decreases along the order of a group.
+
+    `order` should be unique within a group; equal rows cannot be cut apart.
+    """
+    ranged = df.repartitionByRange(*[F.col(k).asc() for k in keys], *order)
+    return settle(ranged.withColumn(PART, F.spark_partition_id()), "parts")
 
 
 def _attach(rows: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Join the per-bucket summary to the rows; null keys match each other."""
+    """Join the summary of the parts to the rows; null keys match each other."""
     renamed = summary.withColumnsRenamed({c: f"_r_{c}" for c in on})
     match = F.lit(True)
     for c in on:
@@ -27,71 +38,83 @@ def _attach(rows: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame
     return rows.join(renamed, match).drop(*[f"_r_{c}" for c in on])
 
 
-def _earlier(column: str, keys: Sequence[str], direction) -> Column:
-    """Sum of a summary column over the buckets before this one."""
-    w = Window.partitionBy(*keys).orderBy(direction(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(column).over(w), F.lit(0))
+def _before(keys: Sequence[str]):
+    """The parts of a group before this one: as many rows as the group has parts."""
+    return Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def rank_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    by: str,
-    tie: Sequence[str],
-    bucket: Column,
-    tiles: int = 4,
-    descending: bool = True,
+    df: DataFrame, keys: Sequence[str], by: str, tie: Sequence[str], tiles: int = 4, descending: bool = True
 ) -> DataFrame:
     """Add row_number, rank, dense_rank and ntile per group, ordered by one column.
 
     `tie` makes row_number and ntile definite; rank and dense_rank look at `by` only.
     """
-    direction = F.desc if descending else F.asc
-    rows = df.withColumn(BUCKET, bucket)
-    group = [*keys, BUCKET]
-    sizes = rows.groupBy(*group).agg(F.count("*").alias("_n"), F.countDistinct(by).alias("_d"))
-    sizes = sizes.select(
-        *group,
-        _earlier("_n", keys, direction).alias("_before"),
-        _earlier("_d", keys, direction).alias("_d_before"),
-        F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
-    )
-    in_order = Window.partitionBy(*group).orderBy(direction(by), *tie)
-    by_value = Window.partitionBy(*group).orderBy(direction(by))
+    leading = F.desc(by) if descending else F.asc(by)
+    order = [leading, *[F.asc(t) for t in tie]]
+    rows = in_parts(df, keys, order)
+    group = [*keys, PART]
+    in_order, by_value = Window.partitionBy(*group).orderBy(*order), Window.partitionBy(*group).orderBy(leading)
     local = rows.select(
         "*",
         F.row_number().over(in_order).alias("_rn"),
         F.rank().over(by_value).alias("_rk"),
         F.dense_rank().over(by_value).alias("_dr"),
     )
-    numbered = _attach(local, sizes, group).withColumn("row_number", F.col("_rn") + F.col("_before"))
+    parts = local.groupBy(*group).agg(
+        F.count("*").alias("_n"),
+        F.max("_dr").alias("_d"),
+        F.max("_rk").alias("_last_rk"),
+        F.min_by(F.struct(by), "_rn").alias("_first"),
+        F.max_by(F.struct(by), "_rn").alias("_last"),
+    )
+    along = Window.partitionBy(*keys).orderBy(PART)
+    # A value may run over several parts. `_joins` says that a part goes on with
+    # the value the part before it ended with.
+    parts = parts.select(
+        "*",
+        F.coalesce(F.sum("_n").over(_before(keys)), F.lit(0)).alias("_ahead"),
+        F.coalesce(F.sum("_d").over(_before(keys)), F.lit(0)).alias("_d_ahead"),
+        F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
+        F.coalesce(F.col("_first").eqNullSafe(F.lag("_last").over(along)), F.lit(False)).alias("_joins"),
+    )
+    # The rank of the value a part ends with, where that value begins in the part.
+    begun = F.when((F.col("_d") > 1) | ~F.col("_joins"), F.col("_ahead") + F.col("_last_rk"))
+    parts = parts.select(
+        *group,
+        "_ahead",
+        "_total",
+        "_joins",
+        F.last(begun, ignorenulls=True).over(_before(keys)).alias("_carried"),
+        (F.col("_d_ahead") - F.sum(F.col("_joins").cast("int")).over(along)).alias("_d_before"),
+    )
+    numbered = _attach(local, parts, group).withColumn("row_number", F.col("_rn") + F.col("_ahead"))
     small, longer = F.expr(f"_total div {tiles}"), F.col("_total") % tiles
     in_longer = longer * (small + 1)
     position = F.col("row_number") - 1
     tile = F.when(position < in_longer, F.floor(position / (small + 1))).otherwise(
         longer + F.floor((position - in_longer) / F.greatest(small, F.lit(1)))
     )
+    carried_on = F.col("_joins") & (F.col("_dr") == 1)
     return numbered.select(
         *df.columns,
         "row_number",
-        (F.col("_rk") + F.col("_before")).alias("rank"),
+        F.when(carried_on, F.col("_carried")).otherwise(F.col("_rk") + F.col("_ahead")).alias("rank"),
         (F.col("_dr") + F.col("_d_before")).alias("dense_rank"),
         (tile + 1).cast("int").alias("ntile"),
     )
 
 
-def lag_delta(df: DataFrame, keys: Sequence[str], order: str, tie: str, value: str, bucket: Column) -> DataFrame:
+def lag_delta(df: DataFrame, keys: Sequence[str], order: str, tie: str, value: str) -> DataFrame:
     """Add the previous and next value of a group, the change and the seconds since the previous row."""
-    rows = df.withColumn(BUCKET, bucket)
-    group = [*keys, BUCKET]
+    rows = in_parts(df, keys, [F.asc(order), F.asc(tie)])
+    group = [*keys, PART]
     cell = F.struct(F.col(order).alias("t"), F.col(value).alias("v"))
     ends = rows.groupBy(*group).agg(
         F.min_by(cell, F.struct(order, tie)).alias("_first"), F.max_by(cell, F.struct(order, tie)).alias("_last")
     )
-    along = Window.partitionBy(*keys).orderBy(BUCKET)
-    ends = ends.select(
-        *group, F.lag("_last").over(along).alias("_carry"), F.lead("_first").over(along).alias("_ahead")
-    )
+    along = Window.partitionBy(*keys).orderBy(PART)
+    ends = ends.select(*group, F.lag("_last").over(along).alias("_carry"), F.lead("_first").over(along).alias("_ahead"))
     w = Window.partitionBy(*group).orderBy(order, tie)
     local = rows.select("*", F.lag(cell).over(w).alias("_prev"), F.lead(cell).over(w).alias("_next"))
     both = _attach(local, ends, group)
@@ -106,35 +129,36 @@ def lag_delta(df: DataFrame, keys: Sequence[str], order: str, tie: str, value: s
     )
 
 
-def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, bucket: Column, out: str) -> DataFrame:
-    """Add the sum of `value` over a group's rows up to this one."""
-    rows = df.withColumn(BUCKET, bucket).withColumn("_v", value)
-    group = [*keys, BUCKET]
-    sums = rows.groupBy(*group).agg(F.sum("_v").alias("_s"))
-    sums = sums.select(*group, _earlier("_s", keys, F.asc).alias("_before"))
+def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
+    """Add the sum of each value over a group's rows up to this one, nulls counting as nothing."""
+    columns = {f"_v_{name}": value for name, value in values.items()}
+    rows = in_parts(df.select("*", *[v.alias(c) for c, v in columns.items()]), keys, [F.asc(o) for o in order])
+    group = [*keys, PART]
+    sums = rows.groupBy(*group).agg(*[F.sum(c).alias(c) for c in columns])
+    sums = sums.select(*group, *[F.coalesce(F.sum(c).over(_before(keys)), F.lit(0)).alias(f"_b{c}") for c in columns])
     w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.withColumn("_run", F.sum("_v").over(w))
-    total = F.coalesce("_run", F.lit(0)) + F.col("_before")
-    return _attach(local, sums, group).select(*df.columns, total.alias(out))
+    local = rows.select("*", *[F.sum(c).over(w).alias(f"_l{c}") for c in columns])
+    totals = [(F.coalesce(f"_l_v_{n}", F.lit(0)) + F.col(f"_b_v_{n}")).alias(n) for n in values]
+    return _attach(local, sums, group).select(*df.columns, *totals)
 
 
 def over_last_rows(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column,
     first: int,
     last: int,
-    aggregates: dict[str, Column],
+    aggregates: Mapping[str, Column],
     chunk: int = 100_000,
 ) -> DataFrame:
     """Add aggregates over the rows `first` to `last` before this one (0 is this row).
 
-    For the mean of the last five rows say first=4, last=0.
+    For the mean of the last five rows say first=4, last=0. Groups are numbered
+    and cut into chunks of equal size, which overlap by the frame.
     """
     if not 0 <= last <= first < chunk:
         raise ValueError("need 0 <= last <= first < chunk")
-    numbered = running_total(df, keys, order, F.lit(1).cast("long"), bucket, "_at")
+    numbered = running_totals(df, keys, order, {"_at": F.lit(1).cast("long")})
     position = F.col("_at") - 1
     home = F.floor(position / chunk)
     # Rows near the end of a chunk also go to the next one, as its run-up.
@@ -146,14 +170,31 @@ def over_last_rows(
 
 
 def over_last_span(
-    df: DataFrame, keys: Sequence[str], order: str, seconds: int, aggregates: dict[str, Column]
+    df: DataFrame, keys: Sequence[str], order: str, row_id: str, seconds: int, sums: Mapping[str, Column]
 ) -> DataFrame:
-    """Add aggregates over the rows of the last `seconds` up to and including this row's time."""
-    span = seconds * 1_000_000
-    timed = df.withColumn("_us", F.unix_micros(F.col(order).cast("timestamp")))
-    home = F.floor(F.col("_us") / span)
-    # The bucket is as long as the span, so a row reaches its own and the next bucket.
-    spread = timed.select("*", home.alias("_home"), F.explode(F.array(home, home + 1)).alias(BUCKET))
-    w = Window.partitionBy(*keys, BUCKET).orderBy("_us").rangeBetween(-span, 0)
-    framed = spread.select("*", *[a.over(w).alias(name) for name, a in aggregates.items()])
-    return framed.where(F.col(BUCKET) == F.col("_home")).select(*df.columns, *aggregates)
+    """Add sums over a group's rows of the last `seconds` up to and including this row's time.
+
+    A sum over a span is the difference of two running totals. Each row asks
+    for the total just before its span and the one after all rows of its time, so
+    no span has to fit a task. `row_id` is unique; give exact types (decimal or
+    long), since a difference of doubles loses digits.
+    """
+    at = F.unix_micros(F.col(order).cast("timestamp"))
+    nothing = {n: F.lit(None) for n in sums}
+
+    def entry(time: Column, kind: int, row: Column, values: Mapping[str, Column]) -> Column:
+        cells = [values[n].cast(types[n]).alias(f"_s_{n}") for n in sums]
+        return F.struct(time.alias("_at"), F.lit(kind).alias("_kind"), row.alias("_row"), *cells)
+
+    types = {f.name: f.dataType for f in df.select(*[v.alias(n) for n, v in sums.items()]).schema.fields}
+    row = F.struct(*df.columns)
+    empty = F.lit(None).cast(df.select(row.alias("r")).schema["r"].dataType)
+    entries = F.array(
+        entry(at - seconds * 1_000_000, 0, empty, nothing), entry(at, 1, empty, sums), entry(at, 2, row, nothing)
+    )
+    asked = df.select(*keys, F.col(row_id).alias("_id"), F.inline(entries))
+    totals = running_totals(asked, keys, ["_at", "_kind", "_id"], {n: F.col(f"_s_{n}") for n in sums})
+    sign = F.when(F.col("_kind") == 2, 1).when(F.col("_kind") == 0, -1)
+    differences = [F.sum(sign * F.col(n)).cast(types[n]).alias(n) for n in sums]
+    answered = totals.where("_kind <> 1").groupBy("_id").agg(F.first("_row", ignorenulls=True).alias("_row"), *differences)
+    return answered.select("_row.*", *sums)

@@ -180,8 +180,7 @@ def a13_quality_gate(spark, sf_dir):
 
 def w1_rank_within(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    band = F.floor(F.col("o_totalprice") / 10_000)
-    return ordered.rank_within(orders, ["o_custkey"], "o_totalprice", ["o_orderkey"], band)
+    return ordered.rank_within(orders, ["o_custkey"], "o_totalprice", ["o_orderkey"])
 
 
 def _events(spark, sf_dir):
@@ -189,7 +188,7 @@ def _events(spark, sf_dir):
 
 
 def w2_lag_delta(spark, sf_dir):
-    rows = ordered.lag_delta(_events(spark, sf_dir), ["user_id"], "ts", "event_id", "value", F.to_date("ts"))
+    rows = ordered.lag_delta(_events(spark, sf_dir), ["user_id"], "ts", "event_id", "value")
     return rows.select(
         "event_id", "user_id", "prev_value", "next_value", F.round("delta", 4).alias("delta"), F.round("gap_seconds", 3).alias("gap_seconds")
     )
@@ -197,24 +196,21 @@ def w2_lag_delta(spark, sf_dir):
 
 def w3_running_total(spark, sf_dir):
     value = R.exact(F.col("value"))
-    rows = ordered.running_total(_events(spark, sf_dir), ["user_id"], ["ts", "event_id"], value, F.to_date("ts"), "running")
+    rows = ordered.running_totals(_events(spark, sf_dir), ["user_id"], ["ts", "event_id"], {"running": value})
     return rows.select("event_id", F.col("running").cast("double").alias("running"))
 
 
 def w3_moving_mean(spark, sf_dir):
     value = R.exact(F.col("value"))
     rows = ordered.over_last_rows(
-        _events(spark, sf_dir), ["user_id"], ["ts", "event_id"], F.to_date("ts"), 4, 0,
-        {"s": F.sum(value), "n": F.count("*")}, chunk=1000,
-    )
+        _events(spark, sf_dir), ["user_id"], ["ts", "event_id"], 4, 0, {"s": F.sum(value), "n": F.count("*")}
+    )
     return rows.select("event_id", F.round(F.col("s").cast("double") / F.col("n"), 6).alias("mean5"))
 
 
 def w3_trailing_week(spark, sf_dir):
-    value = R.exact(F.col("value"))
-    rows = ordered.over_last_span(
-        _events(spark, sf_dir), ["user_id"], "ts", 7 * 86_400, {"s": F.sum(value), "n": F.count("*")}
-    )
+    sums = {"s": R.exact(F.col("value")), "n": F.lit(1).cast("long")}
+    rows = ordered.over_last_span(_events(spark, sf_dir), ["user_id"], "ts", "event_id", 7 * 86_400, sums)
     return rows.select("event_id", F.col("s").cast("double").alias("week_sum"), F.col("n").alias("week_n"))
 
 

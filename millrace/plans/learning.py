@@ -256,7 +256,7 @@ def m17_permutation_importance(spark, sf_dir):
 
 def m18_rolling_anomalies(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
-    found = relations.rolling_anomalies(events, ["event_type"], ["ts", "event_id"], F.to_date("ts"), "value", 50, 4.0)
+    found = relations.rolling_anomalies(events, ["event_type"], ["ts", "event_id"], "value", 50, 4.0)
     return found.select("event_id", "event_type", F.round("z", 4).alias("z"))
 
 
