@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.ordered import over_last_rows
 from millrace.operators.quantiles import quantiles
-from millrace.operators.relational import cents, total
+from millrace.operators.relational import attach, cents, total
 
 
 def tfidf(docs: DataFrame, key: str, text: str, pattern: str = "[a-z]+") -> DataFrame:
@@ -46,7 +46,7 @@ def iqr_anomalies(df: DataFrame, keys: Sequence[str], value: str, reach: float =
     )
     spread = reach * (F.col("_q3") - F.col("_q1"))
     fences = wide.select(*keys, (F.col("_q1") - spread).alias("low"), (F.col("_q3") + spread).alias("high"))
-    return df.join(fences, list(keys)).where((F.col(value) < F.col("low")) | (F.col(value) > F.col("high")))
+    return attach(df, fences, keys).where((F.col(value) < F.col("low")) | (F.col(value) > F.col("high")))
 
 
 def disparate_impact(pred: DataFrame, group: str, selected: Column, threshold: float = 0.8) -> DataFrame:

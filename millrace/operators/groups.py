@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.relational import attach
+
 
 def per_group_model(df: DataFrame, key: str, features: Sequence[str], target: str) -> DataFrame:
     """Least squares per key: (key, n, intercept, one coefficient per feature).
@@ -20,10 +22,10 @@ def per_group_model(df: DataFrame, key: str, features: Sequence[str], target: st
     """
     names = [*features, target]
     means = df.groupBy(key).agg(F.count("*").alias("n"), *[F.avg(c).alias(f"_m_{c}") for c in names])
-    centred = df.join(means.drop("n"), key).select(key, *[(F.col(c) - F.col(f"_m_{c}")).alias(c) for c in names])
+    centred = attach(df.select(key, *names), means.drop("n"), [key]).select(key, *[(F.col(c) - F.col(f"_m_{c}")).alias(c) for c in names])
     products = [(a, b) for i, a in enumerate(names) for b in names[i:]]
     sums = centred.groupBy(key).agg(*[F.sum(F.col(a) * F.col(b)).alias(f"_s_{a}_{b}") for a, b in products])
-    table = means.join(sums, key)
+    table = attach(means, sums, [key])
     fields = ", ".join(f"`{c}` double" for c in ("intercept", *features))
     key_type = df.schema[key].dataType.simpleString()
     features, n_features = list(features), len(features)

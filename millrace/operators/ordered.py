@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.relational import attach
 from millrace.session import settle
 
 PART = "_part"
@@ -29,15 +30,6 @@ def in_parts(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     return settle(ranged.withColumn(PART, F.spark_partition_id()), "parts")
 
 
-def _attach(rows: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Join the summary of the parts to the rows; null keys match each other."""
-    renamed = summary.withColumnsRenamed({c: f"_r_{c}" for c in on})
-    match = F.lit(True)
-    for c in on:
-        match = match & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-    return rows.join(renamed, match).drop(*[f"_r_{c}" for c in on])
-
-
 def _before(keys: Sequence[str]):
     """The parts of a group before this one: as many rows as the group has parts."""
     return Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
@@ -88,7 +80,7 @@ def rank_within(
         F.last(begun, ignorenulls=True).over(_before(keys)).alias("_carried"),
         (F.col("_d_ahead") - F.sum(F.col("_joins").cast("int")).over(along)).alias("_d_before"),
     )
-    numbered = _attach(local, parts, group).withColumn("row_number", F.col("_rn") + F.col("_ahead"))
+    numbered = attach(local, parts, group).withColumn("row_number", F.col("_rn") + F.col("_ahead"))
     small, longer = F.expr(f"_total div {tiles}"), F.col("_total") % tiles
     in_longer = longer * (small + 1)
     position = F.col("row_number") - 1
@@ -117,7 +109,7 @@ def lag_delta(df: DataFrame, keys: Sequence[str], order: str, tie: str, value: s
     ends = ends.select(*group, F.lag("_last").over(along).alias("_carry"), F.lead("_first").over(along).alias("_ahead"))
     w = Window.partitionBy(*group).orderBy(order, tie)
     local = rows.select("*", F.lag(cell).over(w).alias("_prev"), F.lead(cell).over(w).alias("_next"))
-    both = _attach(local, ends, group)
+    both = attach(local, ends, group)
     prev, following = F.coalesce("_prev", "_carry"), F.coalesce("_next", "_ahead")
     micros = F.unix_micros(F.col(order).cast("timestamp")) - F.unix_micros(prev["t"].cast("timestamp"))
     return both.select(
@@ -139,7 +131,7 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
     w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = rows.select("*", *[F.sum(c).over(w).alias(f"_l{c}") for c in columns])
     totals = [(F.coalesce(f"_l_v_{n}", F.lit(0)) + F.col(f"_b_v_{n}")).alias(n) for n in values]
-    return _attach(local, sums, group).select(*df.columns, *totals)
+    return attach(local, sums, group).select(*df.columns, *totals)
 
 
 def over_last_rows(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.relational import attach
 from millrace.session import settle
 
 
@@ -34,7 +35,7 @@ def quantiles_of(counts: DataFrame, keys: Sequence[str], value: str, probs: Sequ
         F.sum("size").over(per_key).alias("total"),
     )
     along = Window.partitionBy(*keys, "part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.withColumn("upto", F.sum("n").over(along)).join(offsets, [*keys, "part"])
+    placed = attach(counts.withColumn("upto", F.sum("n").over(along)), offsets, [*keys, "part"])
     placed = placed.withColumn("hi", F.col("before") + F.col("upto")).withColumn("lo", F.col("hi") - F.col("n"))
     wanted = placed.select("*", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
     wanted = wanted.withColumn("h", (F.col("total") - 1) * F.col("p"))

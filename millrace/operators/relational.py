@@ -34,6 +34,15 @@ def net_units(price: str, discount: str) -> Column:
     return cents(F.col(price)) * (100 - cents(F.col(discount)))
 
 
+def attach(rows: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join on equal keys in which null keys match each other, with one copy of the keys."""
+    renamed = other.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    match = F.lit(True)
+    for c in on:
+        match = match & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return rows.join(renamed, match).drop(*[f"_r_{c}" for c in on])
+
+
 def filter_rows(lineitem: DataFrame, since: str) -> DataFrame:
     """Typed line items shipped since a day, with the amounts a report needs."""
     return lineitem.where(F.col("l_shipdate") >= F.lit(since).cast("timestamp_ntz")).select(

@@ -134,7 +134,7 @@ def m10_cross_validate(spark, sf_dir):
     rows = labelled_documents(spark, sf_dir).drop("text")
     stages = models.feature_stages(["lang"], TEXT_NUMBERS)
     prepared = Pipeline(stages=stages).fit(rows).transform(rows).select("doc_id", "label", "features")
-    lr = models.logistic()
+    lr = models.logistic(maxIter=20)
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01, 0.1]).addGrid(lr.elasticNetParam, [0.0, 0.5]).build()
     return models.cross_validate(prepared, "doc_id", lr, grid, BinaryClassificationEvaluator())[1]
 

@@ -120,10 +120,12 @@ def test_distinct_sketches_merge(spark):
 
 def test_group_models_match_numpy(spark):
     rng = np.random.default_rng(1)
-    rows = [(g, float(a), float(b), float(3 + g * a - 2 * b + e)) for g, n in ((1, 400), (2, 30)) for a, b, e in rng.normal(size=(n, 3))]
-    df = spark.createDataFrame(rows, "g int, a double, b double, y double")
-    for r in groups.per_group_model(df, "g", ["a", "b"], "y").collect():
-        data = np.array([x[1:] for x in rows if x[0] == r["g"]])
+    rows = [(g, float(a), float(b), float(3 + g * a - 2 * b + e)) for g, n in ((1, 400), (2, 30), (0, 20)) for a, b, e in rng.normal(size=(n, 3))]
+    df = spark.createDataFrame(rows, "g int, a double, b double, y double").withColumn("g", F.nullif("g", F.lit(0)))
+    fitted = groups.per_group_model(df, "g", ["a", "b"], "y").collect()
+    assert len(fitted) == 3
+    for r in fitted:
+        data = np.array([x[1:] for x in rows if x[0] == (r["g"] or 0)])
         want = np.linalg.lstsq(np.c_[np.ones(len(data)), data[:, :2]], data[:, 2], rcond=None)[0]
         assert np.allclose([r["intercept"], r["a"], r["b"]], want)
 
