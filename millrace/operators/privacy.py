@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
+from millrace.sources.sinks import balanced
+
 PSEUDONYM_KEY_CONF = "spark.millrace.pseudonym.key"
 
 
@@ -96,7 +98,7 @@ def rewrite_affected(df: DataFrame, column: str, ids: DataFrame, id_column: str,
         .where("rows_before > rows_after")
     )
     kept = flagged.where("_hit is null").drop("_hit").join(affected.select(partition), partition, "left_semi")
-    kept.write.partitionBy(partition).parquet(path)
+    balanced(kept, [partition]).write.partitionBy(partition).parquet(path)
     return affected
 
 
