@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing, secret_scan
+from millrace.llm import license_scan, mixing, packing, secret_scan
 from millrace.session import table
 
 
@@ -18,9 +18,17 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scans, op6_packing)}
-ORACLES: dict[str, str] = {}
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+QUERIES = {f.__name__: f for f in (op2_secret_scans, op3_license_scans, op6_packing, op10_mixing)}
+ORACLES = {"op3_license_scans": license_scan.scan_sql()}
