@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import license_scan, mixing, packing, secret_scan
+from millrace.llm import language_id, license_scan, mixing, packing, pu_quality, secret_scan
 from millrace.session import table
 
 
@@ -22,13 +22,23 @@ def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pu_quality.score_documents(docs, pu_quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scans, op3_license_scans, op6_packing, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_secret_scans, op3_license_scans, op4_language_id, op6_packing, op8_quality_classifier, op10_mixing)}
 ORACLES = {"op3_license_scans": license_scan.scan_sql()}
