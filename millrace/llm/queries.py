@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import language_id, license_scan, mixing, packing, pu_quality, secret_scan
+from millrace.llm import graph_ann, language_id, license_scan, mixing, nra_topk, packing, pu_quality, secret_scan
 from millrace.session import table
 
 
@@ -27,6 +27,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.fit(docs))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -36,9 +40,13 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.score_documents(docs, pu_quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nra_topk.top_products(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scans, op3_license_scans, op4_language_id, op6_packing, op8_quality_classifier, op10_mixing)}
-ORACLES = {"op3_license_scans": license_scan.scan_sql()}
+QUERIES = {f.__name__: f for f in (op2_secret_scans, op3_license_scans, op4_language_id, op5_nearest_neighbours, op6_packing, op8_quality_classifier, op9_exact_top_k, op10_mixing)}
+ORACLES = {"op3_license_scans": license_scan.scan_sql(), "op9_exact_top_k": nra_topk.top_products_sql()}
