@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import graph_ann, language_id, license_scan, mixing, nra_topk, packing, pu_quality, secret_scan
+from millrace.llm import graph_ann, language_id, license_scan, mixing, ngram_join, nra_topk, packing, pu_quality, secret_scan
 from millrace.session import table
 
 
@@ -35,6 +35,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pu_quality.score_documents(docs, pu_quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -48,5 +52,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scans, op3_license_scans, op4_language_id, op5_nearest_neighbours, op6_packing, op8_quality_classifier, op9_exact_top_k, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_secret_scans, op3_license_scans, op4_language_id, op5_nearest_neighbours, op6_packing, op7_ngram_join, op8_quality_classifier, op9_exact_top_k, op10_mixing)}
 ORACLES = {"op3_license_scans": license_scan.scan_sql(), "op9_exact_top_k": nra_topk.top_products_sql()}
