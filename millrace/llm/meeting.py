@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import settle
@@ -20,6 +20,7 @@ from millrace.session import settle
 FLUSH = 1 << 20  # entries sorted at a time
 BUCKETS = 64  # for each shuffle partition
 MARK = 0xFFFFFFFF
+LOW = np.uint64((1 << 48) - 1)
 
 SINGLE, SHARED, NAMES, SIDE = range(4)
 _SENT = "bucket long, kind int, flush long, keys binary, owners binary"
@@ -40,18 +41,26 @@ def _numbers(planes: bytes, kept: int) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def bucket_count(spark: SparkSession) -> int:
+    return min(1 << 16, BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return ((keys >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype("i8")
+
+
+def identity(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Keys as shared() returns them: the bucket instead of the high bits."""
+    return ((keys & LOW) | bucket_of(keys, buckets).astype("u8") << np.uint64(48)).view("i8")
+
+
 def shared(rows: DataFrame, cut: Cut, label: str) -> tuple[DataFrame, DataFrame]:
     """(owner, key) of each entry whose key has another entry, and the side blocks.
 
     cut turns a batch of `rows` into blocks: names of owners (64-bit), owner number and key (unsigned 64-bit) of each entry, and bytes that
     are handed through. It is also given a set that lives as long as the task.
     """
-    spark = rows.sparkSession
-    buckets = min(1 << 16, BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    low = np.uint64((1 << 48) - 1)
-
-    def bucket_of(keys: np.ndarray) -> np.ndarray:
-        return ((keys >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype("i8")
+    buckets = bucket_count(rows.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, flushed, rows_out = TaskContext.get().partitionId(), 0, 0
@@ -79,10 +88,10 @@ def shared(rows: DataFrame, cut: Cut, label: str) -> tuple[DataFrame, DataFrame]
             of = np.concatenate([o[~twice], np.full(len(marks), MARK, "u4")])
             order = np.argsort(one)
             one, of = one[order], of[order]
-            homes = bucket_of(one)
+            homes = bucket_of(one, buckets)
             starts = np.flatnonzero(np.concatenate([[True], homes[1:] != homes[:-1]])) if len(one) else np.zeros(0, "i8")
             for a, b in zip(starts, np.append(starts[1:], len(one))):
-                out.append(row(SINGLE, int(homes[a]), _planes(one[a:b] & low, 6), _planes(of[a:b], 4)))
+                out.append(row(SINGLE, int(homes[a]), _planes(one[a:b], 6), _planes(of[a:b], 4)))
             flushed, names, owners, keys, size, count = flushed + 1, [], [], [], 0, 0
             return _batch(out)
 
@@ -125,9 +134,8 @@ def shared(rows: DataFrame, cut: Cut, label: str) -> tuple[DataFrame, DataFrame]
                     at = bucket
                     held.append((flush, _numbers(keys, 6), _numbers(owners, 4)))
                 elif kind == SHARED:
-                    full = np.frombuffer(keys, "<u8")
-                    key = (full & low) | bucket_of(full).astype("u8") << np.uint64(48)
-                    yield _found(SHARED, np.full(len(full), flush), np.frombuffer(owners, "<u4"), key)
+                    key = identity(np.frombuffer(keys, "<u8"), buckets)
+                    yield _found(SHARED, np.full(len(key), flush), np.frombuffer(owners, "<u4"), key)
                 elif kind == NAMES:
                     names = np.frombuffer(keys, "<i8")
                     yield _found(NAMES, np.full(len(names), flush), np.arange(len(names)), names)

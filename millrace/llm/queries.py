@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import graph_ann, language_id, license_scan, mixing, ngram_join, nra_topk, packing, pu_quality, secret_scan
+from millrace.llm import graph_ann, language_id, license_scan, mixing, ngram_join, nra_topk, packing, pu_quality, secret_scan, suffix_dedup
 from millrace.session import table
 
 
@@ -14,6 +14,10 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
 
@@ -52,5 +56,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scans, op3_license_scans, op4_language_id, op5_nearest_neighbours, op6_packing, op7_ngram_join, op8_quality_classifier, op9_exact_top_k, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_secret_scans, op3_license_scans, op4_language_id, op5_nearest_neighbours, op6_packing, op7_ngram_join, op8_quality_classifier, op9_exact_top_k, op10_mixing)}
 ORACLES = {"op3_license_scans": license_scan.scan_sql(), "op9_exact_top_k": nra_topk.top_products_sql()}
