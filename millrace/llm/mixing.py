@@ -157,7 +157,9 @@ def mix(
     repeat are rows; an empty table stays empty. Columns of docs named like an added one are replaced. The number of sources
     is taken to be bounded, as their target weights are; the number of documents of one is not.
     """
-    docs = docs.drop(*OWN)
+    kept = docs.drop(*OWN)
+    # As one value, the row's columns cannot clash with those of the schedule.
+    docs = kept.select("source", F.struct(*kept.columns).alias("whole_row"))
     # The few rows of sizes are needed in several places, so they are kept as a table.
     sizes = settle(weighted_sizes(docs, exponent, weights, block, resolution), "mix-sizes")
     pattern = settle(patterns(sizes), "mix-pattern")
@@ -180,7 +182,7 @@ def mix(
     joined = placed.join(named, (F.col("at_edge") == F.col("edge")) & F.col("source").eqNullSafe(F.col("of")) & (F.col("at_j") == F.col("j")))
     slot = F.col("before") + F.col("in_round")
     return joined.select(
-        *docs.columns,
+        "whole_row.*",
         "source_weight",
         "block",
         slot.alias("slot"),
