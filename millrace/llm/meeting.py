@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from millrace.session import settle
 
 FLUSH = 1 << 20  # entries sorted at a time
-BUCKETS = 64  # for each shuffle partition
+BUCKETS = 8  # for each shuffle partition
 MARK = 0xFFFFFFFF
 LOW = np.uint64((1 << 48) - 1)
 
