@@ -87,15 +87,16 @@ def verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
 
 
 def _pairs_between(met: DataFrame, share: int) -> DataFrame:
-    """Pairs of classes of different components that have a key in common; met: key, class, n, root.
+    """Pairs of classes of different components that have a key in common; met: key, class, n, room, root.
 
-    The component with most classes under a key is paired with the others, and the others with one another.
+    room: the most shingles that a class can share with another if this key holds the first that they share. The component with most
+    classes under a key is paired with the others, and the others with one another.
     """
     sizes = met.groupBy("key", "root").agg(F.count(F.lit(1)).alias("members"))
     main = sizes.groupBy("key").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
     open_ = met.join(main, "key")
-    others = open_.where("root <> main").select("key", F.col("class").alias("c"), F.col("n").alias("n_c"), F.col("root").alias("root_c"))
-    fits = (F.col("n") * 100 >= F.col("n_c") * share) & (F.col("n_c") * 100 >= F.col("n") * share)
+    others = open_.where("root <> main").select("key", F.col("class").alias("c"), F.col("n").alias("n_c"), F.col("room").alias("room_c"), F.col("root").alias("root_c"))
+    fits = F.least("room", "room_c") * (100 + share) >= (F.col("n") + F.col("n_c")) * share
     found = open_.join(others, "key").where((F.col("root") != F.col("root_c")) & fits)
     return found.select(F.least("class", "c").alias("a"), F.greatest("class", "c").alias("b")).distinct()
 
@@ -104,11 +105,13 @@ def linked_classes(held: DataFrame, sizes: DataFrame, share: int = SHARE, rare:
     """class, root of every class with links; held: class, key; sizes: class, n."""
     ranked = settle(prefixes(held, sizes, share), "ngram-ranked")
     sets = settle(ranked.groupBy("class").agg(F.max("n").alias("n"), F.collect_list("key").alias("keys")), "ngram-sets")
-    index = ranked.where("rank <= prefix").select("class", "n", "key", "df", "rank", "prefix")
+    own = ((F.col("n") - F.col("m")) / F.col("n")).alias("own")
+    index = ranked.where("rank <= prefix").select("class", "n", "key", "df", "rank", "prefix", own)
 
-    # First each class with the one that leads most of its prefix.
-    inner = index.where("rank < prefix").select("class", "key")
-    leaders = inner.groupBy("key").agg(F.min("class").alias("leader"))
+    # First each class with the one that leads most of its prefix. A text that others were made from has few shingles
+    # of its own, so it leads.
+    inner = index.where("rank < prefix").select("class", "key", "own")
+    leaders = inner.groupBy("key").agg(F.min_by("class", F.struct("own", "class")).alias("leader")).select("key", "leader")
     votes = inner.join(leaders, "key").where("leader <> class").groupBy("class", "leader").agg(F.count(F.lit(1)).alias("votes"))
     first = votes.groupBy("class").agg(F.max_by("leader", F.struct("votes", "leader")).alias("b")).select(F.col("class").alias("a"), "b")
     tried = settle(first, "ngram-tried")
@@ -119,11 +122,13 @@ def linked_classes(held: DataFrame, sizes: DataFrame, share: int = SHARE, rare:
     rooted = index.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     mixed_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
     rooted = settle(rooted.join(mixed_keys, "key"), "ngram-rooted")
-    alone = rooted.where((F.col("df") <= rare) & (F.col("rank") < F.col("prefix"))).select("key", "class", "n", "root")
+    alone = rooted.where((F.col("df") <= rare) & (F.col("rank") < F.col("prefix")))
+    alone = alone.select("key", "class", "n", (F.col("n") - F.col("rank")).alias("room"), "root")
     often = rooted.where(F.col("df") > rare).groupBy("class").agg(
         F.first("n").alias("n"), F.first("root").alias("root"), F.array_sort(F.collect_list(F.struct("rank", "key"))).alias("keys")
     )
-    in_pairs = often.select(F.explode(_combinations(F.col("keys"))).alias("key"), "class", "n", "root")
+    in_pairs = often.select(F.explode(_combinations(F.col("keys"))).alias("pair"), "class", "n", "root")
+    in_pairs = in_pairs.select(F.col("pair.key").alias("key"), "class", "n", (F.col("n") + 1 - F.col("pair.rank")).alias("room"), "root")
     pairs = _pairs_between(alone, share).unionByName(_pairs_between(in_pairs, share)).distinct()
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = verified(pairs.join(done, ["a", "b"], "left_anti"), sets, share)
@@ -132,8 +137,12 @@ def linked_classes(held: DataFrame, sizes: DataFrame, share: int = SHARE, rare:
 
 
 def _combinations(keys: Column) -> Column:
-    """A hash of each pair of keys."""
-    later = F.transform(keys, lambda x, i: F.transform(F.slice(keys, i + 2, F.size(keys)), lambda y: F.xxhash64(x["key"], y["key"])))
+    """A hash of each pair of keys, and the rank of the second."""
+
+    def joined(x: Column, y: Column) -> Column:
+        return F.struct(F.xxhash64(x["key"], y["key"]).alias("key"), y["rank"].alias("rank"))
+
+    later = F.transform(keys, lambda x, i: F.transform(F.slice(keys, i + 2, F.size(keys)), lambda y: joined(x, y)))
     return F.flatten(later)
 
 
