@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
@@ -281,8 +282,8 @@ def m18_cluster_distance(spark, sf_dir):
 def m19_language_classifier(spark, sf_dir):
     """Many classes from text: the language of all documents, as a stand-in for kinds of legal text."""
     docs = spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", "text", "lang")
-    classes = F.when(F.col("lang") == "en", 0).when(F.col("lang") == "fr", 1).when(F.col("lang") == "de", 2).otherwise(3)
-    train, test = models.split(docs.withColumn("label", classes.cast("double")), "doc_id")
+    labelled = StringIndexer(inputCol="lang", outputCol="label", handleInvalid="skip").fit(docs).transform(docs)
+    train, test = models.split(labelled, "doc_id")
     model = models.fit(train, models.text_stages("text", 1 << 12), models.logistic(regParam=0.1, maxIter=20))
     return _report(spark, train, model.transform(test), lambda m: m["accuracy"] > m["majority"] + 0.1)
 

@@ -23,6 +23,7 @@ RECOMMENDED_CONF = {
 }
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SPREAD_CONF = "spark.millrace.spread.tasks"
 LOCAL_SCRATCH_CONF = "spark.millrace.local.scratch"
 
 
@@ -38,6 +39,7 @@ def local_session(
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", partitions)
+        .config(SPREAD_CONF, partitions)
     )
     for key, value in {**RECOMMENDED_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
@@ -51,12 +53,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for costly work on a table that is read in few splits.
+    """Deal rows by key over as many tasks as the caller has asked for in SPREAD_CONF; unset, the table passes as it is read.
 
-    A table of many splits, which is every large one, comes back unchanged and is not shuffled.
+    For tables that lie in one file of one row group, as test tables do, while their rows cost much work.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    tasks = df.sparkSession.conf.get(SPREAD_CONF, None)
+    return df.repartition(int(tasks), key) if tasks else df
 
 
 @contextmanager

@@ -60,11 +60,12 @@ def sessions(stream: DataFrame, ts: str, key: str, gap: str, delay: str) -> Data
 def drop_duplicates(stream: DataFrame, ts: str, key: str, delay: str, lanes: int = 16) -> DataFrame:
     """One row per key within the watermark delay.
 
-    The first step works on (key, lane), with lanes dealt at random, so that
-    a key with very many copies is thinned by many tasks before they meet.
+    The first step works on (key, time, lane), with lanes dealt at random, so that very many copies of one
+    instant are thinned by many tasks before they meet. It drops only what has a copy of the same instant,
+    so the second step sees each instant of a key and decides as it would alone.
     """
     dealt = with_event_time(stream, ts, delay).withColumn("_lane", F.floor(F.rand(17) * lanes).cast("int"))
-    thinned = dealt.dropDuplicatesWithinWatermark([key, "_lane"]).drop("_lane")
+    thinned = dealt.dropDuplicatesWithinWatermark([key, ts, "_lane"]).drop("_lane")
     return thinned.dropDuplicatesWithinWatermark([key])
 
 

@@ -31,6 +31,21 @@ def test_duplicates_across_restarts(spark, places):
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [0, 1, 2, 5]
 
 
+def test_duplicates_are_those_of_the_plain_operator(spark):
+    parts = [[(1, 0, "a")], [(1, 22 * 60, "a")] * 30 + [(2, 22 * 60, "a")], [(9, 49 * 60, "a")], [(9, 49 * 60, "a")], [(1, 36 * 60, "a"), (2, 37 * 60, "a")]]
+
+    def kept(build):
+        source, out, ck = (scratch_dir(spark, name) for name in ("in", "out", "ck"))
+        for part in parts:
+            land(spark, source, part)
+            jobs.run_available(build(jobs.stream_files(spark, source, SCHEMA)), out, ck)
+        return sorted((r["id"], r["ts"]) for r in spark.read.parquet(out).collect())
+
+    plain = kept(lambda s: jobs.with_event_time(s, "ts", "1 day").dropDuplicatesWithinWatermark(["id"]))
+    assert [i for i, _ in plain] == [1, 1, 2, 9]
+    assert kept(lambda s: jobs.drop_duplicates(s, "ts", "id", "1 day")) == plain
+
+
 def test_state_survives_a_restart(spark, places):
     source, out, ck = places
     with setting(spark, jobs.STATE_STORE_CONF, jobs.ROCKSDB):
