@@ -11,6 +11,7 @@ from millrace.session import scratch_dir, spread, table
 from millrace.sources import sinks
 from millrace.sources import text as tree
 
+# The folders that each job leaves out.
 AUDIT_EXCLUDE = (".venv", "__pycache__")
 CLEAN_EXCLUDE = (".git", ".venv", "__pycache__", "datasets", "node_modules")
 RENAMES = (("cd old/place", "cd new/place"), ("new/place/sub", "new/sub"))

@@ -1,4 +1,4 @@
-"""The text operators against a plain restatement of their rules, and audits of trees on disk."""
+"""The text operators on golden cases and by properties, and audits of trees on disk."""
 
 import re
 
@@ -12,60 +12,6 @@ from millrace.plans.markdown import RENAMES
 from millrace.sources import sinks
 from millrace.sources import text as tree
 
-SHELL = {"bash", "sh", "shell", "zsh", "console"}
-
-
-def twin_lines(text):
-    """(line, role) pairs, by the rule that the last fence marker decides."""
-    out, inside = [], False
-    for line in text.splitlines(keepends=True):
-        word = re.fullmatch(r"\s*```([a-zA-Z][a-zA-Z0-9]*)\s*", line)
-        if inside:
-            inside = line.strip() != "```"
-            out.append((line, "body" if inside else "close"))
-        elif word and word.group(1).lower() in SHELL:
-            inside = True
-            out.append((line, "open"))
-        else:
-            out.append((line, "text"))
-    return out
-
-
-def twin_clean(text, pairs):
-    marked, parts, changes = twin_lines(text), [], 0
-    body: list[str] = []
-
-    def flush():
-        nonlocal changes
-        kept = []
-        for line in body:
-            bare = line.strip()
-            if bare[:1] == "#" and bare[:2] != "#!":
-                changes += 1
-            elif not (bare == "" and kept and not kept[-1].strip()):
-                if re.search(r"\s\s+#\s", line):
-                    shorter = re.split(r"\s\s+#", line.removesuffix("\n"), maxsplit=1)[0].rstrip() + "\n"
-                    changes += shorter != line
-                    line = shorter
-                kept.append(line)
-        solid = [i for i, line in enumerate(kept) if line.strip()]
-        parts.extend(kept[solid[0] : solid[-1] + 1] if solid else [])
-        body.clear()
-
-    for line, role in marked:
-        if role == "body":
-            body.append(line)
-        else:
-            flush()
-            parts.append(line)
-    flush()
-    result = "".join(parts)
-    for old, new in pairs:
-        changes += result.count(old)
-        result = result.replace(old, new)
-    return (result, changes) if changes else (text, 0)
-
-
 PIECES = st.sampled_from(
     ["```bash\n", "```Shell \n", "  ```zsh\n", "```\n", "``` \n", "```python\n", "``` sh\n", "\n", " \n", "\t\n", "#!/bin/sh\n", "# note\n",
      "  # deep\n", "ls\n", "ls  # list\n", "ls   #\n", "ls #no\n", "'a  # b'  # c\n", "cd old/place\n", "new/place/sub", "x\x0b", "y\x85# z\n",
@@ -74,18 +20,52 @@ PIECES = st.sampled_from(
 TEXTS = st.lists(st.lists(PIECES, max_size=14).map("".join), min_size=150, max_size=150)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+GOLDEN = [
+    ("```bash\n# a\nls  # b\n```\n", "```bash\nls\n```\n", 2),
+    ("```sh\n#!/bin/sh\nls\n```\n", None, 0),
+    ("```zsh\n# never closed\nls\n", "```zsh\nls\n", 1),
+    ("```python\n# kept\n```\n", None, 0),
+    ("```python\n```bash\n# opens here\n```\n", "```python\n```bash\n```\n", 1),
+    ("```sh\nls #no\nls  #no\n```\n", None, 0),
+    ("```sh\nls  #\n```\n", "```sh\nls\n```\n", 1),
+    ("```sh\nls\xa0\xa0# two wide blanks\n```\n", "```sh\nls\n```\n", 1),
+    ("```Shell \n# x\n``` \n# y\n", "```Shell \n``` \n# y\n", 1),
+    ("```sh\nls\n\n# c\n\npwd\n```\n", "```sh\nls\n\npwd\n```\n", 1),
+    ("```console\n\n# first\n\n```\ntail", "```console\n```\ntail", 1),
+    ("see cd old/place/sub", "see cd new/sub", 2),
+    ("```sh\n'a  # b'  # c\n```\n", "```sh\n'a\n```\n", 1),
+    ("", None, 0),
+]
+
+
+def test_golden_cases(spark):
+    docs = spark.createDataFrame([(f"/{i}", text) for i, (text, _, _) in enumerate(GOLDEN)], "path string, value string")
+    got = {r["path"]: (r["value"], r["n_changes"]) for r in shell.clean_shell_blocks(docs, RENAMES).collect()}
+    for i, (text, cleaned, changes) in enumerate(GOLDEN):
+        assert got[f"/{i}"] == (text if cleaned is None else cleaned, changes), repr(text)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(TEXTS)
-def test_cleaning_equals_the_restatement(spark, texts):
+def test_properties_of_generated_texts(spark, texts):
     docs = spark.createDataFrame([(f"/{i}", t) for i, t in enumerate(texts)], "path string, value string")
-    got = {r["path"]: (r["value"], r["n_changes"]) for r in shell.clean_shell_blocks(docs, RENAMES).collect()}
-    for i, t in enumerate(texts):
-        assert got[f"/{i}"] == twin_clean(t, RENAMES), repr(t)
     lines = {}
     for r in shell.mark_fences(docs).orderBy("path", "pos").collect():
         lines.setdefault(r["path"], []).append((r["line"], r["role"]))
-    for i, t in enumerate(texts):
-        assert lines.get(f"/{i}", []) == twin_lines(t), repr(t)
+    for r in shell.clean_shell_blocks(docs).collect():
+        text, own = texts[int(r["path"][1:])], lines.get(r["path"], [])
+        assert "".join(line for line, _ in own) == text
+        roles = "".join(role[0] for _, role in own)
+        assert re.fullmatch("(t|ob*c)*(ob*)?", roles), roles
+        if r["n_changes"] == 0:
+            assert r["value"] == text
+        # What lies outside of blocks comes through, in order.
+        at = 0
+        for line, role in own:
+            if role != "body":
+                at = r["value"].index(line, at) + len(line)
+        if "b" not in roles:
+            assert (r["value"], r["n_changes"]) == (text, 0)
 
 
 def test_cleaning_twice_changes_nothing_more(spark):
