@@ -30,15 +30,14 @@ def numbered(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     A source is dealt over runs by that hash, so that no run holds much more than `bucket` rows of it.
     """
     runs = max(1, math.ceil(docs.count() / bucket))
-    hashed = docs.withColumn("mixed", F.xxhash64(*docs.columns)).withColumn("run", F.pmod(F.shiftright("mixed", 32), F.lit(runs)))
-    counts = hashed.groupBy("source", "run").agg(F.count(F.lit(1)).alias("n"))
+    # A key without nulls serves the window and the join, so whole rows are shuffled once.
+    home = F.xxhash64("source", F.col("source").isNull())
+    hashed = docs.withColumn("mixed", F.xxhash64(*docs.columns)).withColumns({"home": home, "run": F.pmod(F.shiftright("mixed", 32), F.lit(runs))})
+    counts = hashed.groupBy("home", "run").agg(F.count(F.lit(1)).alias("n"))
     # One row for each source and run.
-    before = counts.select(
-        F.col("source").alias("s"), F.col("run").alias("r"), (F.sum("n").over(Window.partitionBy("source").orderBy("run")) - F.col("n")).alias("before")
-    )
-    ranked = hashed.withColumn("within", F.row_number().over(Window.partitionBy("source", "run").orderBy("mixed")))
-    joined = ranked.join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("run") == F.col("r")))
-    return joined.select(*docs.columns, (F.col("before") + F.col("within") - 1).alias("nth"))
+    before = counts.select("home", "run", (F.sum("n").over(Window.partitionBy("home").orderBy("run")) - F.col("n")).alias("before"))
+    ranked = hashed.withColumn("within", F.row_number().over(Window.partitionBy("home", "run").orderBy("mixed")))
+    return ranked.join(before, ["home", "run"]).select(*docs.columns, (F.col("before") + F.col("within") - 1).alias("nth"))
 
 
 def round_edges(sizes: DataFrame) -> Column:
