@@ -63,7 +63,8 @@ def shell_blocks(lines: Column) -> Column:
     """Where the shell blocks of a text stand: structs (opening, closing) of line numbers from 0.
 
     An unclosed block has the number of lines as its closing. Fences of other
-    languages are ordinary lines. Only lines that could be a fence are folded.
+    languages are ordinary lines. Whether a mark counts is seen from the mark before it,
+    since after any mark the kind of that mark alone says if a block is open.
     """
     kind = lambda line: F.when(
         F.contains(line, F.lit(FENCE)), F.when(line.rlike(SHELL_FENCE), "open").when(is_fence_close(line), "close")
@@ -71,28 +72,24 @@ def shell_blocks(lines: Column) -> Column:
     marks = F.filter(
         F.transform(lines, lambda line, i: F.struct(i.alias("at"), kind(line).alias("kind"))), lambda m: m["kind"].isNotNull()
     )
-    none = F.array().cast("array<struct<opening:int,closing:int>>")
 
-    def state(opening: Column, found: Column) -> Column:
-        return F.struct(opening.cast("int").alias("opening"), found.alias("found"))
-
-    def extended(acc: Column, closing: Column) -> Column:
-        return F.concat(acc["found"], F.array(F.struct(acc["opening"].alias("opening"), closing.alias("closing"))))
-
-    def step(acc: Column, mark: Column) -> Column:
-        outside = acc["opening"] < 0
-        return (
-            F.when(outside & (mark["kind"] == "open"), state(mark["at"], acc["found"]))
-            .when(~outside & (mark["kind"] == "close"), state(F.lit(-1), extended(acc, mark["at"])))
-            .otherwise(acc)
+    def that(bound: Column, kind: str, inside: bool) -> Column:
+        """Lines of the marks of a kind that stand inside, or outside, a block."""
+        opened = lambda i: F.coalesce(F.get(bound, i - 1)["kind"] == "open", F.lit(False))
+        hits = F.filter(bound, lambda m, i: (m["kind"] == kind) & (opened(i) if inside else ~opened(i)))
+        return F.transform(hits, lambda m: m["at"])
+
+    def paired(bound: Column) -> Column:
+        both = F.struct(that(bound, "open", False).alias("opens"), that(bound, "close", True).alias("closes"))
+        return let(
+            both,
+            lambda b: F.transform(
+                b["opens"],
+                lambda at, i: F.struct(at.alias("opening"), F.coalesce(F.get(b["closes"], i), F.size(lines)).alias("closing")),
+            ),
         )
 
-    return F.aggregate(
-        marks,
-        state(F.lit(-1), none),
-        step,
-        lambda acc: F.when(acc["opening"] < 0, acc["found"]).otherwise(extended(acc, F.size(lines))),
-    )
+    return let(marks, paired)
 
 
 def strip_anchor(url: Column) -> Column:
