@@ -7,13 +7,15 @@ Results go to folders, never to driver memory.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery, StreamingQueryListener
 
 from millrace.session import scratch_dir
 
@@ -123,22 +125,68 @@ def into_folder(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def run_available(result: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
+class _Progress(StreamingQueryListener):
+    """Keeps three numbers of every batch, however many there are; a query itself remembers only its last ones."""
+
+    def __init__(self) -> None:
+        self.batches: dict[str, list[tuple[int, int, int]]] = {}
+        self._ended: set[str] = set()
+        self._change = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        late = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+        self.batches.setdefault(str(p.runId), []).append((p.batchId, p.numInputRows, late))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._change:
+            self._ended.add(str(event.runId))
+            self._change.notify_all()
+
+    def of(self, query: StreamingQuery, seconds: float = 120) -> list[tuple[int, int, int]]:
+        """The batches of a finished query. Its end is reported after all of its batches."""
+        run = str(query.runId)
+        with self._change:
+            if not self._change.wait_for(lambda: run in self._ended, seconds):
+                raise TimeoutError(f"no report that query {run} has ended")
+        return self.batches.get(run, [])
+
+
+@dataclass(frozen=True)
+class Run:
+    """A finished query and (batch, input_rows, late_dropped) of each of its batches."""
+
+    query: StreamingQuery
+    batches: list[tuple[int, int, int]]
+
+
+def run_available(result: DataFrame, path: str, checkpoint: str, mode: str = "append") -> Run:
     """Process what the source holds, write it below `path` and stop."""
-    query = (
-        result.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(into_folder(path))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    streams, progress = result.sparkSession.streams, _Progress()
+    streams.addListener(progress)
+    try:
+        query = (
+            result.writeStream.outputMode(mode)
+            .option("checkpointLocation", checkpoint)
+            .foreachBatch(into_folder(path))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        return Run(query, progress.of(query))
+    finally:
+        streams.removeListener(progress)
 
 
 def drain(
     spark: SparkSession, source: str, schema: S.StructType, ts: str, build: Callable[[DataFrame], DataFrame], label: str
-) -> tuple[DataFrame, list[StreamingQuery]]:
+) -> tuple[DataFrame, list[Run]]:
     """Run a windowed job over all files and close its last windows too.
 
     All files form one batch, so their order does not matter. Then one row with
@@ -160,15 +208,11 @@ def drain(
     return spark.read.parquet(out).drop("batch"), runs
 
 
-def late_rows(spark: SparkSession, runs: list[StreamingQuery]) -> DataFrame:
-    """(run, batch, input_rows, late_dropped) from the progress of finished queries.
+def late_rows(spark: SparkSession, runs: list[Run]) -> DataFrame:
+    """(run, batch, input_rows, late_dropped) of every batch of finished runs.
 
     Spark counts what its state operators drop: raw rows for duplicate removal,
     partial aggregates for windows.
     """
-    rows = [
-        (i, p["batchId"], p["numInputRows"], sum(s["numRowsDroppedByWatermark"] for s in p["stateOperators"]))
-        for i, run in enumerate(runs)
-        for p in run.recentProgress
-    ]
+    rows = [(i, *batch) for i, run in enumerate(runs) for batch in run.batches]
     return spark.createDataFrame(rows, "run int, batch long, input_rows long, late_dropped long")

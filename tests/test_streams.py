@@ -69,6 +69,19 @@ def test_late_rows_are_counted(spark, places):
     assert [(r["user"], r["n"]) for r in spark.read.parquet(out).select("user", "n").collect()] == [("a", 1)]
 
 
+def test_late_rows_of_more_batches_than_a_query_remembers(spark, places):
+    source, out, ck = places
+    with setting(spark, "spark.sql.streaming.numRecentProgressUpdates", "2"):
+        land(spark, source, [(1, 9000, "a")])
+        build = lambda: jobs.with_event_time(jobs.stream_files(spark, source, SCHEMA, 1), "ts", "10 minutes").dropDuplicatesWithinWatermark(["id"])
+        first = jobs.run_available(build(), out, ck)
+        for i in range(5):
+            land(spark, source, [(10 + i, i, "a")])
+        second = jobs.run_available(build(), out, ck)
+    report = jobs.late_rows(spark, [first, second]).groupBy("run").agg(F.sum("input_rows").alias("rows"), F.sum("late_dropped").alias("n")).collect()
+    assert {r["run"]: (r["rows"], r["n"]) for r in report} == {0: (1, 0), 1: (5, 5)}
+
+
 def test_sessions_merge_and_split(spark, places):
     source = places[0]
     land(spark, source, [(1, 0, "a"), (2, 100, "a"), (3, 230, "a"), (4, 1, "b")])
