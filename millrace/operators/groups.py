@@ -9,9 +9,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 from millrace.operators.relational import attach
 
+LANES = 16  # tasks over which partial values of one key are dealt
+
 
 def per_group_model(df: DataFrame, key: str, features: Sequence[str], target: str) -> DataFrame:
     """Least squares per key: (key, n, intercept, one coefficient per feature).
@@ -55,10 +58,40 @@ def per_group_model(df: DataFrame, key: str, features: Sequence[str], target: st
 def mapreduce(
     lines: DataFrame, mapper: Callable[[str], Iterable[tuple]], reducer: Callable = add, schema: str = "key string, value long"
 ) -> DataFrame:
-    """Map each line to pairs and reduce the values of a key with an associative function.
+    """Map each line to (key, value) pairs and reduce the values of a key with an associative, commutative function.
 
-    The one place where rows meet Python one by one, for functions that no
-    expression can say; values are combined in each task before the shuffle.
+    For functions that no expression can say. Lines come in Arrow batches, of which each is combined
+    on its own. Partial values are then combined per (key, lane), with lanes dealt at random, and the
+    few lanes of a key at last, so that a frequent key is spread over tasks; groups pass in batches too.
     """
-    pairs = lines.rdd.flatMap(lambda row: mapper(row[0])).reduceByKey(reducer)
-    return lines.sparkSession.createDataFrame(pairs, schema)
+    text, (key, value) = lines.columns[0], _parse_ddl(schema)
+
+    def combined(pairs: Iterable[tuple]) -> dict:
+        found: dict = {}
+        for k, v in pairs:
+            found[k] = reducer(found[k], v) if k in found else v
+        return found
+
+    def mapped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = combined(pair for line in batch[text] for pair in mapper(line))
+            yield pd.DataFrame({key: pd.Series(list(found), dtype=object), value: pd.Series(list(found.values()), dtype=object)})
+
+    def reduced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows of a key stand together; only the last key of a batch may go on in the next."""
+        last: list = []
+        for batch in batches:
+            found = combined([*last, *zip(batch[key], batch[value])])
+            last = [found.popitem()] if found else []
+            yield pd.DataFrame({key: pd.Series(list(found), dtype=object), value: pd.Series(list(found.values()), dtype=object)})
+        yield pd.DataFrame(last, columns=[key, value], dtype=object)
+
+    partial = lines.select(text).mapInPandas(mapped, schema).withColumn("_lane", F.floor(F.rand(31) * LANES))
+    for keys in ([key, "_lane"], [key]):
+        dealt = partial.repartition(*keys).sortWithinPartitions(key).select(key, value)
+        partial = dealt.mapInPandas(reduced, schema).withColumn("_lane", F.lit(0))
+    return partial.select(key, value)
+
+
+def _parse_ddl(schema: str) -> list[str]:
+    return S.StructType.fromDDL(schema).names
