@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
+from millrace.session import settle
 from millrace.sources.sinks import balanced
 
 PSEUDONYM_KEY_CONF = "spark.millrace.pseudonym.key"
@@ -23,8 +26,16 @@ def pseudonym_key(spark: SparkSession) -> str:
 
 
 def pseudonymize(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
-    """Replace columns by a keyed hash. Equal values stay equal, so joins survive; nulls stay null."""
-    return df.withColumns({c: F.sha2(F.concat(F.lit(key), F.col(c).cast("string")), 256) for c in columns})
+    """Replace columns by their HMAC-SHA256. Equal values stay equal, so joins survive; nulls stay null."""
+    block = key.encode()
+    block = (hashlib.sha256(block).digest() if len(block) > 64 else block).ljust(64, b"\0")
+    inner, outer = (F.lit(bytearray(b ^ pad for b in block)) for pad in (0x36, 0x5C))
+
+    def keyed(value: Column) -> Column:
+        digest = F.unhex(F.sha2(F.concat(inner, F.encode(value.cast("string"), "utf-8")), 256))
+        return F.sha2(F.concat(outer, digest), 256)
+
+    return df.withColumns({c: keyed(F.col(c)) for c in columns})
 
 
 def anonymize(df: DataFrame, quasi: Mapping[str, Column], k: int) -> DataFrame:
@@ -50,56 +61,59 @@ class Linked:
 
 
 def erase_subjects(tables: Mapping[str, Linked], ids: DataFrame, id_column: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Remove subjects from linked tables; parents stand before their children.
+    """Write all linked tables without the subjects' rows; parents stand before their children.
 
-    Gives the remaining rows per table and a proof table (table, rows_before,
-    rows_erased, rows_left_of_subjects).
+    Gives the written tables and a proof (table, rows_before, rows_erased, rows_left_of_subjects). Rows
+    erased and rows left are counted in what was written, read back: the former against the table as it
+    was, the latter by the keys to erase. The keys of a level are written once and serve all its children.
     """
-    doomed: dict[str, DataFrame] = {}
+    keys_of: dict[tuple, DataFrame] = {}
     kept: dict[str, DataFrame] = {}
-    proofs = []
+    counts = []
+
+    def doomed(parent: str | None, column: str) -> DataFrame:
+        if (parent, column) not in keys_of:
+            if parent is None:
+                found = ids.select(F.col(column).alias("_k"))
+            else:
+                above = tables[parent]
+                mine = doomed(above.parent, id_column if above.parent is None else above.parent_key)
+                found = above.df.join(mine, F.col(above.column) == F.col("_k"), "left_semi").select(F.col(column).alias("_k"))
+            keys_of[parent, column] = settle(found.where("_k is not null").distinct(), f"erased-keys-{len(keys_of)}")
+        return keys_of[parent, column]
+
     for name, t in tables.items():
-        if t.parent is None:
-            keys = ids.select(F.col(id_column).alias("_k"))
-        else:
-            keys = doomed[t.parent].select(F.col(t.parent_key).alias("_k"))
-        keys = keys.where("_k is not null").distinct()
+        keys = doomed(t.parent, id_column if t.parent is None else t.parent_key)
         same = F.col(t.column) == F.col("_k")
-        doomed[name] = t.df.join(keys, same, "left_semi")
-        kept[name] = t.df.join(keys, same, "left_anti")
-        counts = t.df.groupBy(F.col(t.column).alias("_c")).agg(F.count("*").alias("n"))
-        flagged = counts.join(keys.withColumn("hit", F.lit(True)), F.col("_c") == F.col("_k"), "left")
-        left = kept[name].join(keys, same, "left_semi").agg(F.count("*").alias("left"))
-        before = flagged.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows_before"),
-            F.coalesce(F.sum(F.when(F.col("hit"), F.col("n"))), F.lit(0)).alias("rows_erased"),
-        )
-        part = before.select(F.lit(name).alias("table"), "rows_before", "rows_erased", F.lit(0).cast("long").alias("rows_left_of_subjects"))
-        rest = left.select(F.lit(name).alias("table"), F.lit(0).cast("long").alias("rows_before"), F.lit(0).cast("long").alias("rows_erased"), F.col("left").alias("rows_left_of_subjects"))
-        proofs += [part, rest]
-    proof = proofs[0]
-    for p in proofs[1:]:
-        proof = proof.unionByName(p)
-    summed = [F.sum(c).alias(c) for c in ("rows_before", "rows_erased", "rows_left_of_subjects")]
-    return kept, proof.groupBy("table").agg(*summed)
+        kept[name] = settle(t.df.join(keys, same, "left_anti"), f"erased-{name}")
+        for df, before, written, left in (
+            (t.df, 1, 0, 0), (kept[name], 0, 1, 0), (kept[name].join(keys, same, "left_semi"), 0, 0, 1),
+        ):
+            n = F.count("*")
+            counts.append(df.agg(F.lit(name).alias("table"), (n * before).alias("before"), (n * written).alias("written"), (n * left).alias("left")))
+    proof = reduce(DataFrame.unionByName, counts).groupBy("table").agg(*[F.sum(c).alias(c) for c in ("before", "written", "left")])
+    return kept, proof.select(
+        "table", F.col("before").alias("rows_before"), (F.col("before") - F.col("written")).alias("rows_erased"),
+        F.col("left").alias("rows_left_of_subjects"),
+    )
 
 
 def rewrite_affected(df: DataFrame, column: str, ids: DataFrame, id_column: str, partition: str, path: str) -> DataFrame:
     """Write the remaining rows of the partitions that hold a subject, and only of those.
 
-    Gives (partition, rows_before, rows_after), so that the caller swaps these
-    folders in and drops the ones with no row left.
+    Gives (partition, rows_before, rows_after), the latter counted in the written
+    files, so that the caller swaps these folders in and drops the ones with no row left.
     """
     keys = ids.select(F.col(id_column).alias("_k")).distinct().withColumn("_hit", F.lit(True))
     flagged = df.join(keys, F.col(column) == F.col("_k"), "left").drop("_k")
-    affected = (
-        flagged.groupBy(partition)
-        .agg(F.count("*").alias("rows_before"), F.count(F.when(F.col("_hit").isNull(), 1)).alias("rows_after"))
-        .where("rows_before > rows_after")
+    affected = settle(
+        flagged.groupBy(partition).agg(F.count("*").alias("rows_before"), F.count("_hit").alias("_hits")).where("_hits > 0").drop("_hits"),
+        "affected",
     )
     kept = flagged.where("_hit is null").drop("_hit").join(affected.select(partition), partition, "left_semi")
     balanced(kept, [partition]).write.partitionBy(partition).parquet(path)
-    return affected
+    written = df.sparkSession.read.schema(kept.schema).parquet(path).groupBy(partition).agg(F.count("*").alias("rows_after"))
+    return affected.join(written, partition, "left").na.fill(0, ["rows_after"])
 
 
 def consent_filter(df: DataFrame, subject: str, at: str, consents: DataFrame) -> DataFrame:
@@ -137,10 +151,15 @@ def role_view(df: DataFrame, role: str, policy: Policy, grants: DataFrame) -> Da
 def fingerprint(df: DataFrame) -> DataFrame:
     """(n_rows, sum_a, sum_b): a digest of the rows that does not depend on their order.
 
-    Rows are hashed over their columns in name order, nulls apart from empty
-    text; two 60-bit slices of each hash are summed.
+    Rows are hashed over their columns in name order, each with its name and type, nulls apart
+    from empty text; two 60-bit slices of each hash are summed.
     """
-    cells = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in sorted(df.columns)]
+
+    def cell(name: str) -> Column:
+        head = f"{name}:{df.schema[name].dataType.simpleString()}"
+        return F.coalesce(F.concat(F.lit(f"{head}="), F.col(name).cast("string")), F.lit(f"{head}-"))
+
+    cells = [cell(c) for c in sorted(df.columns)]
     sized = [F.concat(F.length(c).cast("string"), c) for c in cells]
     digest = F.sha2(F.concat(*sized), 256)
     hashed = df.select(digest.alias("h"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -30,8 +31,13 @@ def heavy_hitters(items: DataFrame, item: str, k: int, tracked: int = 10_000) ->
     return top.select(F.inline("top")).toDF(item, "estimate")
 
 
-def count_min(items: DataFrame, item: str, depth: int = 5, width: int = 1 << 16) -> DataFrame:
-    """Count-min table (lane, cell, n) of at most depth x width rows.
+def count_min_size(error: float, confidence: float) -> tuple[int, int]:
+    """(depth, width) so that an estimate exceeds the truth by at most `error` times the number of all items, with this confidence."""
+    return math.ceil(math.log(1 / (1 - confidence))), math.ceil(math.e / error)
+
+
+def count_min(items: DataFrame, item: str, depth: int, width: int) -> DataFrame:
+    """Count-min table (lane, cell, n) of at most depth x width rows, see count_min_size.
 
     Each task first adds up its own cells, so an item that fills a third of the
     data sends one row per lane and task.
@@ -44,7 +50,7 @@ def _cell(item: str, width: int) -> Column:
     return F.pmod(F.xxhash64(F.col("lane"), F.col(item)), F.lit(width))
 
 
-def count_min_estimate(table: DataFrame, probes: DataFrame, item: str, depth: int = 5, width: int = 1 << 16) -> DataFrame:
+def count_min_estimate(table: DataFrame, probes: DataFrame, item: str, depth: int, width: int) -> DataFrame:
     """(item, estimate) for distinct probes; an estimate is never below the true count."""
     lanes = probes.select(item, F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("lane"))
     keyed = lanes.withColumn("cell", _cell(item, width))
@@ -66,6 +72,15 @@ def sketch_quantiles(sketches: DataFrame, keys: Sequence[str], probs: Sequence[f
     return sketches.select(*keys, F.inline(F.array(*read)))
 
 
+def bloom_blocks(items: int, rate: float, hashes: int = 5) -> int:
+    """Number of blocks for so many distinct items and this share of false positives.
+
+    A fifth is added, since items fall unevenly on the blocks.
+    """
+    bits = -hashes / math.log(1 - rate ** (1 / hashes))
+    return max(1, math.ceil(1.2 * items * bits / BLOCK_BITS))
+
+
 def _bloom_block(item: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(item), F.lit(blocks))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import secrets
 
 from pyspark.sql import functions as F
 
@@ -11,8 +12,9 @@ from millrace.operators.privacy import Linked, Policy
 from millrace.operators.relational import top_k, word_count
 from millrace.session import scratch_dir, spread, table
 
-# Used when the session names no key, so that the SQL twin can hash alike.
-DEMO_KEY = "demo-key/"
+# Bounds of the sketches: count-min as a share of all items with a confidence, Bloom as a share of strangers let through.
+COUNT_MIN_ERROR, COUNT_MIN_CONFIDENCE = 1e-4, 0.99
+BLOOM_RATE = 0.01
 
 
 def _words(spark, sf_dir):
@@ -41,14 +43,18 @@ def a9b_heavy_hitters(spark, sf_dir):
 
 
 def a9b_count_min(spark, sf_dir):
-    """All words: estimates that fall below the truth (none may) and the truth's totals."""
+    """All words: totals, estimates below the truth (none may be), and whether as few lie above the error bound as promised."""
     counts = word_count(spread(table(spark, sf_dir, "documents"), "doc_id"))
-    estimate = sketches.count_min_estimate(sketches.count_min(_words(spark, sf_dir), "word"), counts, "word")
-    both = counts.join(estimate, "word")
+    depth, width = sketches.count_min_size(COUNT_MIN_ERROR, COUNT_MIN_CONFIDENCE)
+    cells = sketches.count_min(_words(spark, sf_dir), "word", depth, width)
+    both = counts.join(sketches.count_min_estimate(cells, counts, "word", depth, width), "word")
+    all_items = counts.agg(F.sum("n")).scalar()
+    above = F.col("estimate") > F.col("n") + COUNT_MIN_ERROR * all_items
     return both.agg(
         F.count("*").alias("n_words"),
         F.sum("n").alias("n_total"),
         F.sum((F.col("estimate") < F.col("n")).cast("int")).alias("n_below"),
+        (F.avg(above.cast("int")) <= 1 - COUNT_MIN_CONFIDENCE).cast("int").alias("within_bound"),
     )
 
 
@@ -68,15 +74,13 @@ def a9c_quantile_sketch(spark, sf_dir):
     return shares.select("event_type", "p", near.cast("int").alias("near"))
 
 
-BLOOM_BLOCKS = 64
-
-
 def a9d_bloom_member(spark, sf_dir):
-    """Customers with a pricey order as a filter, all customers as probes."""
+    """Customers with a pricey order as a filter of a size that follows from their number, all customers as probes."""
     members = table(spark, sf_dir, "orders").where("o_totalprice > 490000").select(F.col("o_custkey").alias("k")).distinct()
-    bloom = sketches.bloom_filter(members, "k", BLOOM_BLOCKS)
+    blocks = sketches.bloom_blocks(members.count(), BLOOM_RATE)
+    bloom = sketches.bloom_filter(members, "k", blocks)
     probes = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
-    tested = sketches.bloom_member(probes, "k", bloom, BLOOM_BLOCKS)
+    tested = sketches.bloom_member(probes, "k", bloom, blocks)
     marked = tested.join(members.withColumn("inside", F.lit(1)), "k", "left").na.fill(0, ["inside"])
     return marked.agg(
         F.sum("inside").alias("n_members"),
@@ -86,18 +90,23 @@ def a9d_bloom_member(spark, sf_dir):
 
 
 def _key(spark):
-    return spark.conf.get(privacy.PSEUDONYM_KEY_CONF, DEMO_KEY)
+    """The configured key; without one a random key that nobody learns, so that two runs cannot be linked."""
+    configured = spark.conf.get(privacy.PSEUDONYM_KEY_CONF, None)
+    return privacy.pseudonym_key(spark) if configured else secrets.token_hex(32)
 
 
 def g1_pseudonymize(spark, sf_dir):
-    """Customers and their order counts, joined on pseudonyms."""
+    """What a join on pseudonyms keeps, whatever the key: people, names and orders of each nation and segment."""
     key = _key(spark)
     customer = privacy.pseudonymize(table(spark, sf_dir, "customer"), ["c_custkey", "c_name"], key)
     orders = privacy.pseudonymize(table(spark, sf_dir, "orders").select("o_custkey"), ["o_custkey"], key)
     counts = orders.groupBy("o_custkey").agg(F.count("*").alias("n_orders"))
-    return customer.join(counts, F.col("c_custkey") == F.col("o_custkey"), "left").select(
-        "c_custkey", "c_name", "c_nationkey", "n_orders"
-    )
+    joined = customer.join(counts, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return joined.groupBy("c_nationkey", "c_mktsegment").agg(
+        F.countDistinct("c_custkey").alias("n_people"), F.countDistinct("c_name").alias("n_names"),
+        F.count("n_orders").alias("n_buyers"), F.coalesce(F.sum("n_orders"), F.lit(0)).alias("n_orders"),
+        F.min(F.length("c_custkey")).alias("length"),
+    )
 
 
 def g2_anonymize(spark, sf_dir):
@@ -225,22 +234,24 @@ def _hits(i: int) -> str:
     return f"len(regexp_extract_all({_redacted(i)}, '{_re2(pattern)}')) AS n_{kind}"
 
 
-def _cell(column: str) -> str:
-    cell = f"coalesce('=' || CAST({column} AS VARCHAR), '-')"
+def _cell(column: str, kind: str) -> str:
+    cell = f"coalesce('{column}:{kind}=' || CAST({column} AS VARCHAR), '{column}:{kind}-')"
     return f"CAST(length({cell}) AS VARCHAR) || {cell}"
 
 
-_ROW_HASH = f"sha256({' || '.join(_cell(c) for c in ('c_acctbal', 'c_custkey', 'c_mktsegment', 'c_name', 'c_nationkey'))})"
+_CUSTOMER = {"c_acctbal": "double", "c_custkey": "bigint", "c_mktsegment": "string", "c_name": "string", "c_nationkey": "int"}
+_ROW_HASH = f"sha256({' || '.join(_cell(c, kind) for c, kind in _CUSTOMER.items())})"
 
 ORACLES = {
     "a9a_approx_distinct": """SELECT event_type, count(DISTINCT user_id) AS exact, 1 AS direct_near, 1 AS merged_near FROM events GROUP BY event_type""",
     "a9b_heavy_hitters": f"WITH {_WORDS} SELECT word, count(*) AS n, 1 AS reported FROM words GROUP BY word ORDER BY n DESC, word LIMIT 20",
-    "a9b_count_min": f"WITH {_WORDS} SELECT count(DISTINCT word) AS n_words, count(*) AS n_total, CAST(0 AS BIGINT) AS n_below FROM words",
+    "a9b_count_min": f"WITH {_WORDS} SELECT count(DISTINCT word) AS n_words, count(*) AS n_total, CAST(0 AS BIGINT) AS n_below, 1 AS within_bound FROM words",
     "a9c_quantile_sketch": "SELECT event_type, p, 1 AS near FROM (SELECT DISTINCT event_type FROM events), (SELECT CAST(unnest([0.25, 0.5, 0.9]) AS DOUBLE) AS p)",
     "a9d_bloom_member": """SELECT count(DISTINCT o_custkey) AS n_members, count(DISTINCT o_custkey) AS n_found, 1 AS few_false
         FROM orders WHERE o_totalprice > 490000""",
-    "g1_pseudonymize": f"""SELECT sha256(concat('{DEMO_KEY}', CAST(c_custkey AS VARCHAR))) AS c_custkey, sha256(concat('{DEMO_KEY}', c_name)) AS c_name,
-        c_nationkey, n_orders FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY 1) ON c_custkey = o_custkey""",
+    "g1_pseudonymize": """SELECT c_nationkey, c_mktsegment, count(DISTINCT c_custkey) AS n_people, count(DISTINCT c_name) AS n_names, count(n_orders) AS n_buyers,
+        CAST(coalesce(sum(n_orders), 0) AS BIGINT) AS n_orders, 64 AS length
+        FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY 1) ON c_custkey = o_custkey GROUP BY 1, 2""",
     "g2_anonymize": """SELECT c_mktsegment, c_nationkey, CAST(floor(c_acctbal / 2500) * 2500 AS BIGINT) AS c_acctbal, count(*) AS n
         FROM customer GROUP BY 1, 2, 3 HAVING count(*) >= 5""",
     "g3_erase_subjects": f"""WITH {_DOOMED}, o AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM doomed))

@@ -37,7 +37,7 @@ def test_no_broadcast_beyond_the_threshold(spark, sf_dir):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in ("j2_join_star", "j1_broken_links", "j4_semi_filter", "a12_regular_report", "w1_rank_within", "g3_erase_subjects", "m9_tfidf"):
+        for name in ("j2_join_star", "j1_broken_links", "j4_semi_filter", "a12_regular_report", "w1_rank_within", "g3_remaining_lines", "m9_tfidf"):
             assert "BroadcastHashJoin" not in physical(QUERIES[name](spark, sf_dir)), name
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -1,5 +1,7 @@
 """Privacy, evidence, sketches and per-group Python."""
 
+import hashlib
+import hmac
 import re
 
 import numpy as np
@@ -16,7 +18,7 @@ def test_fingerprint_ignores_order_but_no_edit(spark):
     df = spark.range(200).select("id", (F.col("id") * 2).alias("v"), F.when(F.col("id") % 5 == 0, None).otherwise("x").alias("s"))
     base = privacy.fingerprint(df).first()
     assert privacy.fingerprint(df.repartition(7).orderBy(F.desc("id")).select("s", "v", "id")).first() == base
-    for edited in (df.where("id <> 3"), df.withColumn("v", F.when(F.col("id") == 9, 0).otherwise(F.col("v"))), df.fillna(""), df.union(df.limit(1))):
+    for edited in (df.where("id <> 3"), df.withColumn("v", F.when(F.col("id") == 9, 0).otherwise(F.col("v"))), df.fillna(""), df.union(df.limit(1)), df.withColumnRenamed("v", "w"), df.withColumn("v", F.col("v").cast("int"))):
         assert privacy.fingerprint(edited).first() != base
 
 
@@ -26,6 +28,9 @@ def test_pseudonyms_join_and_depend_on_the_key(spark):
     assert one.join(privacy.pseudonymize(a, ["id"], "k1").withColumnRenamed("n", "m"), "id").count() == 2
     assert one.join(two, "id").count() == 0
     assert one.where("n is null").count() == 1
+    for key in ("k", "k" * 100):
+        name = privacy.pseudonymize(a, ["n"], key).where("id = 1").first()["n"]
+        assert name == hmac.new(key.encode(), b"x", hashlib.sha256).hexdigest()
 
 
 def test_the_key_comes_from_the_session(spark):
@@ -102,6 +107,15 @@ def test_bloom_has_no_false_negatives(spark):
     assert bloom.count() == 4 and bloom.agg(F.max(F.octet_length("bits"))).first()[0] == 4096
 
 
+def test_bloom_keeps_its_bound_with_many_members(spark):
+    members = spark.range(1_000_000)
+    blocks = sketches.bloom_blocks(1_000_000, 0.01)
+    bloom = sketches.bloom_filter(members, "id", blocks)
+    tested = sketches.bloom_member(spark.range(900_000, 1_100_000), "id", bloom, blocks)
+    assert tested.where("id < 1000000 and not maybe").count() == 0
+    assert tested.where("id >= 1000000 and maybe").count() < 1_000
+
+
 def test_count_min_never_underestimates_a_hot_item(spark):
     items = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("x"))
     table = sketches.count_min(items, "x", 4, 512)
