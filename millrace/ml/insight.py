@@ -24,7 +24,7 @@ def weights(model: PipelineModel, names: Sequence[str]) -> DataFrame:
     """(feature, weight): coefficients of a linear model or importances of a tree model."""
     last = model.stages[-1]
     values = last.coefficients if hasattr(last, "coefficients") else last.featureImportances
-    rows = [(n, float(v)) for n, v in zip(names, values.toArray())]
+    rows = [(n, float(v)) for n, v in zip(names, values.toArray(), strict=True)]
     if not rows:
         raise ValueError("no feature names")
     return SparkSession.active().createDataFrame(rows, "feature string, weight double")
@@ -55,11 +55,13 @@ def permuted(df: DataFrame, key: str, column: str, buckets: int) -> DataFrame:
 
 
 def permutation_importance(
-    model: PipelineModel, df: DataFrame, key: str, columns: Sequence[str], score: Callable[[DataFrame], float], bucket_rows: int = 10_000
+    model: PipelineModel, df: DataFrame, key: str, columns: Sequence[str], score: Callable[[DataFrame], float], buckets: int
 ) -> DataFrame:
-    """(column, drop): how much the score falls when a column's values are moved between rows."""
+    """(column, drop): how much the score falls when a column's values are moved between rows.
+
+    The caller says how many buckets the rows are dealt into, so that equal rows move equally in every run.
+    """
     with models.kept(df):
-        buckets = df.count() // bucket_rows + 1
         base = score(model.transform(df))
         rows = [(c, float(base - score(model.transform(permuted(df, key, c, buckets))))) for c in columns]
     return df.sparkSession.createDataFrame(rows, "column string, drop double")

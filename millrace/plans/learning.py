@@ -15,6 +15,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from millrace.ml import insight, models, relations
+from millrace.operators.quantiles import quantiles
 from millrace.operators.relational import exact
 from millrace.session import scratch_dir, spread, table
 
@@ -159,7 +160,7 @@ def transactions(spark, sf_dir):
 def m11_large_transactions(spark, sf_dir):
     """LR and RF for "large": above the training rows' 90th percentile. The amount itself is no feature."""
     train, test = models.split(transactions(spark, sf_dir), "o_orderkey")
-    cut = train.approxQuantile("o_totalprice", [0.9], 0.001)[0]
+    cut = quantiles(train.withColumn("_all", F.lit(0)), ["_all"], "o_totalprice", [0.9]).first()["quantile"]
     label = (F.col("o_totalprice") > cut).cast("double").alias("label")
     cat, num = ["o_orderstatus", "o_orderpriority"], ["month", "n_lines", "mean_discount", "quantity"]
     rows = []
@@ -252,7 +253,7 @@ def m17_weights(spark, sf_dir):
 def m17_permutation_importance(spark, sf_dir):
     model, _, test = _quality_model(spark, sf_dir, models.logistic())
     evaluator = BinaryClassificationEvaluator()
-    return insight.permutation_importance(model, test, "doc_id", TEXT_NUMBERS, evaluator.evaluate)
+    return insight.permutation_importance(model, test, "doc_id", TEXT_NUMBERS, evaluator.evaluate, buckets=64)
 
 
 def m18_rolling_anomalies(spark, sf_dir):
@@ -290,7 +291,9 @@ def m19_language_classifier(spark, sf_dir):
 
 def m20_drift_report(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    middle = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    day = lambda f: F.to_date(f("ts"))
+    # The first half of the days is the reference.
+    middle = events.agg(F.date_add(day(F.min), F.floor(F.datediff(day(F.max), day(F.min)) / 2).cast("int")).cast("timestamp_ntz")).scalar()
     bins = {
         "event_type": F.col("event_type"),
         "value": F.when(F.col("value") >= 100, 10).otherwise(F.floor(F.col("value") / 10)).cast("int"),
@@ -348,9 +351,10 @@ ORACLES = {
         SELECT event_id, e.event_type, value, round(a - 1.5 * (b - a), 6) AS low, round(b + 1.5 * (b - a), 6) AS high
         FROM events e JOIN q ON e.event_type = q.event_type WHERE value < a - 1.5 * (b - a) OR value > b + 1.5 * (b - a)""",
     "m19_language_classifier": _COUNTS + "documents",
-    "m20_drift_report": """WITH c AS (SELECT 'event_type' AS feature, event_type AS bin, ts FROM events UNION ALL SELECT 'value',
+    "m20_drift_report": """WITH m AS (SELECT CAST(min(ts) AS DATE) + CAST(date_diff('day', min(ts), max(ts)) // 2 AS INTEGER) AS middle FROM events),
+        c AS (SELECT 'event_type' AS feature, event_type AS bin, ts FROM events UNION ALL SELECT 'value',
           CAST(CASE WHEN value >= 100 THEN 10 ELSE CAST(floor(value / 10) AS INTEGER) END AS VARCHAR), ts FROM events),
-        b AS (SELECT feature, bin, count(*) FILTER (ts < TIMESTAMP '2024-01-16') AS n_ref, count(*) FILTER (ts >= TIMESTAMP '2024-01-16') AS n_cur FROM c GROUP BY 1, 2),
+        b AS (SELECT feature, bin, count(*) FILTER (ts < (SELECT middle FROM m)) AS n_ref, count(*) FILTER (ts >= (SELECT middle FROM m)) AS n_cur FROM c GROUP BY 1, 2),
         s AS (SELECT *, greatest(n_ref / sum(n_ref) OVER (PARTITION BY feature), 1e-6) AS p, greatest(n_cur / sum(n_cur) OVER (PARTITION BY feature), 1e-6) AS q FROM b)
         SELECT feature, bin, n_ref, n_cur, round((q - p) * ln(q / p), 8) AS psi_part FROM s""",
 }

@@ -73,7 +73,7 @@ def test_permutation_keeps_values_and_finds_the_column(fitted):
     moved = insight.permuted(test, "id", "balance", 3)
     assert moved.select("balance").exceptAll(test.select("balance")).count() == 0
     assert moved.join(test.select("id", F.col("balance").alias("b")), "id").where("b = balance").count() < 30
-    drops = {r["column"]: r["drop"] for r in insight.permutation_importance(model, test, "id", ["balance", "area"], BinaryClassificationEvaluator().evaluate, 200).collect()}
+    drops = {r["column"]: r["drop"] for r in insight.permutation_importance(model, test, "id", ["balance", "area"], BinaryClassificationEvaluator().evaluate, 3).collect()}
     assert drops["balance"] > 0.1 > abs(drops["area"])
 
 
