@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Model, PipelineModel
@@ -68,43 +67,42 @@ def permutation_importance(
 
 
 def data_card(df: DataFrame, name: str, label: str | None = None) -> DataFrame:
-    """One row of facts on a table: rows, columns, nulls per column and label balance, as JSON."""
-    nulls = df.agg(F.count("*").alias("_rows"), *[F.sum(F.col(c).isNull().cast("int")).alias(c) for c in df.columns]).first()
-    facts = {
-        "name": name,
-        "rows": nulls["_rows"],
-        "columns": {f.name: f.dataType.simpleString() for f in df.schema.fields},
-        "nulls": {c: nulls[c] or 0 for c in df.columns},
-    }
+    """Facts on a table as (name, section, item, n): rows, nulls of each column with its type, and rows of each label value.
+
+    A relation of any size: nothing is collected, however many label values there are.
+    """
+    counted = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    facts = [("rows", "all", F.col("_rows"))]
+    facts += [("nulls", f"{f.name} {f.dataType.simpleString()}", F.col(f.name)) for f in df.schema.fields]
+    cells = [F.struct(F.lit(section).alias("section"), F.lit(item).alias("item"), n.alias("n")) for section, item, n in facts]
+    card = counted.select(F.inline(F.array(*cells)))
     if label is not None:
-        models.check_categories(df, [label])
-        balance = df.groupBy(label).agg(F.count("*").alias("n")).collect()
-        facts["label_balance"] = {str(r[label]): r["n"] for r in balance}
-    text = json.dumps(facts, sort_keys=True, ensure_ascii=False)
-    return df.sparkSession.createDataFrame([(name, nulls["_rows"], text)], "name string, n_rows long, card string")
+        balance = df.groupBy(F.col(label).cast("string").alias("item")).agg(F.count("*").alias("n"))
+        card = card.unionByName(balance.select(F.lit("label_balance").alias("section"), "item", "n"))
+    return card.select(F.lit(name).alias("name"), "section", "item", "n")
 
 
 def model_card(
     pred: DataFrame, name: str, intended_use: str, limits: str, label: str, group: str, train_rows: int
 ) -> DataFrame:
-    """One row documenting a model: purpose, limits, data, metrics, and metrics per group, as JSON."""
+    """A model documented as (name, section, item, n, value, text): purpose, limits, rows, metrics, and metrics per group.
+
+    `n` counts rows, `value` holds a metric. Groups are rows of the card and never collected.
+    """
     metrics = models.classification_metrics(pred, label)
-    models.check_categories(pred, [group])
-    by_group = pred.groupBy(group).agg(
-        F.count("*").alias("n"),
-        F.avg((F.col(label) == F.col("prediction")).cast("int")).alias("accuracy"),
-        F.avg(F.col("prediction")).alias("selection_rate"),
+    chance = "better than chance" if metrics.get("auc", 0.0) > 0.6 else "no better than chance"
+    head = [("purpose", "intended use", None, None, intended_use), ("purpose", "limits", None, None, limits)]
+    head += [("rows", "train", train_rows, None, None), ("metrics", "verdict", None, None, chance)]
+    head += [("metrics", k, None, round(v, 4), None) for k, v in metrics.items()]
+    card = pred.sparkSession.createDataFrame(head, "section string, item string, n long, value double, text string")
+    hits = F.avg((F.col(label) == F.col("prediction")).cast("int"))
+    by_group = pred.groupBy(F.col(group).cast("string").alias("item")).agg(
+        F.count("*").alias("n"), hits.alias("accuracy"), F.avg("prediction").alias("selection_rate")
     )
-    card = {
-        "name": name,
-        "intended_use": intended_use,
-        "limits": limits,
-        "train_rows": train_rows,
-        "test_rows": pred.count(),
-        "metrics": {k: round(v, 4) for k, v in metrics.items()},
-        "better_than_chance": metrics.get("auc", 0.0) > 0.6,
-        "groups": {str(r[group]): {"n": r["n"], "accuracy": round(r["accuracy"], 4), "selection_rate": round(r["selection_rate"], 4)} for r in by_group.collect()},
-    }
-    text = json.dumps(card, sort_keys=True, ensure_ascii=False)
-    rows = [(name, card["test_rows"], card["better_than_chance"], text)]
-    return pred.sparkSession.createDataFrame(rows, "name string, test_rows long, better_than_chance boolean, card string")
+    missing = F.lit(None).cast("string")
+    measures = [
+        F.struct(F.lit(f"group {m}").alias("section"), F.col("item"), F.col("n"), F.round(m, 4).alias("value"), missing.alias("text"))
+        for m in ("accuracy", "selection_rate")
+    ]
+    tested = pred.agg(F.lit("rows").alias("section"), F.lit("test").alias("item"), F.count("*").alias("n"), F.lit(None).cast("double").alias("value"), missing.alias("text"))
+    return card.unionByName(tested).unionByName(by_group.select(F.inline(F.array(*measures)))).select(F.lit(name).alias("name"), "*")

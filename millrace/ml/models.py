@@ -37,8 +37,6 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_CATEGORIES = 10_000
-
 
 @contextmanager
 def kept(df: DataFrame):
@@ -62,18 +60,12 @@ def split(df: DataFrame, key: str, folds: int = 5) -> tuple[DataFrame, DataFrame
     return numbered.where("fold <> 0"), numbered.where("fold = 0")
 
 
-def check_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
-    """An indexer keeps its categories on the driver, so their number is checked first."""
-    if not columns:
-        return
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    large = [c for c in columns if counts[c] > limit]
-    if large:
-        raise ValueError(f"more than {limit} categories in {large}: pass them as hashed")
-
-
 def feature_stages(cat: Sequence[str], num: Sequence[str], hashed: Sequence[str] = (), scale: bool = True) -> list:
-    """Index, one-hot, impute, assemble and scale. `hashed` takes columns with very many categories."""
+    """Index, one-hot, impute, assemble and scale.
+
+    The categories of `cat` are part of the model, which the driver holds; columns whose categories
+    grow with the data go to `hashed`, which keeps none.
+    """
     stages: list = []
     parts: list[str] = []
     if cat:
@@ -108,8 +100,7 @@ def text_stages(column: str, features: int = 1 << 14) -> list:
     ]
 
 
-def fit(df: DataFrame, stages: list, estimator: Estimator, cat: Sequence[str] = ()) -> PipelineModel:
-    check_categories(df, cat)
+def fit(df: DataFrame, stages: list, estimator: Estimator) -> PipelineModel:
     with kept(df):
         return Pipeline(stages=[*stages, estimator]).fit(df)
 
@@ -226,7 +217,7 @@ def save_version(model: Model, root: str, name: str, metrics: dict[str, float])
     One writer per model name; a version is never overwritten.
     """
     spark = SparkSession.active()
-    version = (max((r["version"] for r in versions(spark, root, name).select("version").collect()), default=0)) + 1
+    version = (versions(spark, root, name).agg(F.max("version")).first()[0] or 0) + 1
     path = f"{root}/{name}/v{version}"
     model.write().save(path)
     row = [(name, version, path, {k: float(v) for k, v in metrics.items()})]

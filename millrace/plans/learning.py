@@ -43,7 +43,7 @@ def labelled_documents(spark, sf_dir):
 
 def _quality_model(spark, sf_dir, estimator):
     train, test = models.split(labelled_documents(spark, sf_dir).drop("text"), "doc_id")
-    model = models.fit(train, models.feature_stages(["lang"], TEXT_NUMBERS), estimator, ["lang"])
+    model = models.fit(train, models.feature_stages(["lang"], TEXT_NUMBERS), estimator)
     return model, train, test
 
 
@@ -57,7 +57,6 @@ def _report(spark, train, pred, good):
 def m1_features(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
     cat = ["c_mktsegment", "c_nationkey"]
-    models.check_categories(customer, cat)
     vectors = Pipeline(stages=models.feature_stages(cat, ["c_acctbal"])).fit(customer).transform(customer)
     slots = vectors.select(F.size(vector_to_array("features")).alias("slots"))
     return slots.groupBy("slots").agg(F.count("*").alias("n"))
@@ -93,7 +92,7 @@ def m5_forest_regression(spark, sf_dir):
         F.regexp_count("text", F.lit(r"\p{L}+")).alias("n_words"), F.size(F.split("text", "\n")).alias("n_lines"),
     )
     train, test = models.split(docs, "doc_id")
-    model = models.fit(train, models.feature_stages(["lang"], ["n_words", "n_lines"], scale=False), models.forest_regressor(), ["lang"])
+    model = models.fit(train, models.feature_stages(["lang"], ["n_words", "n_lines"], scale=False), models.forest_regressor())
     metrics = models.regression_metrics(model.transform(test))
     return spark.createDataFrame([(train.count(), test.count(), int(metrics["r2"] > 0.7))], "n_train long, n_test long, learned int")
 
@@ -103,8 +102,16 @@ def _vectors(spark, sf_dir):
 
 
 def m6_kmeans(spark, sf_dir):
+    """Vectors, clusters in use, and vectors that do not lie in the cluster of their nearest centre."""
     rows = _vectors(spark, sf_dir)
-    return models.fit_kmeans(rows, 10).transform(rows).groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("n"))
+    model = models.fit_kmeans(rows, 10)
+    centres = F.array(*[F.struct(F.array(*[F.lit(float(x)) for x in c]).alias("at"), F.lit(i).alias("number")) for i, c in enumerate(model.clusterCenters())])
+    own = vector_to_array("features")
+    squared = lambda at: F.aggregate(F.zip_with(own, at, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    distances = F.transform(centres, lambda c: squared(c["at"]))
+    placed = model.transform(rows).select("prediction", distances.alias("d"))
+    off = F.get("d", "prediction") > F.array_min("d") + 1e-6
+    return placed.agg(F.count("*").alias("n"), F.countDistinct("prediction").alias("n_clusters"), F.count_if(off).alias("n_misplaced"))
 
 
 def m7_rfm(spark, sf_dir):
@@ -158,17 +165,23 @@ def transactions(spark, sf_dir):
 
 
 def m11_large_transactions(spark, sf_dir):
-    """LR and RF for "large": above the training rows' 90th percentile. The amount itself is no feature."""
+    """LR and RF for "large": above the training rows' 90th percentile. The amount itself is no feature.
+
+    Per model: the cut, the rows and the large ones on both sides, and whether it is not much worse
+    (0.02) than always saying the most frequent label.
+    """
     train, test = models.split(transactions(spark, sf_dir), "o_orderkey")
     cut = quantiles(train.withColumn("_all", F.lit(0)), ["_all"], "o_totalprice", [0.9]).first()["quantile"]
     label = (F.col("o_totalprice") > cut).cast("double").alias("label")
     cat, num = ["o_orderstatus", "o_orderpriority"], ["month", "n_lines", "mean_discount", "quantity"]
     rows = []
     for name, estimator in (("logistic", models.logistic()), ("forest", models.forest())):
-        model = models.fit(train.select(*cat, *num, label), models.feature_stages(cat, num), estimator, cat)
+        model = models.fit(train.select(*cat, *num, label), models.feature_stages(cat, num), estimator)
         metrics = models.classification_metrics(model.transform(test.select(*cat, *num, label)))
-        rows.append((name, metrics["auc"], metrics["accuracy"], metrics["majority"], metrics["auc"] > 0.6))
-    return spark.createDataFrame(rows, "model string, auc double, accuracy double, majority double, better_than_chance boolean")
+        rows.append((name, int(metrics["accuracy"] > metrics["majority"] - 0.02)))
+    sides = [df.agg(F.count("*").alias(f"n_{side}"), F.count_if(F.col("o_totalprice") > cut).alias(f"large_{side}")).first() for side, df in (("train", train), ("test", test))]
+    facts = [(name, round(cut, 4), *sides[0], *sides[1], sane) for name, sane in rows]
+    return spark.createDataFrame(facts, "model string, cut double, n_train long, large_train long, n_test long, large_test long, sane int")
 
 
 def applicants(spark, sf_dir):
@@ -183,14 +196,20 @@ def applicants(spark, sf_dir):
 
 
 def m12_credit_score(spark, sf_dir):
-    """A credit model with its card; the card states that it is no better than chance on these rows."""
+    """The counts on the card of a credit model, and whether each group's rates are shares; the card states how the model compares with chance."""
     train, test = models.split(applicants(spark, sf_dir), "c_custkey")
     cat, num = ["c_mktsegment", "c_nationkey"], ["recency", "frequency", "money"]
-    model = models.fit(train, models.feature_stages(cat, num), models.logistic(), cat)
-    return insight.model_card(
+    model = models.fit(train, models.feature_stages(cat, num), models.logistic())
+    return _counts_of(insight.model_card(
         model.transform(test), "credit-score", "demonstration of scoring with documentation",
         "proxy label; not for decisions on people", "label", "c_mktsegment", train.count(),
-    )
+    ))
+
+
+def _counts_of(card):
+    """The rows of a card that count something."""
+    share = F.coalesce(F.col("value").between(0, 1), F.lit(True)).cast("int").alias("is_share")
+    return card.where("n is not null").select("name", "section", "item", "n", share)
 
 
 def m13_save_load(spark, sf_dir):
@@ -220,14 +239,14 @@ def m14_precision_recall(spark, sf_dir):
 
 
 def m15_data_card(spark, sf_dir):
-    return insight.data_card(table(spark, sf_dir, "labels"), "labels", "quality")
+    return insight.data_card(table(spark, sf_dir, "documents"), "documents", "source")
 
 
 def m15_model_card(spark, sf_dir):
     model, train, test = _quality_model(spark, sf_dir, models.forest())
-    return insight.model_card(
+    return _counts_of(insight.model_card(
         model.transform(test), "quality-forest", "sorting documents for review", "trained on invented prose", "label", "lang", train.count()
-    )
+    ))
 
 
 def m16_disparate_impact(spark, sf_dir):
@@ -318,6 +337,18 @@ _LABELLED = "documents JOIN labels USING (doc_id)"
 _COUNTS = f"SELECT count(*) FILTER ({_FOLD} <> 0) AS n_train, count(*) FILTER ({_FOLD} = 0) AS n_test, 1 AS learned FROM "
 _RULE = f"rule AS (SELECT CAST(quality AS DOUBLE) AS label, CASE WHEN n_chars > 1000 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM {_LABELLED})"
 
+
+
+def _card(name: str, source: str, key: str, group: str) -> str:
+    test = _FOLD.replace("doc_id", key) + " = 0"
+    groups = "".join(
+        f"UNION ALL SELECT '{name}', 'group {m}', CAST({group} AS VARCHAR), count(*), 1 FROM {source} WHERE {test} GROUP BY {group} "
+        for m in ("accuracy", "selection_rate")
+    )
+    return f"""SELECT '{name}' AS name, 'rows' AS section, 'train' AS item, count(*) FILTER (NOT ({test})) AS n, 1 AS is_share FROM {source}
+        UNION ALL SELECT '{name}', 'rows', 'test', count(*) FILTER ({test}), 1 FROM {source} {groups}"""
+
+
 ORACLES = {
     "m1_features": """SELECT CAST(count(DISTINCT c_mktsegment) + count(DISTINCT c_nationkey) + 1 AS INTEGER) AS slots, count(*) AS n FROM customer""",
     "m2_logistic": _COUNTS + _LABELLED,
@@ -326,6 +357,7 @@ ORACLES = {
     "m5_linear_regression": """SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 3) AS intercept,
         count(*) AS n FROM lineitem""",
     "m5_forest_regression": _COUNTS + "documents",
+    "m6_kmeans": "SELECT count(*) AS n, CAST(10 AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS n_misplaced FROM embeddings",
     "m7_rfm": """SELECT o_custkey, CAST(date_diff('day', max(o_orderdate), (SELECT max(o_orderdate) FROM orders)) AS INTEGER) AS recency,
         count(*) AS frequency, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS money FROM orders GROUP BY 1""",
     "m8_text_classifier": _COUNTS + _LABELLED,
@@ -333,6 +365,20 @@ ORACLES = {
         tf AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY 1, 2), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1)
         SELECT doc_id, count(*) AS n_terms, round(sum(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1))), 3) AS total,
           round(max(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1))), 6) AS top FROM tf JOIN df USING (term) GROUP BY 1""",
+    "m11_large_transactions": f"""WITH s AS (SELECT o_totalprice AS x, {_FOLD.replace('doc_id', 'o_orderkey')} = 0 AS test FROM orders),
+        c AS (SELECT quantile_cont(x, 0.9) AS cut FROM s WHERE NOT test)
+        SELECT model, round(any_value(cut), 4) AS cut, count(*) FILTER (NOT test) AS n_train, count(*) FILTER (NOT test AND x > cut) AS large_train,
+          count(*) FILTER (test) AS n_test, count(*) FILTER (test AND x > cut) AS large_test, 1 AS sane
+        FROM s, c, (SELECT unnest(['logistic', 'forest']) AS model) GROUP BY model""",
+    "m12_credit_score": _card("credit-score", "customer", "c_custkey", "c_mktsegment"),
+    "m15_model_card": _card("quality-forest", _LABELLED, "doc_id", "lang"),
+    "m15_data_card": """SELECT 'documents' AS name, 'rows' AS section, 'all' AS item, count(*) AS n FROM documents
+        UNION ALL SELECT 'documents', 'nulls', 'doc_id bigint', count(*) FILTER (doc_id IS NULL) FROM documents
+        UNION ALL SELECT 'documents', 'nulls', 'text string', count(*) FILTER (text IS NULL) FROM documents
+        UNION ALL SELECT 'documents', 'nulls', 'lang string', count(*) FILTER (lang IS NULL) FROM documents
+        UNION ALL SELECT 'documents', 'nulls', 'source string', count(*) FILTER (source IS NULL) FROM documents
+        UNION ALL SELECT 'documents', 'nulls', 'n_chars bigint', count(*) FILTER (n_chars IS NULL) FROM documents
+        UNION ALL SELECT 'documents', 'label_balance', source, count(*) FROM documents GROUP BY source""",
     "m13_save_load": f"SELECT count(*) FILTER ({_FOLD} = 0) AS n_test, CAST(0 AS BIGINT) AS n_differing FROM {_LABELLED}",
     "m14_confusion": f"WITH {_RULE} SELECT label, prediction, count(*) AS n FROM rule GROUP BY 1, 2",
     "m14_precision_recall": f"""WITH {_RULE}, c AS (SELECT unnest([0.0::DOUBLE, 1.0::DOUBLE]) AS class),

@@ -1,7 +1,5 @@
 """Learning jobs on synthetic rows with a planted signal."""
 
-import json
-
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -22,18 +20,18 @@ def rows(spark):
 @pytest.fixture(scope="module")
 def fitted(rows):
     train, test = models.split(rows, "id")
-    return models.fit(train, models.feature_stages(CAT, NUM), models.logistic(), CAT), train, test
+    return models.fit(train, models.feature_stages(CAT, NUM), models.logistic()), train, test
 
 
 @pytest.mark.parametrize("make", [models.logistic, models.forest, models.boosted])
 def test_classifiers_find_the_signal(rows, make):
     train, test = models.split(rows, "id")
-    metrics = models.classification_metrics(models.fit(train, models.feature_stages(CAT, NUM), make(), CAT).transform(test))
+    metrics = models.classification_metrics(models.fit(train, models.feature_stages(CAT, NUM), make()).transform(test))
     assert metrics["auc"] > 0.95 and metrics["accuracy"] > metrics["majority"] + 0.1
 
 
 def test_the_same_seed_gives_the_same_forest(rows):
-    one, two = (models.fit(rows, models.feature_stages(CAT, NUM), models.forest(numTrees=5), CAT).stages[-1] for _ in range(2))
+    one, two = (models.fit(rows, models.feature_stages(CAT, NUM), models.forest(numTrees=5)).stages[-1] for _ in range(2))
     assert one.toDebugString.split("\n")[1:] == two.toDebugString.split("\n")[1:]
 
 
@@ -43,9 +41,7 @@ def test_folds_do_not_depend_on_order(rows):
     assert a == b and set(a.values()) == set(range(5))
 
 
-def test_many_categories_are_refused(rows):
-    with pytest.raises(ValueError):
-        models.check_categories(rows, ["id"], 100)
+def test_many_categories_are_hashed(rows):
     hashed = models.feature_stages(["area"], ["age"], hashed=["id"])
     assert Pipeline(stages=hashed).fit(rows).transform(rows).count() == 3000
 
@@ -95,10 +91,20 @@ def test_choose_k_finds_the_planted_groups(spark):
 
 def test_cards(fitted):
     model, train, test = fitted
-    card = json.loads(insight.model_card(model.transform(test), "m", "use", "limits", "label", "area", train.count()).first()["card"])
-    assert card["better_than_chance"] and set(card["groups"]) == {"north", "south", "east", "west"}
-    facts = json.loads(insight.data_card(test.select("age", "label"), "d", "label").first()["card"])
-    assert sum(facts["label_balance"].values()) == facts["rows"] == card["test_rows"]
+    card = insight.model_card(model.transform(test), "m", "use", "limits", "label", "area", train.count()).collect()
+    facts = {(r["section"], r["item"]): r for r in card}
+    assert facts["metrics", "verdict"]["text"] == "better than chance" and facts["metrics", "auc"]["value"] > 0.95
+    groups = [r for r in card if r["section"] == "group accuracy"]
+    assert {r["item"] for r in groups} == {"north", "south", "east", "west"}
+    right = sum(r["n"] * r["value"] for r in groups) / facts["rows", "test"]["n"]
+    assert abs(right - facts["metrics", "accuracy"]["value"]) < 1e-3
+
+
+def test_a_data_card_has_a_row_for_each_of_very_many_labels(spark):
+    df = spark.range(12_000).select("id", F.nullif(F.col("id") % 3, F.lit(0)).alias("x"))
+    card = insight.data_card(df, "d", "id")
+    assert card.where("section = 'label_balance'").agg(F.count("*"), F.sum("n")).first()[:] == (12_000, 12_000)
+    assert {r["item"]: r["n"] for r in card.where("section in ('rows', 'nulls')").collect()} == {"all": 12_000, "id bigint": 0, "x bigint": 4_000}
 
 
 def test_disparate_impact_flags_a_group(spark):
