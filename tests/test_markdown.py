@@ -137,3 +137,10 @@ def test_only_changed_files_are_written(spark, tmp_path):
 def test_report_order(spark):
     rows = spark.createDataFrame([("/b", 2), ("/a", 2), ("/c", 5), ("/d", 0)], "path string, n_changes long")
     assert [r["path"] for r in shell.changes_report(rows).collect()] == ["/c", "/a", "/b"]
+
+
+def test_very_many_blocks_in_one_text(spark):
+    block = "```bash\nls  # x\n```\n```\n"
+    df = spark.range(1).select(T.split_lines(F.repeat(F.lit(block), 64_000)).alias("lines"))
+    located = df.select(F.inline(F.array(F.struct("lines")))).select(T.shell_blocks(F.col("lines")).alias("b"))
+    assert tuple(located.select(F.size("b"), F.get("b", 1)["opening"], F.element_at("b", -1)["closing"]).first()) == (64_000, 4, 4 * 64_000 - 2)
