@@ -6,6 +6,7 @@ with a third of all rows is cut into many parts of about equal size. The parts
 are numbered and written once to the shared folder: the cut comes from sampled
 bounds and must be the same for every later use. Windows then work per (keys,
 part), and what earlier parts contribute comes from a table with one row per (keys, part).
+Keys and part are one value, so that the exchange of the rows for their windows also serves the join with that table.
 """
 
 from __future__ import annotations
@@ -15,10 +16,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.relational import attach
 from millrace.session import settle
 
 PART = "_part"
+GROUP = "_group"
 
 
 def in_parts(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -30,9 +31,26 @@ def in_parts(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     return settle(ranged.withColumn(PART, F.spark_partition_id()), "parts")
 
 
+def grouped(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """rows of in_parts with part and keys as one value, GROUP, which is never null and in which null keys match each other.
+
+    The part comes first, as numbers are compared faster than keys.
+    """
+    return rows.withColumn(GROUP, F.struct(PART, *keys))
+
+
+def _group(keys: Sequence[str]):
+    """All parts of a group: as many rows as the group has parts."""
+    return Window.partitionBy(*[F.col(GROUP)[k] for k in keys])
+
+
+def _along(keys: Sequence[str]):
+    return _group(keys).orderBy(F.col(GROUP)[PART])
+
+
 def _before(keys: Sequence[str]):
-    """The parts of a group before this one: as many rows as the group has parts."""
-    return Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    """The parts of a group before this one."""
+    return _along(keys).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def rank_within(
@@ -44,43 +62,45 @@ def rank_within(
     """
     leading = F.desc(by) if descending else F.asc(by)
     order = [leading, *[F.asc(t) for t in tie]]
-    rows = in_parts(df, keys, order)
-    group = [*keys, PART]
-    in_order, by_value = Window.partitionBy(*group).orderBy(*order), Window.partitionBy(*group).orderBy(leading)
+    rows = grouped(in_parts(df, keys, order), keys)
+    in_order, by_value = Window.partitionBy(GROUP).orderBy(*order), Window.partitionBy(GROUP).orderBy(leading)
     local = rows.select(
         "*",
         F.row_number().over(in_order).alias("_rn"),
         F.rank().over(by_value).alias("_rk"),
         F.dense_rank().over(by_value).alias("_dr"),
     )
-    parts = local.groupBy(*group).agg(
-        F.count("*").alias("_n"),
-        F.max("_dr").alias("_d"),
-        F.max("_rk").alias("_last_rk"),
-        F.min_by(F.struct(by), "_rn").alias("_first"),
-        F.max_by(F.struct(by), "_rn").alias("_last"),
+    # Values with counts say all of a part; a file of the written table holds one part, so they collapse before the shuffle.
+    values = rows.groupBy(GROUP, F.struct(by).alias("_value")).agg(F.count("*").alias("_c"))
+    least, most = (F.max, F.min) if descending else (F.min, F.max)
+    of_last = F.min_by("_c", "_value") if descending else F.max_by("_c", "_value")
+    parts = values.groupBy(GROUP).agg(
+        F.sum("_c").alias("_n"),
+        F.count("*").alias("_d"),
+        (F.sum("_c") - of_last + 1).alias("_last_rk"),
+        least("_value").alias("_first"),
+        most("_value").alias("_last"),
     )
-    along = Window.partitionBy(*keys).orderBy(PART)
     # A value may run over several parts. `_joins` says that a part goes on with
     # the value the part before it ended with.
     parts = parts.select(
         "*",
         F.coalesce(F.sum("_n").over(_before(keys)), F.lit(0)).alias("_ahead"),
         F.coalesce(F.sum("_d").over(_before(keys)), F.lit(0)).alias("_d_ahead"),
-        F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
-        F.coalesce(F.col("_first").eqNullSafe(F.lag("_last").over(along)), F.lit(False)).alias("_joins"),
+        F.sum("_n").over(_group(keys)).alias("_total"),
+        F.coalesce(F.col("_first").eqNullSafe(F.lag("_last").over(_along(keys))), F.lit(False)).alias("_joins"),
     )
     # The rank of the value a part ends with, where that value begins in the part.
     begun = F.when((F.col("_d") > 1) | ~F.col("_joins"), F.col("_ahead") + F.col("_last_rk"))
     parts = parts.select(
-        *group,
+        GROUP,
         "_ahead",
         "_total",
         "_joins",
         F.last(begun, ignorenulls=True).over(_before(keys)).alias("_carried"),
-        (F.col("_d_ahead") - F.sum(F.col("_joins").cast("int")).over(along)).alias("_d_before"),
+        (F.col("_d_ahead") - F.sum(F.col("_joins").cast("int")).over(_along(keys))).alias("_d_before"),
     )
-    numbered = attach(local, parts, group).withColumn("row_number", F.col("_rn") + F.col("_ahead"))
+    numbered = local.join(parts, GROUP).withColumn("row_number", F.col("_rn") + F.col("_ahead"))
     small, longer = F.expr(f"_total div {tiles}"), F.col("_total") % tiles
     in_longer = longer * (small + 1)
     position = F.col("row_number") - 1
@@ -99,17 +119,15 @@ def rank_within(
 
 def lag_delta(df: DataFrame, keys: Sequence[str], order: str, tie: str, value: str) -> DataFrame:
     """Add the previous and next value of a group, the change and the seconds since the previous row."""
-    rows = in_parts(df, keys, [F.asc(order), F.asc(tie)])
-    group = [*keys, PART]
+    rows = grouped(in_parts(df, keys, [F.asc(order), F.asc(tie)]), keys)
     cell = F.struct(F.col(order).alias("t"), F.col(value).alias("v"))
-    ends = rows.groupBy(*group).agg(
+    ends = rows.groupBy(GROUP).agg(
         F.min_by(cell, F.struct(order, tie)).alias("_first"), F.max_by(cell, F.struct(order, tie)).alias("_last")
     )
-    along = Window.partitionBy(*keys).orderBy(PART)
-    ends = ends.select(*group, F.lag("_last").over(along).alias("_carry"), F.lead("_first").over(along).alias("_ahead"))
-    w = Window.partitionBy(*group).orderBy(order, tie)
-    local = rows.select("*", F.lag(cell).over(w).alias("_prev"), F.lead(cell).over(w).alias("_next"))
-    both = attach(local, ends, group)
+    carry, ahead = F.lag("_last").over(_along(keys)), F.lead("_first").over(_along(keys))
+    ends = ends.select(GROUP, carry.alias("_carry"), ahead.alias("_ahead"))
+    w = Window.partitionBy(GROUP).orderBy(order, tie)
+    both = rows.select("*", F.lag(cell).over(w).alias("_prev"), F.lead(cell).over(w).alias("_next")).join(ends, GROUP)
     prev, following = F.coalesce("_prev", "_carry"), F.coalesce("_next", "_ahead")
     micros = F.unix_micros(F.col(order).cast("timestamp")) - F.unix_micros(prev["t"].cast("timestamp"))
     return both.select(
@@ -124,14 +142,14 @@ def lag_delta(df: DataFrame, keys: Sequence[str], order: str, tie: str, value: s
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
     """Add the sum of each value over a group's rows up to this one, nulls counting as nothing."""
     columns = {f"_v_{name}": value for name, value in values.items()}
-    rows = in_parts(df.select("*", *[v.alias(c) for c, v in columns.items()]), keys, [F.asc(o) for o in order])
-    group = [*keys, PART]
-    sums = rows.groupBy(*group).agg(*[F.sum(c).alias(c) for c in columns])
-    sums = sums.select(*group, *[F.coalesce(F.sum(c).over(_before(keys)), F.lit(0)).alias(f"_b{c}") for c in columns])
-    w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    valued = df.select("*", *[v.alias(c) for c, v in columns.items()])
+    rows = grouped(in_parts(valued, keys, [F.asc(o) for o in order]), keys)
+    sums = rows.groupBy(GROUP).agg(*[F.sum(c).alias(c) for c in columns])
+    sums = sums.select(GROUP, *[F.coalesce(F.sum(c).over(_before(keys)), F.lit(0)).alias(f"_b{c}") for c in columns])
+    w = Window.partitionBy(GROUP).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = rows.select("*", *[F.sum(c).over(w).alias(f"_l{c}") for c in columns])
     totals = [(F.coalesce(f"_l_v_{n}", F.lit(0)) + F.col(f"_b_v_{n}")).alias(n) for n in values]
-    return attach(local, sums, group).select(*df.columns, *totals)
+    return local.join(sums, GROUP).select(*df.columns, *totals)
 
 
 def over_last_rows(

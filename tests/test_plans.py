@@ -73,3 +73,17 @@ def test_no_python_and_no_cross_join(spark, sf_dir, name):
 def test_windows_are_partitioned(spark, sf_dir):
     for name in ("w1_rank_within", "w2_lag_delta", "w3_running_total", "w3_moving_mean", "m18_rolling_anomalies"):
         assert "Exchange SinglePartition" not in physical(QUERIES[name](spark, sf_dir)), name
+
+
+@pytest.mark.parametrize("name", ["w1_rank_within", "w2_lag_delta", "w3_running_total"])
+def test_windows_and_the_join_of_parts_share_an_exchange(spark, sf_dir, name):
+    """Without broadcasts, rows with their window columns are joined where they lie: no exchange stands between window and join."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(QUERIES[name](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    join, left = plan.split("Join", 1)[1].split("\n", 1)
+    window = left.split("Window", 1)[0]
+    assert "_group" in join and "Exchange" not in window, window
