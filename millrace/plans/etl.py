@@ -261,6 +261,8 @@ def _profile(columns: dict[str, bool], source: str) -> str:
 
 
 ORACLES = {
+    "s3b_infer_csv_schema": """SELECT * FROM (VALUES (0, 'o_orderkey', 'int'), (1, 'o_custkey', 'int'), (2, 'o_orderstatus', 'string'),
+        (3, 'o_totalprice', 'string'), (4, 'o_orderdate', 'date'), (5, 'o_orderpriority', 'string')) t(position, "column", type)""",
     "a4_word_count": "SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents) GROUP BY word",
     "a4_top_words": """SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents)
         GROUP BY word ORDER BY n DESC, word LIMIT 20""",

@@ -116,22 +116,27 @@ def o1_changes_report(spark, sf_dir):
     return shell.changes_report(p12_clean_shell_blocks(spark, sf_dir))
 
 
-def _broken(spark, sf_dir):
+def _audited(spark, sf_dir):
+    """The files to audit, and every path of the corpus."""
     docs = corpus(spark, sf_dir)
-    audited = links.exclude_parts(docs, AUDIT_EXCLUDE)
-    return audited, links.broken_links(links.extract_links(audited), links.with_folders(docs.select("path")))
+    return links.exclude_parts(docs, AUDIT_EXCLUDE), links.with_folders(docs.select("path"))
+
+
+def _broken(spark, sf_dir):
+    audited, inventory = _audited(spark, sf_dir)
+    return links.broken_links(links.extract_links(audited), inventory)
 
 
 def j1_broken_links(spark, sf_dir):
-    return _broken(spark, sf_dir)[1].select("path", "pos", "link_text", "link_url", "target")
+    return _broken(spark, sf_dir).select("path", "pos", "link_text", "link_url", "target")
 
 
 def a1_link_audit_summary(spark, sf_dir):
-    return links.link_audit_summary(*_broken(spark, sf_dir))
+    return links.link_audit_summary(*_audited(spark, sf_dir))
 
 
 def a2_broken_by_file(spark, sf_dir):
-    return links.broken_by_file(_broken(spark, sf_dir)[1])
+    return links.broken_by_file(_broken(spark, sf_dir))
 
 
 def j1_page_links(spark, sf_dir):
@@ -154,6 +159,45 @@ def _written_tree(spark, sf_dir):
     return path
 
 
+# A tree with one folder and one file for each document, as written files are named by Spark.
+PAGE_SQL = "concat('/source=', source, '/doc_id=', CAST(doc_id AS STRING), '/page')"
+LINKED_SQL = f"""concat('[next](../doc_id=', CAST(doc_id + 1 AS STRING), ') [all](../../source=', source, '/) ',
+  '[top](../..#start) [gone](missing.md) [web](https://example.com/x)', chr(10), {VALUE_SQL})"""
+
+
+def _file_tree(spark, sf_dir):
+    """The corpus as files; every file holds one document."""
+    path = scratch_dir(spark, "files")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id").select("source", "doc_id", F.expr(LINKED_SQL).alias("value"))
+    # Rows of a folder lie together and its file ends where its document does; no line end is added.
+    docs.write.partitionBy("source", "doc_id").option("lineSep", "\0").text(path)
+    return path
+
+
+def _page(path):
+    """The folder of a written file as the path of its page."""
+    return F.concat(F.regexp_extract(path, r"(/source=[^/]*/doc_id=[^/]*)/[^/]*\z", 1), F.lit("/page"))
+
+
+def _scanned_pages(spark, root):
+    files = tree.scan_text_tree(spark, root, "*.txt", AUDIT_EXCLUDE)
+    return files.select(_page(F.col("path")).alias("path"), F.rtrim("value", F.lit("\0")).alias("value"))
+
+
+def a1_audit_of_files(spark, sf_dir):
+    """Files written, scanned and listed, then audited: S1, S2, J1 and A1 in a row."""
+    root = _file_tree(spark, sf_dir)
+    listed = tree.file_inventory(spark, root).where(F.endswith("path", F.lit(".txt")))
+    return links.link_audit_summary(_scanned_pages(spark, root), links.with_folders(listed.select(_page(F.col("path")).alias("path"))))
+
+
+def p12_clean_files(spark, sf_dir):
+    """Files written and scanned, cleaned, and the changed ones written: S1, P12 and S10 in a row."""
+    path = scratch_dir(spark, "cleaned-files")
+    sinks.write_changed(shell.clean_shell_blocks(_scanned_pages(spark, _file_tree(spark, sf_dir)), RENAMES), path)
+    return spark.read.schema("path string, value string, n_changes long").parquet(path)
+
+
 def s1_scan_text_tree(spark, sf_dir):
     files = tree.scan_text_tree(spark, _written_tree(spark, sf_dir), "*.txt", ("source=src3",))
     source = F.regexp_extract("path", r"/source=([^/]*)/", 1).alias("source")
@@ -174,7 +218,7 @@ QUERIES = {
         s1_scan_text_tree, s2_file_inventory, s10_write_changed, p1_extract_links, p2_strip_anchor, p3_is_checkable,
         p4_resolve_path, p5_exclude_parts, p6_mark_fences, p7_drop_comment_lines, p8_collapse_blank_lines,
         p9_strip_inline_comment, p10_trim_block, p11_replace_literals, p12_clean_shell_blocks, o1_changes_report,
-        j1_broken_links, j1_page_links, a1_link_audit_summary, a2_broken_by_file,
+        j1_broken_links, j1_page_links, a1_link_audit_summary, a2_broken_by_file, a1_audit_of_files, p12_clean_files,
     )
 }
 
@@ -255,6 +299,18 @@ _CLEANED = (
 )
 
 
+def _of_files(sql: str) -> str:
+    """A twin over the tree of files in place of the corpus."""
+    return sql.replace(_MD, f"md AS (SELECT {PAGE_SQL} AS path, {LINKED_SQL} AS value FROM documents)")
+
+
+def _audit_sql(where: str) -> str:
+    return f"""SELECT (SELECT count(*) FROM md WHERE {where}) AS files_scanned,
+        (SELECT count(*) FROM links WHERE {where}) AS links_total, (SELECT count(*) FROM broken) AS links_broken,
+        (SELECT count(DISTINCT path) FROM broken) AS files_with_broken,
+        (SELECT CASE WHEN count(*) = 0 THEN 0 ELSE 1 END FROM broken) AS exit_code"""
+
+
 def _block_text(relation: str, column: str, where: str = "true") -> str:
     return f"""SELECT b.path, CAST(b.block_id AS INTEGER) AS block_id,
   coalesce(string_agg({column}, '' ORDER BY pos), '') AS kept
@@ -300,10 +356,9 @@ ORACLES = {
     + """ AS target FROM cut WHERE url <> '' AND NOT regexp_matches(url, '^(https?://|mailto:|computer://|#)')), """
     + _folders("pg")
     + """ SELECT page_id, count(*) AS n_missing FROM targets WHERE target NOT IN (SELECT target FROM inventory) GROUP BY page_id""",
-    "a1_link_audit_summary": f"""WITH {_BROKEN} SELECT (SELECT count(*) FROM md WHERE {_NOT_AUDITED}) AS files_scanned,
-        (SELECT count(*) FROM links WHERE {_NOT_AUDITED}) AS links_total, (SELECT count(*) FROM broken) AS links_broken,
-        (SELECT count(DISTINCT path) FROM broken) AS files_with_broken,
-        (SELECT CASE WHEN count(*) = 0 THEN 0 ELSE 1 END FROM broken) AS exit_code""",
+    "a1_link_audit_summary": f"WITH {_BROKEN} {_audit_sql(_NOT_AUDITED)}",
+    "a1_audit_of_files": _of_files(f"WITH {_BROKEN} {_audit_sql(_NOT_AUDITED)}"),
+    "p12_clean_files": _of_files(f"WITH {_CLEANED} SELECT * FROM final WHERE n_changes > 0"),
     "a2_broken_by_file": f"""WITH {_BROKEN} SELECT path, count(*) AS n_broken,
         string_agg('[' || link_text || '](' || url || ')', chr(10) ORDER BY pos) AS broken FROM broken GROUP BY path""",
 }

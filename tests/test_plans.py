@@ -87,3 +87,8 @@ def test_windows_and_the_join_of_parts_share_an_exchange(spark, sf_dir, name):
     join, left = plan.split("Join", 1)[1].split("\n", 1)
     window = left.split("Window", 1)[0]
     assert "_group" in join and "Exchange" not in window, window
+
+
+def test_the_audit_matches_each_text_once(spark, sf_dir):
+    plan = physical(QUERIES["a1_link_audit_summary"](spark, sf_dir))
+    assert plan.count("ReadSchema: struct<") == 2 and sum("text:string" in x for x in plan.splitlines() if "ReadSchema" in x) == 1
