@@ -1,6 +1,7 @@
 """License scans by an exact set-similarity join of text blocks with licence templates.
 
-A block is a line. It matches a template when it holds at least the threshold's share of the template's distinct words.
+A block is a line, or the words on both sides of a line break, so that wrapped notices count; comment marks are no words. It
+matches a template when it holds at least the threshold's share of the template's distinct words.
 Words are ordered by the number of blocks that hold them, rarest first. A matching block must hold one
 of the template's first words (prefix filter), be large enough (length filter), and have enough words left
 after the shared one (positional filter); what remains is verified. All steps are DataFrame operations.
@@ -19,6 +20,8 @@ THRESHOLD = 0.9
 PHRASES = (("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# A line break as a word of its own; lowered text has no upper case.
+BREAK, BETWEEN_MARKED = "N", r"[\x00-\x2F\x3A-\x4D\x4F-\x60\x7B-\x7F]+"
 
 #: Notices by label, as licences ask for them or as files usually give them.
 TEMPLATES = (
@@ -50,14 +53,15 @@ def words(lower: Column) -> Column:
     return F.filter(F.split(lower, BETWEEN), lambda w: w != "")
 
 
+def template_words(text: str) -> list[str]:
+    """The words of a template, by the rule of words()."""
+    low = "".join(c.lower() if c.isascii() else c for c in text)
+    return "".join(c if not c.isascii() or c.isalnum() else " " for c in low).split()
+
+
 def template_sets(templates=TEMPLATES) -> list[tuple[str, tuple[str, ...]]]:
-    """Label and distinct words of each template, by the rule of words()."""
-    out = []
-    for label, text in templates:
-        low = "".join(c.lower() if c.isascii() else c for c in text)
-        cut = "".join(c if not c.isascii() or c.isalnum() else " " for c in low)
-        out.append((label, tuple(dict.fromkeys(cut.split()))))
-    return out
+    """Label and distinct words of each template."""
+    return [(label, tuple(dict.fromkeys(template_words(text)))) for label, text in templates]
 
 
 def strings(values) -> Column:
@@ -97,10 +101,30 @@ def text_blocks(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     return lines.select("row_key", "block", F.array_intersect(F.split("line", BETWEEN), strings(vocabulary)).alias("held"))
 
 
+def break_blocks(docs: DataFrame, span: int, firsts: list[str]) -> DataFrame:
+    """One row for each line break between words, in texts with one of the first words: row key, number, span words before and after.
+
+    Lines without words are skipped: a run of them is one break.
+    """
+    lower = docs.select(F.xxhash64("doc_id", "text").alias("row_key"), lowered(F.col("text")).alias("lower")).where(F.col("lower").contains("\n"))
+    marked = F.filter(F.split(F.regexp_replace("lower", r"\n[\x00-\x2F\x3A-\x60\x7B-\x7F]*", f" {BREAK} "), BETWEEN_MARKED), lambda w: w != "")
+    cut = lower.select("row_key", marked.alias("marked")).where(F.arrays_overlap("marked", strings(firsts)))
+    places = F.filter(F.sequence(F.lit(1), F.size("marked")), lambda i: F.col("marked")[i - 1] == BREAK)
+
+    def sides(i):
+        # Marks never stand side by side, so twice the span holds enough words.
+        before = F.filter(F.slice("marked", F.greatest(i - 2 * span, F.lit(1)), F.least(i - 1, F.lit(2 * span))), lambda w: w != BREAK)
+        after = F.filter(F.slice("marked", i + 1, F.lit(2 * span)), lambda w: w != BREAK)
+        return F.struct(F.reverse(F.slice(F.reverse(before), 1, span)).alias("before"), F.slice(after, 1, span).alias("after"))
+
+    return cut.select("row_key", F.posexplode(F.transform(places, sides)).alias("block", "sides")).select("row_key", "block", "sides.before", "sides.after")
+
+
 def matching_blocks(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES) -> DataFrame:
     """row_key, block, label and containment of each template in each block that reaches the threshold.
 
-    The result has one row for each distinct (row key, block, template); rows that repeat share a key.
+    The result has one row for each distinct (row key, block, template); rows that repeat share a key. Blocks at line breaks have negative
+    numbers. They match only by words of both sides, at most the template's length from each; neighbouring ones are one.
     """
     sets = template_sets(templates)
     vocabulary = sorted({w for _, ws in sets for w in ws})
@@ -109,24 +133,43 @@ def matching_blocks(docs: DataFrame, threshold: float = THRESHOLD, templates=TEM
     counts = dict(counted.collect())  # at most one row for each word of the templates
     order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
     rank = {w: i for i, w in enumerate(order)}
+    lengths = [len(template_words(text)) for _, text in templates]
     index, firsts = [], set()
     for number, (label, ws) in enumerate(sets):
         ranks = sorted(rank[w] for w in ws)
         need = math.ceil(threshold * len(ranks) - 1e-9)
         for at, r in enumerate(ranks[: len(ranks) - need + 1]):
-            index.append((r, number, label, at, len(ranks), need, ranks))
+            index.append((r, number, label, at, len(ranks), need, ranks, lengths[number]))
             firsts.add(order[r])
     spark = docs.sparkSession
-    wanted = spark.createDataFrame(index, "rank int, template int, label string, at int, size int, need int, ranks array<int>")
-    ordered = F.filter(F.transform(F.col("held"), lambda w: F.array_position(strings(order), w).cast("int") - 1), lambda r: r >= 0)
+    wanted = spark.createDataFrame(index, "rank int, template int, label string, at int, size int, need int, ranks array<int>, length int")
+
+    def ranks_of(found):
+        return F.transform(found, lambda w: F.array_position(strings(order), w).cast("int") - 1)
+
+    def candidates(held):
+        probes = held.select("*", F.posexplode("held").alias("place", "rank"))
+        n = F.size("held")
+        left = F.least(F.col("size") - 1 - F.col("at"), n - 1 - F.col("place"))
+        return probes.join(F.broadcast(wanted), "rank").where((n >= F.col("need")) & (F.least("at", "place") + 1 + left >= F.col("need")))
+
+    ordered = F.filter(ranks_of(F.col("held")), lambda r: r >= 0)
     held = blocks.where(F.arrays_overlap("held", strings(sorted(firsts)))).select("row_key", "block", F.array_sort(ordered).alias("held"))
-    probes = held.select("row_key", "block", "held", F.posexplode("held").alias("place", "rank"))
-    n = F.size("held")
-    left = F.least(F.col("size") - 1 - F.col("at"), n - 1 - F.col("place"))
-    found = probes.join(F.broadcast(wanted), "rank").where((n >= F.col("need")) & (F.least("at", "place") + 1 + left >= F.col("need")))
     shared = F.size(F.array_intersect("held", "ranks"))
-    verified = found.where(shared >= F.col("need")).select("row_key", "block", "template", "label", (shared / F.col("size")).alias("containment"))
-    return verified.dropDuplicates(["row_key", "block", "template"])
+    verified = candidates(held).where(shared >= F.col("need")).select("row_key", "block", "template", "label", (shared / F.col("size")).alias("containment"))
+    in_lines = verified.dropDuplicates(["row_key", "block", "template"])
+
+    both = break_blocks(docs, max(lengths), sorted(firsts)).where(F.arrays_overlap(F.concat("before", "after"), strings(sorted(firsts))))
+    sides = both.select("row_key", "block", ranks_of(F.col("before")).alias("before"), ranks_of(F.col("after")).alias("after"))
+    held = sides.withColumn("held", F.array_sort(F.filter(F.array_distinct(F.concat("before", "after")), lambda r: r >= 0)))
+    before = F.slice("before", F.greatest(F.size("before") - F.col("length") + 1, F.lit(1)), F.col("length"))
+    after = F.slice("after", F.lit(1), F.col("length"))
+    n_before, n_after, n_both = (F.size(F.array_intersect("ranks", side)) for side in (before, after, F.concat(before, after)))
+    spanning = candidates(held).where((n_both >= F.col("need")) & (n_before < F.col("need")) & (n_after < F.col("need")))
+    runs = spanning.groupBy("row_key", "template", "label").agg(F.collect_set("block").alias("at"), F.max(n_both / F.col("size")).alias("containment"))
+    starts = F.filter("at", lambda b: ~F.array_contains("at", b - 1))
+    over_breaks = runs.select("row_key", F.explode(starts).alias("block"), "template", "label", "containment")
+    return in_lines.unionByName(over_breaks.withColumn("block", -1 - F.col("block")))
 
 
 def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES) -> DataFrame:

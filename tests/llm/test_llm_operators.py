@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -178,6 +179,23 @@ def test_blocks_match_at_the_threshold(spark):
     assert {r["doc_id"]: (r["labels"], r["score"]) for r in got} == {1: ("own", 1.0), 2: ("own", 0.9), 3: ("", 0.0), 4: ("own", 0.9)}
 
 
+def test_notices_wrapped_over_lines(spark):
+    rows = []
+    for number, (label, text) in enumerate(license_scan.TEMPLATES):
+        if len(text.split()) > 4:
+            for width, mark in ((72, " * "), (40, "# "), (25, "// "), (12, "dnl ")):
+                lines = textwrap.wrap(f"Some prose before it. {text} And more prose after it", width, break_long_words=False)
+                rows.append((f"{number}-{width}", label, "int x;\n\n" + "\n".join(mark + line for line in lines) + "\n\nint y;"))
+    rows += [("scattered", "", "all of the rights\n" + "word " * 60 + "\nreserved copyright"), ("empty", "", "\n\n\n")]
+    docs = spark.createDataFrame(rows, "doc_id string, label string, text string")
+    got = {r["doc_id"]: r for r in license_scan.scan_licenses(docs.unionByName(docs)).collect()}
+    for doc_id, label, _ in rows:
+        assert label in got[doc_id]["labels"].split(","), doc_id
+    assert got["scattered"]["n_blocks"] == got["empty"]["n_blocks"] == 0
+    bsd = next(str(k) for k, (label, _) in enumerate(license_scan.TEMPLATES) if label == "bsd")
+    assert got[f"{bsd}-25"]["n_blocks"] == 1
+
+
 # 4 and 8
 
 
