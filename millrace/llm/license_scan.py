@@ -42,6 +42,7 @@ TEMPLATES = (
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
     ("proprietary", "Copyright. All rights reserved."),
+    ("proprietary", "All rights reserved."),
 )
 
 

@@ -196,6 +196,11 @@ def test_notices_wrapped_over_lines(spark):
     assert got[f"{bsd}-25"]["n_blocks"] == 1
 
 
+def test_rights_reserved_without_copyright(spark):
+    docs = spark.createDataFrame([(1, "Some prose.\nAll rights reserved."), (2, "(c) 2020 A. Writer, all\n# rights reserved"), (3, "all rights")], "doc_id long, text string")
+    assert {r["doc_id"]: r["labels"] for r in license_scan.scan_licenses(docs).collect()} == {1: "proprietary", 2: "proprietary", 3: ""}
+
+
 # 4 and 8
 
 
