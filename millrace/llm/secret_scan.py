@@ -34,15 +34,16 @@ SENSITIVE = {
 }
 #: Values that stand for a secret in examples.
 PLACEHOLDERS = ("changeme", "example", "placeholder", "your", "xxxx", "****", "todo", "none", "null", "true", "false", "test", "dummy", "redacted")
+LONG = 256
 THRESHOLD = 0.6
 
 NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 PAIR = re.compile(
     r"""(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{0,80})["'\]]{0,2}[ \t]{0,8}(?::=|=>|=(?![=~])|:(?![:/]))[ \t]{0,8}"""
-    r"""(?:(?P<call>[A-Za-z_][A-Za-z0-9_.]{0,40})\()?(?P<value>[rbuf]?"(?:[^"\\\n]|\\.){0,4096}"|'(?:[^'\\\n]|\\.){0,4096}'|`[^`\n]{0,4096}`|[^\s"'`,;(){}\[\]<>|]{1,4096})"""
+    r"""(?:(?P<call>[A-Za-z_][A-Za-z0-9_.]{0,40})\()?(?P<value>[rbuf]?"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`[^`\n]*+`|[^\s"'`,;(){}\[\]<>|]++)"""
 )
-ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][\w.\-]{0,80})>(?P<value>[^<>\s]{1,4096})</(?P=name)>")
-JOINED = re.compile(r"""[ \t]{0,8}\+[ \t]{0,8}("[^"\n]{0,4096}"|'[^'\n]{0,4096}')""")
+ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][\w.\-]{0,80})>(?P<value>[^<>\s]++)</(?P=name)>")
+JOINED = re.compile(r"""[ \t]{0,8}\+[ \t]{0,8}("[^"\n]*+"|'[^'\n]*+')""")
 IDENTIFIER = re.compile(r"[$%{]{0,2}([A-Za-z_][A-Za-z0-9_.]{0,80})\}?\Z")
 
 
@@ -69,7 +70,8 @@ def name_weight(name: str) -> float:
 
 def value_weight(value: str) -> float:
     """How much a literal looks like a secret: its length, the entropy of its characters and their mix."""
-    if len(value) < 8 or any(p in value.lower() for p in PLACEHOLDERS) or any(c.isspace() for c in value):
+    # A long random value holds some of these by chance.
+    if len(value) < 8 or (len(value) <= LONG and any(p in value.lower() for p in PLACEHOLDERS)) or any(c.isspace() for c in value):
         return 0.0
     counts = [value.count(c) for c in set(value)]
     entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts)
@@ -86,10 +88,11 @@ def pairs(text: str) -> Iterator[tuple[str, str | Literal]]:
         raw, start, end = m["value"], m.start("value"), m.end("value")
         if raw[-1:] in "\"'`" and len(raw) > 1:
             quote = raw.index(raw[-1])
-            value, after = raw[quote + 1 : -1], end
+            parts, after = [raw[quote + 1 : -1]], end
             while more := JOINED.match(text, after):  # "a" + "b" is one literal
-                value, after = value + more[1][1:-1], more.end()
-            yield m["name"], Literal(start + quote + 1, max(after, end) - 1, value)
+                parts.append(more[1][1:-1])
+                after = more.end()
+            yield m["name"], Literal(start + quote + 1, max(after, end) - 1, "".join(parts))
         elif (same := IDENTIFIER.match(raw)) and not any(c.isdigit() for c in raw):
             yield m["name"], same[1]
         else:

@@ -163,6 +163,17 @@ def test_secret_rows(odd, empty):
     assert secret_scan.redact(text) == "a [SECRET] b" and secret_scan.redact(None) is None
 
 
+def test_secrets_of_any_length():
+    r = random.Random(7)
+    for n in (4096, 4097, 6000, 50_000):
+        value = "".join(r.choice("abcdefghijkmnpqrstvwxyzABCDEFGHJKLMNPQRSTVWXYZ23456789+") for _ in range(n))
+        for text in (f'passphrase = "{value}" ;', f"credential={value} ;", f"pwd: '{value}' ;", f"pwd = `{value}` ;", f"<pwd>{value}</pwd> ;", f'pwd = "ab" + "{value}" ;'):
+            found = secret_scan.scan_literals(text)
+            assert len(found) == 1 and value in text[found[0].start : found[0].end] and found[0].end <= len(text) - 2
+            left = secret_scan.redact(text)
+            assert not any(value[k : k + 20] in left for k in range(0, n - 20, 1000))
+
+
 # 3
 
 
