@@ -26,11 +26,12 @@ _IS_HEX = bytes(chr(i) in "0123456789abcdef" for i in range(256))
 KINDS = ("assign", "access", "hex", "literal")
 BASE_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-#: How much the words of a name say that its value is secret.
+#: How much the words of a name say that its value is secret. The least ones reach the threshold with a random value of two kinds of characters.
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "secret": 1.0, "token": 0.9, "apikey": 1.0,
-    "credential": 0.9, "credentials": 0.9, "auth": 0.6, "bearer": 0.8, "private": 0.6, "access": 0.5, "signing": 0.6,
-    "encryption": 0.6, "key": 0.5, "session": 0.4, "salt": 0.4, "cert": 0.4, "pass": 0.6,
+    "credential": 0.9, "credentials": 0.9, "auth": 0.8, "bearer": 0.8, "private": 0.8, "access": 0.7, "signing": 0.8,
+    "encryption": 0.8, "key": 0.7, "session": 0.7, "salt": 0.7, "cert": 0.7, "pass": 0.8,
+    "accesskey": 0.9, "privatekey": 1.0, "encryptionkey": 0.9, "sessionkey": 0.9, "signingkey": 0.9, "authkey": 0.9,
 }
 #: Values that stand for a secret in examples.
 PLACEHOLDERS = ("changeme", "example", "placeholder", "your", "xxxx", "****", "todo", "none", "null", "true", "false", "test", "dummy", "redacted")
@@ -44,6 +45,13 @@ PAIR = re.compile(
 )
 ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][\w.\-]{0,80})>(?P<value>[^<>\s]++)</(?P=name)>")
 JOINED = re.compile(r"""[ \t]{0,8}\+[ \t]{0,8}("[^"\n]*+"|'[^'\n]*+')""")
+# A PEM block over several lines; the body ends before the next header.
+PEM_BODY = re.compile(r"-----BEGIN (?!PUBLIC)[A-Z0-9 ]+-----(?P<body>(?:[^-]|-(?!----))*+)(?:-----END [A-Z0-9 ]+-----)?")
+NAMED_PEM = re.compile(
+    r"""(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{0,80})["'\]]{0,2}[ \t]{0,8}(?::=|=>|=(?![=~])|:(?![:/]))[ \t]{0,8}(?:[rbuf]|[|>][+-]?)?["'`]{0,3}\s*+"""
+    r"""(?P<value>"""
+    + PEM_BODY.pattern.replace("?P<body>", "?:") + ")"
+)
 IDENTIFIER = re.compile(r"[$%{]{0,2}([A-Za-z_][A-Za-z0-9_.]{0,80})\}?\Z")
 
 
@@ -69,7 +77,9 @@ def name_weight(name: str) -> float:
 
 
 def value_weight(value: str) -> float:
-    """How much a literal looks like a secret: its length, the entropy of its characters and their mix."""
+    """How much a literal looks like a secret: its length, the entropy of its characters and their mix; of a PEM block, those of its body."""
+    if pem := PEM_BODY.search(value):
+        value = "".join(re.sub(r"\\[nrt]", "", pem["body"]).split())
     # A long random value holds some of these by chance.
     if len(value) < 8 or (len(value) <= LONG and any(p in value.lower() for p in PLACEHOLDERS)) or any(c.isspace() for c in value):
         return 0.0
@@ -84,9 +94,14 @@ def pairs(text: str) -> Iterator[tuple[str, str | Literal]]:
     found = [(m.start(), m) for m in PAIR.finditer(text)]
     if "</" in text:
         found += [(m.start(), m) for m in ELEMENT.finditer(text)]
+    if "-----BEGIN " in text:
+        # One in quotes on a line is a pair already.
+        found += [(m.start(), m) for m in NAMED_PEM.finditer(text) if "\n" in m["value"] or text[m.start("value") - 1] not in "\"'`"]
     for _, m in sorted(found, key=lambda x: x[0]):
         raw, start, end = m["value"], m.start("value"), m.end("value")
-        if raw[-1:] in "\"'`" and len(raw) > 1:
+        if raw.startswith("-----BEGIN "):
+            yield m["name"], Literal(start, end, raw)
+        elif raw[-1:] in "\"'`" and len(raw) > 1:
             quote = raw.index(raw[-1])
             parts, after = [raw[quote + 1 : -1]], end
             while more := JOINED.match(text, after):  # "a" + "b" is one literal
