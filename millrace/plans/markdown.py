@@ -139,12 +139,21 @@ def a2_broken_by_file(spark, sf_dir):
     return links.broken_by_file(_broken(spark, sf_dir))
 
 
+#: An attribute in either case, its value in double, single or no quotes; the property of a script is none.
+HREF = r"""(?i)(?<![.\w])href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+
+
+def hrefs_of(html):
+    """The values of the href attributes of a page, without their quotes."""
+    return F.transform(F.regexp_extract_all(html, F.lit(HREF), F.lit(1)), lambda v: F.regexp_replace(v, r"""^["']|["']$""", ""))
+
+
 def j1_page_links(spark, sf_dir):
     """Links of the web pages against the paths that the pages themselves have."""
     pages = table(spark, sf_dir, "pages").select(
         F.regexp_extract("url", r"^[a-z]+://[^/]+(/[^?#]*)", 1).alias("path"), "page_id", "html"
     )
-    hrefs = pages.select("page_id", "path", F.explode(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), F.lit(1))).alias("href"))
+    hrefs = pages.select("page_id", "path", F.explode(hrefs_of(F.col("html"))).alias("href"))
     targets = hrefs.select("page_id", T.strip_anchor(F.col("href")).alias("url"), "path")
     targets = targets.where(T.is_checkable(F.col("url"))).withColumn("target", T.resolve_path(F.col("path"), F.col("url")))
     missing = targets.join(links.with_folders(pages.select("path")), "target", "left_anti")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 from millrace.operators import links, shell
-from millrace.plans.markdown import RENAMES
+from millrace.plans.markdown import RENAMES, hrefs_of
 from millrace.sources import sinks
 from millrace.sources import text as tree
 
@@ -143,3 +143,8 @@ def test_very_many_blocks_in_one_text(spark):
     df = spark.range(1).select(T.split_lines(F.repeat(F.lit(block), 64_000)).alias("lines"))
     located = df.select(F.inline(F.array(F.struct("lines")))).select(T.shell_blocks(F.col("lines")).alias("b"))
     assert tuple(located.select(F.size("b"), F.get("b", 1)["opening"], F.element_at("b", -1)["closing"]).first()) == (64_000, 4, 4 * 64_000 - 2)
+
+
+def test_hrefs_in_any_spelling(spark):
+    html = """<a href="/a b">x</a> <A HREF='/b"c'>x</A> <a class=k href = /c>x</a> <a Href= "/d" id=1> <a href=""> <script>a.href = b;</script>"""
+    assert spark.createDataFrame([(html,)], "html string").select(hrefs_of("html")).first()[0] == ["/a b", '/b"c', "/c", "/d", ""]
