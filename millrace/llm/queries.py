@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import byte_bpe, conversation_trie, graph_ann, language_id, license_scan, mixing, ngram_join, nra_topk, packing, pu_quality, secret_scan, suffix_dedup
+from millrace.llm import byte_bpe, conversation_trie, graph_ann, language_id, license_scan, mixing, ngram_join, nra_topk, packing, pu_quality, secret_scan, suffix_dedup, whitening
 from millrace.session import table
 
 
@@ -56,6 +56,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     return byte_bpe.digest(byte_bpe.decode_documents(byte_bpe.encode_documents(table(spark, sf_dir, "documents"), path), path))
@@ -65,5 +69,5 @@ def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations")).drop("turn_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_secret_scans, op3_license_scans, op4_language_id, op5_nearest_neighbours, op6_packing, op7_ngram_join, op8_quality_classifier, op9_exact_top_k, op10_mixing, op12_bpe, op13_conversation_trie)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_secret_scans, op3_license_scans, op4_language_id, op5_nearest_neighbours, op6_packing, op7_ngram_join, op8_quality_classifier, op9_exact_top_k, op10_mixing, op11_whitening, op12_bpe, op13_conversation_trie)}
 ORACLES = {"op3_license_scans": license_scan.scan_sql(), "op9_exact_top_k": nra_topk.top_products_sql(), "op13_conversation_trie": conversation_trie.trie_sql()}
