@@ -15,14 +15,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.functions import pandas_udf
 from tokenizers import Tokenizer
 
 from millrace.llm import arrow_text, shingles
 
-BLOCK = 1 << 21  # bytes of text that are cut and merged together, about
+BLOCK = 1 << 19  # bytes of text that are cut and merged together, about
 LONG = 96  # bytes from which a word is merged by rising rank
 NONE = np.int32(np.iinfo("i4").max)
 SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
@@ -355,21 +354,33 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
 
 
-def little_endian(ids: Column) -> Column:
-    """A list of ids as unsigned 32-bit little-endian numbers."""
-
-    @pandas_udf("binary")
-    def packed(lists):
-        return lists.map(lambda x: np.asarray(x, "<i4").tobytes())
-
-    return packed(ids)
+def round_trip(docs: DataFrame, path: str, block: int = BLOCK) -> DataFrame:
+    """doc_id, ids and text of every row in one pass: ids as unsigned 32-bit little-endian numbers, and the text that they spell.
 
+    Rows are taken as by encode_documents() and decode_documents().
+    """
 
-def digest(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of the result of decode_documents()."""
-    return decoded.select(
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = vocabulary(path)
+        for batch in batches:
+            _, cuts = arrow_text.utf8_bytes(batch.column(1))
+            for a, b in arrow_text.blocks(cuts, 4 * block):
+                ids, offsets = encode_column(batch.column(1).slice(a, b - a), v, block)
+                texts = decode_lists(ids, offsets, v)
+                raw = ids.astype("<u4").tobytes()
+                packed = [raw[4 * x : 4 * y] for x, y in zip(offsets.tolist(), offsets[1:].tolist())]
+                columns = [batch.column(0).slice(a, b - a), pa.array(packed, pa.binary()), pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "text"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, ids binary, text string")
+
+
+def digest(tripped: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of the result of round_trip()."""
+    return tripped.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(little_endian(F.col("ids")), 256).alias("ids_sha256"),
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )

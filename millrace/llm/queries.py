@@ -61,8 +61,7 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    return byte_bpe.digest(byte_bpe.decode_documents(byte_bpe.encode_documents(table(spark, sf_dir, "documents"), path), path))
+    return byte_bpe.digest(byte_bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
