@@ -158,9 +158,10 @@ class ShardIndex:
         for own, query, norm, beam in zip(ids, queries, norms, beams, strict=True):
             points = beam[beam >= 0]
             scores = np.einsum("nd,d->n", self.vectors[points], query) / (self.norms[points] * norm)
-            best = points[np.argsort(-scores, kind="stable")[: 4 * self.top]]
-            final = dict(zip(points.tolist(), scores.tolist()))
-            rows = [(-final[p], int(v)) for p in best.tolist() for v in self.ids[p] if v != own]
+            # A point has at least one id besides the query's own, but for the query's own point; points that tie with the last one needed count too.
+            needed = min(len(points), self.top + 1)
+            least = -np.partition(-scores, needed - 1)[needed - 1] if needed else 0.0
+            rows = [(-s, int(v)) for p, s in zip(points.tolist(), scores.tolist()) if s >= least for v in self.ids[p] if v != own]
             rows = sorted(rows)[: self.top]
             yield np.full(len(rows), own), np.array([v for _, v in rows], "i8"), np.array([-s for s, _ in rows], "f8")
 

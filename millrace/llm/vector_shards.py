@@ -1,7 +1,7 @@
 """Searches of a stated query set against all vectors, shard by shard.
 
-Vectors are dealt over shards of bounded size by hash. Blocks of queries go to every shard, and a task streams them past the
-shard's index. Nothing is broadcast, and a task holds one shard and one block of queries.
+Vectors are dealt over shards of bounded size by hash. Blocks of queries go to every shard. Each shard is a task of its own,
+which streams the blocks past the shard's index. Nothing is broadcast, and a task holds one shard and one block of queries.
 """
 
 from __future__ import annotations
@@ -31,7 +31,8 @@ def search(vectors: DataFrame, every: int, build: Callable[[np.ndarray, np.ndarr
     """query_id, rank, vec_id, score: the best `top` candidates of each query over all shards, ties to the smaller vec_id.
 
     vectors: vec_id and embedding, usable. Queries are the rows whose id is divisible by `every`. build(ids, vectors) indexes a shard;
-    the index, called with ids and vectors of queries, gives arrays of query ids, candidate ids and scores. Only vectors as long as
+    the index, called with ids and vectors of queries, gives query ids, candidate ids and scores, as doubles or whole numbers of up to 38 digits
+    as `score` says. Only vectors as long as
     the query are candidates. Rows that share a vec_id are one candidate, with its best score.
     """
     shards = max(1, math.ceil(vectors.count() / shard_rows))
@@ -45,11 +46,12 @@ def search(vectors: DataFrame, every: int, build: Callable[[np.ndarray, np.ndarr
                 own = np.flatnonzero(widths == width)
                 rows = np.array(lists.take(pa.array(own)).flatten()).reshape(-1, width)
                 asked = ids[own] % every == 0
-                for shard in range(shards):
-                    here = homes[own] == shard
-                    for kind, mask in ((0, here), (1, asked)):
-                        if mask.any():
-                            values = [[shard], [int(width)], [kind], [ids[own][mask].tobytes()], [rows[mask].tobytes()]]
+                of_shard = np.argsort(homes[own], kind="stable")
+                cuts = np.searchsorted(homes[own][of_shard], np.arange(shards + 1))
+                for shard, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
+                    for kind, picked in ((0, of_shard[a:b]), (1, np.flatnonzero(asked))):
+                        if len(picked):
+                            values = [[shard], [int(width)], [kind], [ids[own[picked]].tobytes()], [rows[picked].tobytes()]]
                             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, _TYPES, strict=True)], names=_NAMES)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,12 +67,12 @@ def search(vectors: DataFrame, every: int, build: Callable[[np.ndarray, np.ndarr
                     if index is None:
                         index = build(*(np.concatenate(part) for part in zip(*held, strict=True)))
                     for q, v, s in index(own, matrix):
-                        arrays = [pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.int64() if score == "long" else pa.float64())]
+                        arrays = [pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64() if score == "double" else pa.decimal128(38, 0))]
                         yield pa.RecordBatch.from_arrays(arrays, names=["query_id", "vec_id", "score"])
 
     homed = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
     dealt = homed.select("vec_id", "embedding", "shard").mapInArrow(deal, _BLOBS)
-    sorted_ = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "width", "kind")
+    sorted_ = dealt.repartitionById(shards, "shard").sortWithinPartitions("shard", "width", "kind")
     found = sorted_.mapInArrow(scan, f"query_id long, vec_id long, score {score}")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

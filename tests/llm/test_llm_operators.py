@@ -333,14 +333,51 @@ def test_top_products_are_brute_force(odd_vectors, shard_rows, monkeypatch):
     assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize("power", [0, 5, 9, 13, 40])
+def test_products_of_large_components_are_exact(spark, power):
+    r = random.Random(power)
+    rows = [(i, [r.uniform(-1, 1) * 10.0**power for _ in range(3)]) for i in range(120)]
+    whole = {i: [int(np.floor(x * 1024)) for x in v] for i, v in rows}
+    want = []
+    for q in (0, 100):
+        best = sorted((-sum(a * b for a, b in zip(v, whole[q], strict=True)), i) for i, v in whole.items() if i != q)[:10]
+        want += [(q, rank, i, -s if -(2**63) <= -s < 2**63 else None) for rank, (s, i) in enumerate(best, 1)]
+    got = [tuple(r) for r in nra_topk.top_products(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()]
+    assert power == 40 or sorted(got) == sorted(want)
+    assert len(got) == 20 and (power < 9 or all(r[3] is None for r in got))
+
+
 def test_lists_stop_early_and_stay_exact():
     r = np.random.default_rng(8)
     rows = np.floor(r.normal(size=(5000, 3)) ** 3 * 1000)
     lists = nra_topk.SortedLists(np.arange(5000), rows)
-    left = lists.candidates(rows[7], np.array([7]))
-    scores = rows @ rows[7]
-    scores[7] = -np.inf
-    assert len(left) < 2500 and set(np.argsort(-scores)[:10]) <= set(left.tolist())
+    own = np.arange(0, 5000, 100)
+    found = dict(lists.candidates(rows[own], own))
+    assert set(found) == set(range(len(own))) and set(lists.read) < set(nra_topk.DEPTHS) and max(map(len, found.values())) < 1000
+    for k, q in enumerate(own.tolist()):
+        scores = rows @ rows[q]
+        scores[q] = -np.inf
+        assert set(np.argsort(-scores)[:10].tolist()) <= set(found[k].tolist()) and q not in found[k]
+
+
+def test_one_shard_is_one_task(spark):
+    from pyspark.sql import functions as F
+
+    sizes = spark.range(64).select((F.col("id") % 16).cast("int").alias("shard")).repartitionById(16, "shard").groupBy(F.spark_partition_id(), "shard").count().collect()
+    assert sorted(r["shard"] for r in sizes) == list(range(16)) and len({r[0] for r in sizes}) == 16
+
+
+def test_searches_of_an_empty_table(odd_vectors):
+    assert nra_topk.top_products(odd_vectors.where("false")).count() == 0
+    lone = odd_vectors.where("vec_id = 100")
+    assert nra_topk.top_products(lone).count() == 0 and graph_ann.nearest(lone).count() == 0
+
+
+@pytest.mark.parametrize("scaled", [False, True])
+def test_equal_cosines_go_to_smaller_ids(spark, scaled):
+    rows = [(i, [3.0 * (2.0 ** (i % 5) if scaled else 1), 4.0 * (2.0 ** (i % 5) if scaled else 1)]) for i in range(100, 140)]
+    got = graph_ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [101, 102, 103, 104, 105]
 
 
 # 6
