@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -40,6 +43,56 @@ def contributions(pred: DataFrame, model: Model, key: str) -> DataFrame:
     return parts.where("contribution <> 0")
 
 
+def sparse_slots(df: DataFrame, key: str, features: str) -> DataFrame:
+    """(key, slot, value) of the slots that a vector column stores, whatever its width: sparse vectors stay sparse."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(k, v) for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if v is not None]
+            keys, slots, values = [], [], []
+            for k, v in found:
+                stored = v["values"] or []
+                at = v["indices"] if v["type"] == 0 else range(len(stored))
+                kept = [(i, x) for i, x in zip(at, stored) if x]
+                keys += [k] * len(kept)
+                slots += [i for i, _ in kept]
+                values += [x for _, x in kept]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field(0).type), pa.array(slots, pa.int32()), pa.array(values, pa.float64())], names=[key, "slot", "value"])
+
+    return df.select(key, features).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, slot int, value double")
+
+
+def class_weights(model: Model) -> tuple[DataFrame, DataFrame]:
+    """(class, slot, weight) of the weights that are not 0, and (class, intercept), of a linear classifier of any number of classes."""
+    spark = SparkSession.active()
+    matrix, intercepts = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    if len(matrix) == 1:  # two classes share one row: the margin of class 1 and its opposite
+        matrix, intercepts = np.stack([-matrix[0], matrix[0]]), np.array([-intercepts[0], intercepts[0]])
+    classes, slots = np.nonzero(matrix)
+    cells = pd.DataFrame({"class": classes.astype("i4"), "slot": slots.astype("i4"), "weight": matrix[classes, slots]})
+    heads = pd.DataFrame({"class": np.arange(len(matrix), dtype="i4"), "intercept": intercepts.astype(float)})
+    return spark.createDataFrame(cells, "class int, slot int, weight double"), spark.createDataFrame(heads, "class int, intercept double")
+
+
+def class_contributions(pred: DataFrame, model: Model, key: str, features: str = "features") -> DataFrame:
+    """(key, class, slot, value, contribution): what each stored slot adds to the margin of each class.
+
+    For sparse and wide vectors and any number of classes: slots are rows that meet the weights in a join.
+    """
+    weights, _ = class_weights(model)
+    parts = sparse_slots(pred, key, features).join(weights, "slot")
+    return parts.select(key, "class", "slot", "value", (F.col("value") * F.col("weight")).alias("contribution"))
+
+
+def explained_margins(pred: DataFrame, model: Model, key: str, features: str = "features") -> DataFrame:
+    """(key, class, explained, margin): contributions and intercept added up, beside the margin that the model gives."""
+    _, intercepts = class_weights(model)
+    sums = class_contributions(pred, model, key, features).groupBy(key, "class").agg(F.sum("contribution").alias("s"))
+    margins = pred.select(key, F.posexplode(vector_to_array("rawPrediction")).alias("class", "margin"))
+    both = margins.join(intercepts, "class").join(sums, [key, "class"], "left")
+    return both.select(key, "class", (F.coalesce("s", F.lit(0.0)) + F.col("intercept")).alias("explained"), "margin")
+
+
 def permuted(df: DataFrame, key: str, column: str, buckets: int) -> DataFrame:
     """df with one column's values moved between rows.
 

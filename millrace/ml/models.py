@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from contextlib import contextmanager
+from itertools import takewhile
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import (
@@ -90,6 +91,11 @@ def feature_stages(cat: Sequence[str], num: Sequence[str], hashed: Sequence[str]
     return stages
 
 
+def indexed(df: DataFrame, column: str, output: str) -> DataFrame:
+    """df with a number for each category, the most frequent one first; rows without a category go."""
+    return StringIndexer(inputCol=column, outputCol=output, handleInvalid="skip").fit(df).transform(df)
+
+
 def text_stages(column: str, features: int = 1 << 14) -> list:
     """Whole texts to TF-IDF vectors. Hashing keeps no vocabulary anywhere."""
     return [
@@ -101,8 +107,13 @@ def text_stages(column: str, features: int = 1 << 14) -> list:
 
 
 def fit(df: DataFrame, stages: list, estimator: Estimator) -> PipelineModel:
-    with kept(df):
-        return Pipeline(stages=[*stages, estimator]).fit(df)
+    """A fitted pipeline. What leading stages that learn nothing make of the rows, such as counts of hashed words, is persisted, never raw texts."""
+    lead = list(takewhile(lambda stage: isinstance(stage, Transformer), stages))
+    rest, label = Pipeline(stages=[*stages[len(lead) :], estimator]), estimator.getLabelCol()
+    if not lead:
+        return rest.fit(df)
+    with kept(PipelineModel(lead).transform(df).select(lead[-1].getOutputCol(), label)) as rows:
+        return PipelineModel([*lead, *rest.fit(rows).stages])
 
 
 def logistic(label: str = "label", **params) -> LogisticRegression:

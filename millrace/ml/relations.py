@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from millrace.operators.ordered import over_last_rows
 from millrace.operators.quantiles import quantiles
 from millrace.operators.relational import attach, cents, total
+from millrace.session import settle
 
 
 def tfidf(docs: DataFrame, key: str, text: str, pattern: str = "[a-z]+") -> DataFrame:
-    """(key, term, tf, tfidf) with idf = ln((N + 1) / (df + 1))."""
-    terms = docs.select(key, F.explode(F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))).alias("term"))
-    tf = terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
+    """(key, term, tf, tfidf) with idf = ln((N + 1) / (df + 1)). Texts are cut into terms once; `key` is unique."""
+    found = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
+    # A null term in every document counts the documents on the way.
+    terms = docs.select(key, F.explode(F.concat(F.array(F.lit(None).cast("string")), F.coalesce(found, F.array().cast("array<string>")))).alias("term"))
+    tf = settle(terms.groupBy(key, "term").agg(F.count("*").alias("tf")), "tfidf-counts")
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    n_docs = docs.agg(F.count("*")).scalar()
-    idf = df.select("term", F.log((n_docs + 1) / (F.col("df") + 1)).alias("idf"))
+    n_docs = tf.where("term is null").agg(F.count("*")).scalar()
+    idf = df.where("term is not null").select("term", F.log((n_docs + 1) / (F.col("df") + 1)).alias("idf"))
     return tf.join(idf, "term").select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 

@@ -22,8 +22,8 @@ def ranged_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return settle(ranged, "ranged")
 
 
-def quantiles_of(counts: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
-    """(keys, p, quantile) with linear interpolation, from ranged_counts."""
+def quantiles_of(counts: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], interpolate: bool = True) -> DataFrame:
+    """(keys, p, quantile) from ranged_counts, with linear interpolation or else the value at the position rounded down."""
     counts = counts.where(F.col(value).isNotNull())
     sizes = counts.groupBy(*keys, "part").agg(F.sum("n").alias("size"))
     per_key = Window.partitionBy(*keys)
@@ -46,8 +46,9 @@ def quantiles_of(counts: DataFrame, keys: Sequence[str], value: str, probs: Sequ
     found = wanted.groupBy(*keys, "p").agg(
         at(F.floor("h")).alias("low"), at(F.ceil("h")).alias("high"), F.max(F.col("h") - F.floor("h")).alias("share")
     )
-    return found.select(*keys, "p", (F.col("low") + (F.col("high") - F.col("low")) * F.col("share")).alias("quantile"))
+    between = F.col("low") + (F.col("high") - F.col("low")) * F.col("share")
+    return found.select(*keys, "p", (between if interpolate else F.col("low")).alias("quantile"))
 
 
-def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
-    return quantiles_of(ranged_counts(df.where(F.col(value).isNotNull()), keys, value), keys, value, probs)
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], interpolate: bool = True) -> DataFrame:
+    return quantiles_of(ranged_counts(df.where(F.col(value).isNotNull()), keys, value), keys, value, probs, interpolate)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-THEMES = ("etl", "markdown", "trust", "streams", "learning")
+THEMES = ("etl", "markdown", "trust", "streams", "learning", "scoring")
 
 
 def _merged(attribute: str) -> dict:

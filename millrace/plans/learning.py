@@ -9,15 +9,14 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
-from millrace.ml import insight, models, relations
+from millrace.ml import insight, metrics, models, relations
 from millrace.operators.quantiles import quantiles
 from millrace.operators.relational import exact
-from millrace.session import scratch_dir, spread, table
+from millrace.session import scratch_dir, settle, spread, table
 
 TEXT_NUMBERS = ["n_words", "word_length", "letter_share", "digit_share", "mark_share", "upper_share", "n_lines", "line_repeat"]
 
@@ -42,15 +41,16 @@ def labelled_documents(spark, sf_dir):
 
 
 def _quality_model(spark, sf_dir, estimator):
-    train, test = models.split(labelled_documents(spark, sf_dir).drop("text"), "doc_id")
+    measured = settle(labelled_documents(spark, sf_dir).drop("text"), "measured")
+    train, test = models.split(measured, "doc_id")
     model = models.fit(train, models.feature_stages(["lang"], TEXT_NUMBERS), estimator)
     return model, train, test
 
 
 def _report(spark, train, pred, good):
     """Row counts and whether held-out rows are predicted better than chance allows."""
-    metrics = models.classification_metrics(pred)
-    row = [(train.count(), pred.count(), int(good(metrics)))]
+    measured = models.classification_metrics(pred)
+    row = [(train.count(), pred.count(), int(good(measured)))]
     return spark.createDataFrame(row, "n_train long, n_test long, learned int")
 
 
@@ -93,8 +93,8 @@ def m5_forest_regression(spark, sf_dir):
     )
     train, test = models.split(docs, "doc_id")
     model = models.fit(train, models.feature_stages(["lang"], ["n_words", "n_lines"], scale=False), models.forest_regressor())
-    metrics = models.regression_metrics(model.transform(test))
-    return spark.createDataFrame([(train.count(), test.count(), int(metrics["r2"] > 0.7))], "n_train long, n_test long, learned int")
+    measured = models.regression_metrics(model.transform(test))
+    return spark.createDataFrame([(train.count(), test.count(), int(measured["r2"] > 0.7))], "n_train long, n_test long, learned int")
 
 
 def _vectors(spark, sf_dir):
@@ -118,13 +118,6 @@ def m7_rfm(spark, sf_dir):
     return relations.rfm(table(spark, sf_dir, "orders"))
 
 
-def m7_choose_k(spark, sf_dir):
-    segments = m7_rfm(spark, sf_dir)
-    stages = models.feature_stages([], ["recency", "frequency", "money"])
-    rows = Pipeline(stages=stages).fit(segments).transform(segments).select("o_custkey", "features")
-    return models.choose_k(rows, range(2, 7))[0]
-
-
 def m8_text_classifier(spark, sf_dir):
     train, test = models.split(labelled_documents(spark, sf_dir).select("doc_id", "text", "label"), "doc_id")
     model = models.fit(train, models.text_stages("text"), models.logistic(regParam=0.1))
@@ -164,24 +157,36 @@ def transactions(spark, sf_dir):
     )
 
 
+def _large(spark, sf_dir):
+    """Training and test transactions, and the training rows' 90th percentile of the amount."""
+    train, test = models.split(transactions(spark, sf_dir), "o_orderkey")
+    cut = quantiles(train.withColumn("_all", F.lit(0)), ["_all"], "o_totalprice", [0.9]).first()["quantile"]
+    return train, test, cut
+
+
 def m11_large_transactions(spark, sf_dir):
     """LR and RF for "large": above the training rows' 90th percentile. The amount itself is no feature.
 
-    Per model: the cut, the rows and the large ones on both sides, and whether it is not much worse
-    (0.02) than always saying the most frequent label.
+    All measures of each model on the test rows, beside the share of the most frequent label.
     """
-    train, test = models.split(transactions(spark, sf_dir), "o_orderkey")
-    cut = quantiles(train.withColumn("_all", F.lit(0)), ["_all"], "o_totalprice", [0.9]).first()["quantile"]
+    train, test, cut = _large(spark, sf_dir)
     label = (F.col("o_totalprice") > cut).cast("double").alias("label")
     cat, num = ["o_orderstatus", "o_orderpriority"], ["month", "n_lines", "mean_discount", "quantity"]
-    rows = []
+    out = []
     for name, estimator in (("logistic", models.logistic()), ("forest", models.forest())):
-        model = models.fit(train.select(*cat, *num, label), models.feature_stages(cat, num), estimator)
-        metrics = models.classification_metrics(model.transform(test.select(*cat, *num, label)))
-        rows.append((name, int(metrics["accuracy"] > metrics["majority"] - 0.02)))
-    sides = [df.agg(F.count("*").alias(f"n_{side}"), F.count_if(F.col("o_totalprice") > cut).alias(f"large_{side}")).first() for side, df in (("train", train), ("test", test))]
-    facts = [(name, round(cut, 4), *sides[0], *sides[1], sane) for name, sane in rows]
-    return spark.createDataFrame(facts, "model string, cut double, n_train long, large_train long, n_test long, large_test long, sane int")
+        model = models.fit(train.select("o_orderkey", *cat, *num, label), models.feature_stages(cat, num), estimator)
+        pred = model.transform(test.select("o_orderkey", *cat, *num, label)).select("label", F.get(vector_to_array("probability"), 1).alias("score"))
+        measured = metrics.binary_metrics(settle(pred, "large"), [], "score", "label")
+        out.append(measured.select(F.lit(name).alias("model"), F.lit(cut).alias("cut"), "*", (F.greatest("positives", F.col("n") - F.col("positives")) / F.col("n")).alias("majority")))
+    return metrics.rounded(out[0].unionByName(out[1]))
+
+
+def m11_transaction_counts(spark, sf_dir):
+    """The cut, and the rows and the large ones that the models of large transactions learn from and are tested on."""
+    train, test, cut = _large(spark, sf_dir)
+    large = F.col("o_totalprice") > cut
+    sides = [df.agg(F.lit(side).alias("side"), F.count("*").alias("n"), F.count_if(large).alias("large")) for side, df in (("train", train), ("test", test))]
+    return sides[0].unionByName(sides[1]).withColumn("cut", F.round(F.lit(cut), 4))
 
 
 def applicants(spark, sf_dir):
@@ -196,14 +201,19 @@ def applicants(spark, sf_dir):
 
 
 def m12_credit_score(spark, sf_dir):
-    """The counts on the card of a credit model, and whether each group's rates are shares; the card states how the model compares with chance."""
+    """The card of a credit model: purpose, limits, rows, measures, the verdict against chance, and rates of each segment."""
     train, test = models.split(applicants(spark, sf_dir), "c_custkey")
     cat, num = ["c_mktsegment", "c_nationkey"], ["recency", "frequency", "money"]
     model = models.fit(train, models.feature_stages(cat, num), models.logistic())
-    return _counts_of(insight.model_card(
+    return insight.model_card(
         model.transform(test), "credit-score", "demonstration of scoring with documentation",
         "proxy label; not for decisions on people", "label", "c_mktsegment", train.count(),
-    ))
+    )
+
+
+def m12_credit_counts(spark, sf_dir):
+    """What the card of the credit model counts, and whether its rates are shares."""
+    return _counts_of(m12_credit_score(spark, sf_dir))
 
 
 def _counts_of(card):
@@ -244,9 +254,14 @@ def m15_data_card(spark, sf_dir):
 
 def m15_model_card(spark, sf_dir):
     model, train, test = _quality_model(spark, sf_dir, models.forest())
-    return _counts_of(insight.model_card(
+    return insight.model_card(
         model.transform(test), "quality-forest", "sorting documents for review", "trained on invented prose", "label", "lang", train.count()
-    ))
+    )
+
+
+def m15_model_counts(spark, sf_dir):
+    """What the card of the quality model counts, and whether its rates are shares."""
+    return _counts_of(m15_model_card(spark, sf_dir))
 
 
 def m16_disparate_impact(spark, sf_dir):
@@ -287,22 +302,10 @@ def m18_iqr_anomalies(spark, sf_dir):
     return found.select("event_id", "event_type", "value", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
 
 
-def m18_cluster_distance(spark, sf_dir):
-    """Vectors unusually far from the centre of their cluster."""
-    rows = _vectors(spark, sf_dir)
-    model = models.fit_kmeans(rows, 10)
-    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "prediction int, centre array<double>")
-    placed = model.transform(rows).join(centres, "prediction")
-    squares = F.zip_with(vector_to_array("features"), "centre", lambda a, b: (a - b) * (a - b))
-    scored = placed.select("vec_id", "prediction", F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x)).alias("distance"))
-    usual = scored.groupBy("prediction").agg(F.avg("distance").alias("m"), F.stddev_samp("distance").alias("s"))
-    return scored.join(usual, "prediction").where("distance > m + 2 * s").select("vec_id", "prediction", "distance")
-
-
 def m19_language_classifier(spark, sf_dir):
     """Many classes from text: the language of all documents, as a stand-in for kinds of legal text."""
     docs = spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", "text", "lang")
-    labelled = StringIndexer(inputCol="lang", outputCol="label", handleInvalid="skip").fit(docs).transform(docs)
+    labelled = models.indexed(docs, "lang", "label")
     train, test = models.split(labelled, "doc_id")
     model = models.fit(train, models.text_stages("text", 1 << 12), models.logistic(regParam=0.1, maxIter=20))
     return _report(spark, train, model.transform(test), lambda m: m["accuracy"] > m["majority"] + 0.1)
@@ -325,10 +328,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         m1_features, m2_logistic, m3_forest, m4_boosted_trees, m5_linear_regression, m5_forest_regression, m6_kmeans, m7_rfm,
-        m7_choose_k, m8_text_classifier, m9_tfidf, m10_cross_validate, m11_large_transactions, m12_credit_score,
-        m13_save_load, m14_confusion, m14_precision_recall, m15_data_card, m15_model_card, m16_disparate_impact,
+        m8_text_classifier, m9_tfidf, m10_cross_validate, m11_large_transactions, m11_transaction_counts, m12_credit_score, m12_credit_counts,
+        m13_save_load, m14_confusion, m14_precision_recall, m15_data_card, m15_model_card, m15_model_counts, m16_disparate_impact,
         m17_contributions, m17_weights, m17_permutation_importance, m18_rolling_anomalies, m18_iqr_anomalies,
-        m18_cluster_distance, m19_language_classifier, m20_drift_report,
+        m19_language_classifier, m20_drift_report,
     )
 }
 
@@ -365,13 +368,11 @@ ORACLES = {
         tf AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY 1, 2), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1)
         SELECT doc_id, count(*) AS n_terms, round(sum(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1))), 3) AS total,
           round(max(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1))), 6) AS top FROM tf JOIN df USING (term) GROUP BY 1""",
-    "m11_large_transactions": f"""WITH s AS (SELECT o_totalprice AS x, {_FOLD.replace('doc_id', 'o_orderkey')} = 0 AS test FROM orders),
+    "m11_transaction_counts": f"""WITH s AS (SELECT o_totalprice AS x, {_FOLD.replace('doc_id', 'o_orderkey')} = 0 AS test FROM orders),
         c AS (SELECT quantile_cont(x, 0.9) AS cut FROM s WHERE NOT test)
-        SELECT model, round(any_value(cut), 4) AS cut, count(*) FILTER (NOT test) AS n_train, count(*) FILTER (NOT test AND x > cut) AS large_train,
-          count(*) FILTER (test) AS n_test, count(*) FILTER (test AND x > cut) AS large_test, 1 AS sane
-        FROM s, c, (SELECT unnest(['logistic', 'forest']) AS model) GROUP BY model""",
-    "m12_credit_score": _card("credit-score", "customer", "c_custkey", "c_mktsegment"),
-    "m15_model_card": _card("quality-forest", _LABELLED, "doc_id", "lang"),
+        SELECT CASE WHEN test THEN 'test' ELSE 'train' END AS side, count(*) AS n, count(*) FILTER (x > cut) AS large, round(any_value(cut), 4) AS cut FROM s, c GROUP BY test""",
+    "m12_credit_counts": _card("credit-score", "customer", "c_custkey", "c_mktsegment"),
+    "m15_model_counts": _card("quality-forest", _LABELLED, "doc_id", "lang"),
     "m15_data_card": """SELECT 'documents' AS name, 'rows' AS section, 'all' AS item, count(*) AS n FROM documents
         UNION ALL SELECT 'documents', 'nulls', 'doc_id bigint', count(*) FILTER (doc_id IS NULL) FROM documents
         UNION ALL SELECT 'documents', 'nulls', 'text string', count(*) FILTER (text IS NULL) FROM documents
