@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
+from millrace.operators.evidence import row_digest
 from millrace.session import settle
 from millrace.sources.sinks import balanced
 
@@ -155,14 +156,7 @@ def fingerprint(df: DataFrame) -> DataFrame:
     from empty text; two 60-bit slices of each hash are summed.
     """
 
-    def cell(name: str) -> Column:
-        head = f"{name}:{df.schema[name].dataType.simpleString()}"
-        return F.coalesce(F.concat(F.lit(f"{head}="), F.col(name).cast("string")), F.lit(f"{head}-"))
-
-    cells = [cell(c) for c in sorted(df.columns)]
-    sized = [F.concat(F.length(c).cast("string"), c) for c in cells]
-    digest = F.sha2(F.concat(*sized), 256)
-    hashed = df.select(digest.alias("h"))
+    hashed = df.select(row_digest(df).alias("h"))
 
     def slice_sum(start: int) -> Column:
         number = F.conv(F.substring("h", start, 15), 16, 10).cast("decimal(20,0)")

@@ -64,10 +64,15 @@ def profile(df: DataFrame) -> DataFrame:
     )
 
 
+def file_sizes(df: DataFrame) -> DataFrame:
+    """(path, length) of the files that a table read from files is made of, from what Spark knows of each file; no data is read for it."""
+    return df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length")).groupBy("path").agg(F.max("length").alias("length"))
+
+
 def five_v(df: DataFrame, ts: str, used: Column, n_bytes: DataFrame | None = None) -> DataFrame:
     """The five V's of a table as (measure, value).
 
-    Volume: rows, and bytes when a file inventory is given. Velocity: rows per
+    Volume: rows, and bytes when the sizes of its files are given, as by file_sizes(). Velocity: rows per
     day that has rows. Variety: columns and distinct types. Veracity: share of
     null cells and of repeated rows. Value: share of rows a report uses.
     """

@@ -158,6 +158,16 @@ def a11_five_v(spark, sf_dir):
     return profiling.five_v(table(spark, sf_dir, "events"), "ts", F.col("event_type") == "purchase")
 
 
+def a11_stored_volume(spark, sf_dir):
+    """Rows and bytes of the documents as a tree of text files, one document a line: the bytes are what the file system says."""
+    path = scratch_dir(spark, "volume")
+    line = F.regexp_replace(F.coalesce("text", F.lit("")), "[\r\n]", " ")
+    spread(table(spark, sf_dir, "documents"), "doc_id").select(line.alias("value")).write.text(path)
+    written = spark.read.text(path)
+    volume = profiling.file_sizes(written).agg(F.sum("length").alias("volume_bytes"))
+    return written.agg(F.count("*").alias("volume_rows"), F.max(volume.scalar()).alias("volume_bytes"))
+
+
 def a12_regular_report(spark, sf_dir):
     return R.regular_report(*_star(spark, sf_dir)[1:])
 
@@ -224,7 +234,7 @@ QUERIES = {
         a4_word_count, a4_top_words, s3_read_csv, s3b_infer_csv_schema, s4_write_partitioned, s5_roundtrip_orc, s6_read_json,
         s9_decode_envelope, p13_filter_rows, j2_join_star, j3_enrich_left, j4_semi_filter, a3_group_agg,
         a5_parse_access_log, a5_top_ips, a6_status_counts, a7_mean_length, a8_combined_counts, a10_profile_orders,
-        a10_profile_events, a11_five_v, a12_regular_report, a13_quality_gate, w1_rank_within, w2_lag_delta,
+        a10_profile_events, a11_five_v, a11_stored_volume, a12_regular_report, a13_quality_gate, w1_rank_within, w2_lag_delta,
         w3_running_total, w3_moving_mean, w3_trailing_week, o2_top_k,
     )
 }
@@ -307,6 +317,7 @@ ORACLES = {
         UNION ALL SELECT 'veracity_repeated_rows', (SELECT count(*) FROM events) - (SELECT count(*) FROM (SELECT DISTINCT * FROM events))
         UNION ALL SELECT 'velocity_day_min', min(n) FROM d UNION ALL SELECT 'velocity_day_max', max(n) FROM d
         UNION ALL SELECT 'velocity_days', count(*) FROM d""",
+    "a11_stored_volume": "SELECT count(*) AS volume_rows, CAST(sum(strlen(regexp_replace(coalesce(text, ''), '[\r\n]', ' ', 'g')) + 1) AS BIGINT) AS volume_bytes FROM documents",
     "a12_regular_report": f"""SELECT strftime(o_orderdate, '%Y-%m') AS month, r_name AS region, c_mktsegment AS segment, count(*) AS n_orders,
         CAST(sum(CAST(o_totalprice AS {_D2})) AS DOUBLE) AS turnover,
         CAST(grouping(strftime(o_orderdate, '%Y-%m'), r_name, c_mktsegment) AS INTEGER) AS level

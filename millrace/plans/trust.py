@@ -7,7 +7,7 @@ import secrets
 
 from pyspark.sql import functions as F
 
-from millrace.operators import groups, privacy, sketches
+from millrace.operators import evidence, groups, mondrian, privacy, sketches
 from millrace.operators.privacy import Linked, Policy
 from millrace.operators.relational import top_k, word_count
 from millrace.session import scratch_dir, spread, table
@@ -15,6 +15,8 @@ from millrace.session import scratch_dir, spread, table
 # Bounds of the sketches: count-min as a share of all items with a confidence, Bloom as a share of strangers let through.
 COUNT_MIN_ERROR, COUNT_MIN_CONFIDENCE = 1e-4, 0.99
 BLOOM_RATE = 0.01
+ANONYMITY, CUT_ROUNDS, QUASI = 5, 12, ("segment", "c_nationkey", "cents")
+TREE_DEPTH, BLOCK = 6, 1000
 
 
 def _words(spark, sf_dir):
@@ -120,6 +122,29 @@ def g2_anonymize(spark, sf_dir):
     return rows.groupBy("c_mktsegment", "c_nationkey", "c_acctbal").agg(F.count("*").alias("n"))
 
 
+def _quasi_rows(spark, sf_dir):
+    """Customers with ordered quasi-identifiers: segment by name, nation, balance in cents."""
+    customer = table(spark, sf_dir, "customer")
+    names = customer.select("c_mktsegment").distinct().agg(F.array_sort(F.collect_list("c_mktsegment"))).scalar()
+    return customer.select("c_custkey", F.array_position(names, F.col("c_mktsegment")).alias("segment"), "c_nationkey", F.rint(F.col("c_acctbal") * 100).cast("long").alias("cents"))
+
+
+def g2_mondrian(spark, sf_dir):
+    """What is published of each group of at least five customers: ranges that follow the data."""
+    grouped = mondrian.mondrian(_quasi_rows(spark, sf_dir), QUASI, ANONYMITY, CUT_ROUNDS)
+    return mondrian.generalised(grouped, QUASI).withColumnRenamed("_group", "cuts")
+
+
+def g2_suppressed(spark, sf_dir):
+    """Rows that fixed steps and cuts suppress for the same anonymity, groups, and the least group."""
+    customer = table(spark, sf_dir, "customer")
+    everyone = customer.agg(F.count("*")).scalar()
+    measured = lambda df, name: df.agg(
+        F.lit(name).alias("method"), (everyone - F.coalesce(F.sum("n"), F.lit(0))).alias("suppressed"), F.count("*").alias("n_groups"), F.min("n").alias("least")
+    )
+    return measured(g2_anonymize(spark, sf_dir), "steps").unionByName(measured(g2_mondrian(spark, sf_dir), "cuts"))
+
+
 def _subject_tables(spark, sf_dir):
     return {
         "customer": Linked(table(spark, sf_dir, "customer"), "c_custkey"),
@@ -175,6 +200,41 @@ def g6_audit_log(spark, sf_dir):
     return log.select("run_id", "actor", "purpose", "n_rows")
 
 
+def _log(spark, sf_dir):
+    """Events as entries of a log, numbered in the order of their time."""
+    return evidence.numbered(table(spark, sf_dir, "events").select("ts", "event_id", "user_id", "event_type"), ["ts", "event_id"]).drop("ts")
+
+
+def g6_log_chain(spark, sf_dir):
+    return evidence.log_blocks(_log(spark, sf_dir), "sequence", BLOCK)
+
+
+def g6_log_root(spark, sf_dir):
+    return evidence.log_root(g6_log_chain(spark, sf_dir), 16)
+
+
+def g6_log_damage(spark, sf_dir):
+    """Blocks that no longer agree after some entries were removed and some rewritten, by rule."""
+    entries = _log(spark, sf_dir)
+    kept = evidence.log_blocks(entries, "sequence", BLOCK)
+    rewritten = F.when(F.col("sequence") % 5000 == 1700, F.lit("other")).otherwise(F.col("event_type"))
+    damaged = entries.where("sequence % 4000 <> 3").withColumn("event_type", rewritten)
+    return evidence.damaged_blocks(kept, damaged, "sequence", BLOCK)
+
+
+def g7_merkle_tree(spark, sf_dir):
+    return evidence.merkle_tree(table(spark, sf_dir, "customer"), TREE_DEPTH)
+
+
+def g7_changed_buckets(spark, sf_dir):
+    """The nodes that differ after the last customer was renamed and the first one removed, and the rows to look at in each bucket."""
+    customer = table(spark, sf_dir, "customer")
+    ends = customer.agg(F.struct(F.min("c_custkey").alias("first"), F.max("c_custkey").alias("last"))).scalar()
+    renamed = F.when(F.col("c_custkey") == ends["last"], F.concat("c_name", F.lit("!"))).otherwise(F.col("c_name"))
+    other = customer.where(F.col("c_custkey") != ends["first"]).withColumn("c_name", renamed)
+    return evidence.changed_nodes(evidence.merkle_tree(customer, TREE_DEPTH), evidence.merkle_tree(other, TREE_DEPTH))
+
+
 def g7_fingerprint(spark, sf_dir):
     return privacy.fingerprint(table(spark, sf_dir, "customer"))
 
@@ -207,8 +267,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         a9a_approx_distinct, a9b_heavy_hitters, a9b_count_min, a9c_quantile_sketch, a9d_bloom_member, g1_pseudonymize,
-        g2_anonymize, g3_erase_subjects, g3_remaining_lines, g3_rewrite_affected, g4_consent_filter, g5_role_view,
-        g6_audit_log, g7_fingerprint, g8_redact_text, g9_synth_rows, u1_per_group_model, u2_mapreduce,
+        g2_anonymize, g2_mondrian, g2_suppressed, g3_erase_subjects, g3_remaining_lines, g3_rewrite_affected, g4_consent_filter, g5_role_view,
+        g6_audit_log, g6_log_chain, g6_log_root, g6_log_damage, g7_fingerprint, g7_merkle_tree, g7_changed_buckets, g8_redact_text, g9_synth_rows, u1_per_group_model, u2_mapreduce,
     )
 }
 
@@ -242,7 +302,57 @@ def _cell(column: str, kind: str) -> str:
 _CUSTOMER = {"c_acctbal": "double", "c_custkey": "bigint", "c_mktsegment": "string", "c_name": "string", "c_nationkey": "int"}
 _ROW_HASH = f"sha256({' || '.join(_cell(c, kind) for c, kind in _CUSTOMER.items())})"
 
+_QUASI = f"""q AS (SELECT c_custkey, CAST(list_position((SELECT list(DISTINCT c_mktsegment ORDER BY c_mktsegment) FROM customer), c_mktsegment) AS BIGINT) AS segment, c_nationkey,
+          CAST(round(c_acctbal * 100) AS BIGINT) AS cents FROM customer),
+        {mondrian.mondrian_sql('q', QUASI, ANONYMITY, CUT_ROUNDS)}"""
+_STEPS = "steps AS (SELECT count(*) AS n FROM customer GROUP BY c_mktsegment, c_nationkey, floor(c_acctbal / 2500) HAVING count(*) >= 5)"
+
+
+def _digest(columns: dict[str, str]) -> str:
+    return f"sha256({' || '.join(_cell(c, columns[c]) for c in sorted(columns))})"
+
+
+_LOG_COLUMNS = {"event_id": "bigint", "event_type": "string", "sequence": "bigint", "user_id": "bigint"}
+_LOG = "g AS (SELECT event_id, user_id, event_type, row_number() OVER (ORDER BY ts, event_id) - 1 AS sequence FROM events)"
+
+
+def _blocks(name: str, source: str) -> str:
+    return f"""{name} AS (SELECT *, sha256(coalesce(b.content, repeat('0', 64)) || a.content) AS link FROM
+          (SELECT sequence // {BLOCK} AS block, count(*) AS n, min(sequence) AS first, max(sequence) AS last, sha256(string_agg(CAST(sequence AS VARCHAR) || '=' || {_digest(_LOG_COLUMNS)}, ',' ORDER BY sequence)) AS content
+           FROM {source} GROUP BY 1) a LEFT JOIN (SELECT sequence // {BLOCK} + 1 AS block, sha256(string_agg(CAST(sequence AS VARCHAR) || '=' || {_digest(_LOG_COLUMNS)}, ',' ORDER BY sequence)) AS content
+           FROM {source} GROUP BY 1) b USING (block))""".replace("SELECT *,", "SELECT a.*,")
+
+
+def _tree(name: str, source: str) -> str:
+    """Levels t0 (the root) to t<depth>."""
+    parts = [
+        f"""{name}{TREE_DEPTH} AS (SELECT node, CAST(coalesce(n, 0) AS BIGINT) AS n, coalesce(digest, repeat('0', 64)) AS digest FROM (SELECT unnest(range({1 << TREE_DEPTH})) AS node) LEFT JOIN
+          (SELECT CAST('0x' || substr(d, 1, 8) AS BIGINT) >> {32 - TREE_DEPTH} AS node, sum(c) AS n, sha256(string_agg(d || '*' || c, ',' ORDER BY d)) AS digest
+           FROM (SELECT {_digest(_CUSTOMER)} AS d, count(*) AS c FROM {source} GROUP BY 1) GROUP BY 1) USING (node))"""
+    ]
+    for level in range(TREE_DEPTH - 1, -1, -1):
+        parts.append(f"{name}{level} AS (SELECT node >> 1 AS node, CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(digest, '' ORDER BY node)) AS digest FROM {name}{level + 1} GROUP BY 1)")
+    parts.append(f"{name} AS ({' UNION ALL '.join(f'SELECT {level} AS level, * FROM {name}{level}' for level in range(TREE_DEPTH + 1))})")
+    return ", ".join(parts)
+
+
 ORACLES = {
+    "g2_mondrian": f"""WITH {_QUASI} SELECT _group AS cuts, count(*) AS n, {', '.join(f"min({c}) AS {c}_low, max({c}) AS {c}_high" for c in QUASI)} FROM grouped GROUP BY 1""",
+    "g2_suppressed": f"""WITH {_QUASI}, {_STEPS}, cuts AS (SELECT count(*) AS n FROM grouped GROUP BY _group)
+        SELECT 'steps' AS method, CAST((SELECT count(*) FROM customer) - sum(n) AS BIGINT) AS suppressed, count(*) AS n_groups, min(n) AS least FROM steps
+        UNION ALL SELECT 'cuts', CAST((SELECT count(*) FROM customer) - sum(n) AS BIGINT), count(*), min(n) FROM cuts""",
+    "g6_log_chain": f"WITH {_LOG}, {_blocks('k', 'g')} SELECT * FROM k",
+    "g6_log_root": f"""WITH {_LOG}, {_blocks('k', 'g')}, l1 AS (SELECT block // 16 AS a, sha256(string_agg(block || '=' || link, ',' ORDER BY block)) AS d FROM k GROUP BY 1),
+        l2 AS (SELECT a // 16 AS a, sha256(string_agg(a || '=' || d, ',' ORDER BY a)) AS d FROM l1 GROUP BY 1),
+        l3 AS (SELECT a // 16 AS a, sha256(string_agg(a || '=' || d, ',' ORDER BY a)) AS d FROM l2 GROUP BY 1),
+        b AS (SELECT CAST(sum(n) AS BIGINT) AS n_entries, count(*) AS n_blocks, max(block) + 1 AS reach FROM k)
+        SELECT n_entries, n_blocks, CASE WHEN reach <= 16 THEN (SELECT d FROM l1) WHEN reach <= 256 THEN (SELECT d FROM l2) ELSE (SELECT d FROM l3) END AS root FROM b""",
+    "g6_log_damage": f"""WITH {_LOG}, {_blocks('k', 'g')}, h AS (SELECT * REPLACE (CASE WHEN sequence % 5000 = 1700 THEN 'other' ELSE event_type END AS event_type) FROM g WHERE sequence % 4000 <> 3),
+        {_blocks('j', 'h')} SELECT block, CASE WHEN coalesce(j.n, 0) < k.n THEN 'missing' ELSE 'changed' END AS kind FROM k LEFT JOIN j USING (block) WHERE j.content IS DISTINCT FROM k.content""",
+    "g7_merkle_tree": f"WITH {_tree('t', 'customer')} SELECT level, node, n, digest FROM t",
+    "g7_changed_buckets": f"""WITH o AS (SELECT * REPLACE (CASE WHEN c_custkey = (SELECT max(c_custkey) FROM customer) THEN c_name || '!' ELSE c_name END AS c_name) FROM customer
+          WHERE c_custkey <> (SELECT min(c_custkey) FROM customer)), {_tree('t', 'customer')}, {_tree('u', 'o')}
+        SELECT level, node, t.n AS n_before, u.n AS n_after FROM t JOIN u USING (level, node) WHERE t.digest <> u.digest""",
     "a9a_approx_distinct": """SELECT event_type, count(DISTINCT user_id) AS exact, 1 AS direct_near, 1 AS merged_near FROM events GROUP BY event_type""",
     "a9b_heavy_hitters": f"WITH {_WORDS} SELECT word, count(*) AS n, 1 AS reported FROM words GROUP BY word ORDER BY n DESC, word LIMIT 20",
     "a9b_count_min": f"WITH {_WORDS} SELECT count(DISTINCT word) AS n_words, count(*) AS n_total, CAST(0 AS BIGINT) AS n_below, 1 AS within_bound FROM words",
