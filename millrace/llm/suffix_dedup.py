@@ -3,11 +3,13 @@
 Only places that can begin a repeated string are sorted. Texts are cut at content-defined anchors, the least hashes of sliding
 windows, which two equal strings have at the same places. A string is a candidate if each piece between anchors inside it occurs elsewhere.
 Candidates are dealt by the least piece hash inside them, which equal strings share, and each bucket's suffixes are sorted
-by deep-shallow sorting. A common prefix of the given length with a neighbour is a repeat.
+by deep-shallow sorting. A common prefix of the given length with a neighbour is a repeat. A bucket that is too large for a task is dealt anew by
+all pieces inside its strings, and what is still crowded by whole strings; these smaller buckets are sorted alike.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +24,8 @@ LENGTH = 400
 GRAM = 16  # bytes that an anchor's hash covers
 SPAN = 96  # places of which one is an anchor
 UNIT = 1024  # candidate places in a row of the exchange at most
-CROWDED = 4096  # units of a bucket that are sorted together; a larger bucket is split by whole strings
+CROWDED = 4096  # units of a bucket that are sorted together; a larger bucket is dealt anew by a longer key
+COMPARED = 1 << 18  # places whose whole strings are compared at a time before they are dealt
 BLOCK = 1 << 19
 SORTED = 1 << 21  # bytes of units sorted together, about
 _SEAM = 1 << 20  # bytes of a long text that are cut at a time
@@ -34,8 +37,10 @@ class Anchors:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, length: int):
         own, cuts = data[offsets[0] : offsets[-1]], offsets - offsets[0]
         self.length, self.cuts, n = length, cuts, len(own)
-        up, down = shingles._power_tables(n + 1)
+        up, self.down = shingles._power_tables(n + 1)
+        down = self.down
         sums = np.concatenate([np.zeros(1, "u8"), np.cumsum(shingles._RANDOM[own] * up[:n], dtype="u8")])
+        self.sums = sums
         grams = max(0, n - GRAM + 1)
         hashes = shingles.mixed((sums[GRAM:] - sums[:-GRAM]) * down[:grams]) if grams else np.zeros(0, "u8")
         bits = max(1, int(n).bit_length())
@@ -56,29 +61,36 @@ class Anchors:
         a, b = self.places[self.piece], self.places[self.piece + 1] + GRAM
         self.hashes = shingles.mixed((sums[b] - sums[a]) * down[a] + (b - a).astype("u8"))
 
-    def candidates(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places whose string has only shared pieces, and the least piece hash in each. shared: by piece."""
-        number = len(self.places)
-        lone = np.zeros(number + 1, "i8")
-        lone[self.piece[~shared] + 1] = 1
-        lone = np.cumsum(lone)  # lone pieces before each anchor
-        hash_of = np.full(number + 1, np.iinfo("u8").max, "u8")
-        hash_of[self.piece] = self.hashes
+    def candidates(self, shared: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Places whose string has only shared pieces, and a key of each: the least piece hash inside it.
+
+        shared: by piece; without it all places count, and the key is a hash of all pieces inside a string.
+        """
         last = self.length - GRAM + 1 - SPAN
         rows = np.arange(max(0, len(self.least) - last))
         text = np.searchsorted(self.cuts, rows, "right") - 1
         rows = rows[rows + self.length <= self.cuts[text + 1]] if len(rows) else rows
         from_, to = np.searchsorted(self.places, self.least[rows]), np.searchsorted(self.places, self.least[rows + last])
-        good = lone[to] == lone[from_]
-        rows, from_, to = rows[good], from_[good], to[good]
+        number = len(self.places)
+        if shared is not None:
+            lone = np.zeros(number + 1, "i8")
+            lone[self.piece[~shared] + 1] = 1
+            lone = np.cumsum(lone)  # lone pieces before each anchor
+            good = lone[to] == lone[from_]
+            rows, from_, to = rows[good], from_[good], to[good]
         if not len(rows):
             return rows, np.zeros(0, "u8")
         new = np.ones(len(rows), bool)
         new[1:] = (from_[1:] != from_[:-1]) | (to[1:] != to[:-1])
         runs = np.flatnonzero(new)
-        ends = np.stack([from_[runs], to[runs]], 1).ravel()
-        least = np.minimum.reduceat(hash_of, ends)[::2]
-        return rows, np.repeat(least, np.diff(np.append(runs, len(rows))))
+        if shared is None:
+            a, b = self.places[from_[runs]], self.places[to[runs]] + GRAM
+            keys = shingles.mixed((self.sums[b] - self.sums[a]) * self.down[a] + (b - a).astype("u8"))
+        else:
+            hash_of = np.full(number + 1, np.iinfo("u8").max, "u8")
+            hash_of[self.piece] = self.hashes
+            keys = np.minimum.reduceat(hash_of, np.stack([from_[runs], to[runs]], 1).ravel())[::2]
+        return rows, np.repeat(keys, np.diff(np.append(runs, len(rows))))
 
 
 def _stretches(offsets: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray, int, int]]:
@@ -107,14 +119,36 @@ _UNIT_FIELDS = [("key", pa.int64()), ("row_key", pa.int64()), ("place", pa.int64
 _UNITS = "key long, row_key long, place long, many long, body binary"
 
 
-def _units(length: int, buckets: int):
-    """Units of neighbouring candidate places with the same key, and the bytes of their strings.
+class _Thinned:
+    """Units of a task: of equal ones the first two go on with their bytes, the others are known to repeat and go on without."""
 
-    Of equal units in a task the first two travel with their bytes; the others are known to repeat and travel without.
-    """
+    def __init__(self, length: int):
+        self.length = length
+        self.times: dict[bytes, int] = {}
+
+    def units(self, found: Anchors, rows: np.ndarray, keys: np.ndarray, text: bytes, names: list[int], bases: list[int]) -> pa.RecordBatch:
+        """Runs of neighbouring places with the same key. names and bases: row and place of the first byte, by text."""
+        new = np.ones(len(rows), bool)
+        new[1:] = (rows[1:] != rows[:-1] + 1) | (keys[1:] != keys[:-1])
+        heads = np.flatnonzero(new)
+        numbers = np.searchsorted(found.cuts, rows[heads], "right") - 1
+        out = []
+        for x, y, number in zip(heads.tolist(), np.append(heads[1:], len(rows)).tolist(), numbers.tolist(), strict=True):
+            key, first = int(keys[x : x + 1].view("i8")[0]), int(found.cuts[number])
+            for c in range(x, y, UNIT):
+                start, many = int(rows[c]), min(UNIT, y - c)
+                body = text[start : start + many - 1 + self.length]
+                mark = hashlib.blake2b(body, digest_size=16, key=key.to_bytes(8, "little", signed=True)).digest()
+                times = self.times[mark] = self.times.get(mark, 0) + 1
+                out.append((key, names[number], bases[number] + start - first, many, body if times < 3 else None))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True), _UNIT_FIELDS, strict=True)], names=[n for n, _ in _UNIT_FIELDS])
+
+
+def _units(length: int, buckets: int):
+    """Units of neighbouring candidate places with the same key, and the bytes of their strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        times: dict[int, int] = {}
+        thinned = _Thinned(length)
         for batch in batches:
             data, offsets = arrow_text.utf8_bytes(batch.column(1))
             names = batch.column(0).to_pylist()
@@ -125,21 +159,99 @@ def _units(length: int, buckets: int):
                 found = Anchors(data, cuts, length)
                 rows, least = found.candidates(np.isin(meeting.identity(found.hashes, buckets), np.array(flags.flatten(), "i8")))
                 rows, least = rows[rows < limit], least[rows < limit]
-                if not len(rows):
+                if len(rows):
+                    yield thinned.units(found, rows, least, data[cuts[0] : cuts[-1]].tobytes(), names[a : a + len(cuts) - 1], [base] * (len(cuts) - 1))
+
+    return run
+
+
+def _cut_anew(length: int):
+    """Units cut again by a key of all pieces inside their strings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        thinned = _Thinned(length)
+        for batch in batches:
+            names, places, bodies = (batch.column(k).to_pylist() for k in (1, 2, 4))
+            ends = np.cumsum([0] + [len(b) for b in bodies])
+            for a, b in arrow_text.blocks(ends, BLOCK):
+                text = b"".join(bodies[a:b])
+                found = Anchors(np.frombuffer(text, "u1"), ends[a : b + 1] - ends[a], length)
+                rows, keys = found.candidates()
+                yield thinned.units(found, rows, keys, text, names[a:b], places[a:b])
+
+    return run
+
+
+_STRINGS = "kind int, string long, row_key long, unit long, place long"
+_KNOWN, _LONE, _AGAIN = range(3)
+
+
+def _strings(length: int):
+    """Whole strings of units, compared within the task: kind, hash, row_key, place of the unit and place.
+
+    Places whose string the task has twice are known to repeat. Of each different string one place goes on, to meet those of other tasks.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, int, int, bytes]] = []
+        size = 0
+
+        def compared() -> pa.RecordBatch:
+            nonlocal held, size
+            text = b"".join(body for *_, body in held)
+            many = np.array([m for _, _, m, _ in held])
+            begins = np.cumsum([0] + [len(body) for *_, body in held])[:-1]
+            of = np.repeat(np.arange(len(held)), many)
+            within = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+            at = begins[of] + within
+            up, down = shingles._power_tables(len(text) + 1)
+            sums = np.concatenate([np.zeros(1, "u8"), np.cumsum(shingles._RANDOM[np.frombuffer(text, "u1")] * up[: len(text)], dtype="u8")])
+            hashes = shingles.mixed((sums[at + length] - sums[at]) * down[at])
+            order = np.argsort(hashes, kind="stable")
+            heads = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]]))
+            kind, sent = np.full(len(of), -1, "i4"), []
+            for a, b in zip(heads.tolist(), np.append(heads[1:], len(order)).tolist()):
+                members = order[a:b]
+                kind[members[0]] = _LONE
+                if b - a == 1:
                     continue
-                new = np.ones(len(rows), bool)
-                new[1:] = (rows[1:] != rows[:-1] + 1) | (least[1:] != least[:-1])
-                heads = np.flatnonzero(new)
-                numbers = np.searchsorted(found.cuts, rows[heads], "right") - 1
-                text, out = data[cuts[0] : cuts[-1]].tobytes(), []
-                for x, y, number in zip(heads.tolist(), np.append(heads[1:], len(rows)).tolist(), numbers.tolist(), strict=True):
-                    key, first = int(least[x : x + 1].view("i8")[0]), int(found.cuts[number])
-                    for c in range(x, y, UNIT):
-                        start, many = int(rows[c]), min(UNIT, y - c)
-                        body = text[start : start + many - 1 + length]
-                        mark = hash((key, body))
-                        times[mark] = times.get(mark, 0) + 1
-                        out.append((key, names[a + number], base + start - first, many, body if times[mark] < 3 else None))
+                different: dict[bytes, int] = {}
+                for m in members.tolist():
+                    own = text[at[m] : at[m] + length]
+                    if own in different:
+                        kind[m], kind[different[own]] = _KNOWN, _AGAIN
+                    else:
+                        different[own], kind[m] = m, _LONE
+            again = np.flatnonzero(kind == _AGAIN)
+            # A place that stands for others of its task is known to repeat too.
+            sent = np.concatenate([np.arange(len(of)), again])
+            kinds = np.concatenate([kind, np.full(len(again), _KNOWN, "i4")])
+            rows, units = np.array([r for r, *_ in held]), np.array([p for _, p, *_ in held])
+            columns = [kinds, hashes[sent].view("i8"), rows[of[sent]], units[of[sent]], units[of[sent]] + within[sent]]
+            held, size = [], 0
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "string", "row_key", "unit", "place"])
+
+        for batch in batches:
+            for _, row, place, many, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held.append((row, place, many, body))
+                size += many
+                if size >= COMPARED:
+                    yield compared()
+        if held:
+            yield compared()
+
+    return run
+
+
+def _singled(length: int):
+    """Units of one place each for the wanted strings of a unit, keyed by their hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row, place, body, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out += [(w["string"], row, w["place"], 1, body[w["place"] - place : w["place"] - place + length]) for w in wanted]
+            if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True), _UNIT_FIELDS, strict=True)], names=[n for n, _ in _UNIT_FIELDS])
 
     return run
@@ -193,10 +305,7 @@ def _repeats(length: int):
                     at = key
                     if size >= SORTED or len(out) >= 1 << 16:
                         yield sort()
-                if body is None:
-                    out.append((row, place, many))
-                else:
-                    bodies.setdefault(body, []).append((row, place, many))
+                bodies.setdefault(body, []).append((row, place, many))
         close()
         yield sort()
 
@@ -208,29 +317,41 @@ def _ranges(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["row_key", "place", "many"])
 
 
-def _strings(length: int):
-    """A hash of the whole string at each place of a unit: string, row_key, place."""
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, row, place, many, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = np.frombuffer(body, "u1")
-                up, down = shingles._power_tables(len(own) + 1)
-                sums = np.concatenate([np.zeros(1, "u8"), np.cumsum(shingles._RANDOM[own] * up[: len(own)], dtype="u8")])
-                hashes = shingles.mixed((sums[length:] - sums[:-length]) * down[:many]).view("i8")
-                yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(np.full(many, row)), pa.array(place + np.arange(many))], names=["string", "row_key", "place"])
 
-    return run
+_PLACES = "row_key long, place long, many long"
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
+def _crowded(units: DataFrame, most: int, label: str) -> DataFrame:
+    """Keys of more units than a task shall sort together."""
+    return settle(units.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("key"), label)
+
+
+def _sorted(units: DataFrame, length: int) -> DataFrame:
+    return units.repartition("key").sortWithinPartitions("key").mapInArrow(_repeats(length), _PLACES)
+
+
+def _by_whole_strings(units: DataFrame, length: int) -> DataFrame:
+    """Repeated places of units, dealt by hashes of whole strings.
+
+    A task compares its own strings first, so that each goes on once, however often the task has it. Hashes say which strings may have an equal one
+    elsewhere; only these go on with their bytes, to be sorted.
+    """
+    strings = settle(units.mapInArrow(_strings(length), _STRINGS), "suffix-strings")
+    known = strings.where(F.col("kind") == _KNOWN).select("row_key", "place", F.lit(1).cast("long").alias("many"))
+    each = strings.where(F.col("kind") != _KNOWN)
+    twice = each.groupBy("string").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("kind") == _LONE).alias("lone")).where("n > 1 and lone > 0").select("string")
+    wanted = each.join(twice, "string").groupBy("row_key", F.col("unit").alias("place")).agg(F.collect_set(F.struct("place", "string")).alias("wanted"))
+    singled = units.select("row_key", "place", "body").join(wanted, ["row_key", "place"]).mapInArrow(_singled(length), _UNITS)
+    return known.unionByName(_sorted(singled, length))
 
 
 def repeated_places(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDED) -> DataFrame:
     """row_key, place, many: runs of places at which a string of `length` bytes begins that also begins elsewhere. docs: keyed().
 
-    A bucket with more than `crowded` units is not sorted in one task: the strings of its places are counted by hash instead.
+    A bucket with more than `crowded` units is dealt anew by all pieces inside its strings, and one that still has more by whole strings.
     """
     if length < 2 * SPAN + GRAM:
         raise ValueError(f"repeated strings have at least {2 * SPAN + GRAM} bytes")
@@ -239,20 +360,22 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDE
     flags = entries.groupBy(F.col("owner").alias("row_key")).agg(F.collect_set("key").alias("pieces"))
     flagged = texts.join(flags, "row_key").select("row_key", "text", "pieces")
     units = settle(flagged.mapInArrow(_units(length, meeting.bucket_count(docs.sparkSession)), _UNITS), "suffix-units")
-    heavy = units.where(F.col("body").isNotNull()).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowded).select("key")
-    heavy = settle(heavy, "suffix-crowded")
+    found = units.where(F.col("body").isNull()).select("row_key", "place", "many")
+    units = units.where(F.col("body").isNotNull())
+    heavy = _crowded(units, crowded, "suffix-crowded")
+    if heavy.isEmpty():
+        return found.unionByName(_sorted(units, length))
+    found = found.unionByName(_sorted(units.join(heavy, "key", "left_anti"), length))
+    anew = units.join(heavy, "key", "left_semi").select("key", "row_key", "place", "many", "body").mapInArrow(_cut_anew(length), _UNITS)
+    anew = settle(anew, "suffix-anew")
+    found = found.unionByName(anew.where(F.col("body").isNull()).select("row_key", "place", "many"))
+    anew = anew.where(F.col("body").isNotNull())
+    heavy = _crowded(anew, crowded, "suffix-crowded")
     if heavy.isEmpty():
-        return units.repartition("key").sortWithinPartitions("key").mapInArrow(_repeats(length), "row_key long, place long, many long")
-    sorted_ = units.join(heavy, "key", "left_anti").repartition("key").sortWithinPartitions("key")
-    strings = units.where(F.col("body").isNotNull()).join(heavy, "key", "left_semi").select(*units.columns)
-    strings = settle(strings.mapInArrow(_strings(length), "string long, row_key long, place long"), "suffix-strings")
-    twice = strings.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string")
-    known = units.where(F.col("body").isNull()).join(heavy, "key", "left_semi").select("row_key", "place", "many")
-    return (
-        sorted_.mapInArrow(_repeats(length), "row_key long, place long, many long")
-        .unionByName(strings.join(twice, "string").select("row_key", "place", F.lit(1).cast("long").alias("many")))
-        .unionByName(known)
-    )
+        return found.unionByName(_sorted(anew, length))
+    found = found.unionByName(_sorted(anew.join(heavy, "key", "left_anti"), length))
+    still = anew.join(heavy, "key", "left_semi").select("key", "row_key", "place", "many", "body")
+    return found.unionByName(_by_whole_strings(still, length))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDED) -> DataFrame:
@@ -289,6 +412,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDED
 
 
 def digest(removed: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of the result of remove_repeats()."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and n_kept of the result of remove_repeats()."""
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-    return removed.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return removed.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.octet_length("kept").cast("long").alias("n_kept"))

@@ -86,10 +86,28 @@ def test_suffix_dedup_is_brute_force(odd, crowded):
     for r, t, spans in zip(rows, texts, spans_of(texts, length), strict=True):
         kept = b"".join(t[a:b] for a, b in zip([0, *[e for _, e in spans]], [*[s for s, _ in spans], len(t)], strict=True))
         want.append((r["doc_id"], len(t), sum(b - a for a, b in spans), len(spans), hashlib.sha256(kept).hexdigest()))
-    got = [tuple(r) for r in suffix_dedup.digest(suffix_dedup.remove_repeats(odd, length, crowded)).collect()]
+    rows = suffix_dedup.digest(suffix_dedup.remove_repeats(odd, length, crowded)).collect()
+    assert all(r["n_kept"] == r["n_bytes"] - r["n_removed"] for r in rows)
+    got = [tuple(r)[:5] for r in rows]
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+@pytest.mark.parametrize("crowded", [4096, 40, 3])
+def test_crowded_buckets_are_brute_force(spark, crowded, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "UNIT", 16)
+    r = random.Random(12)
+    make = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    hot, short, copies = make(400), make(190), make(600)
+    texts = [make(r.randint(0, 300)) + hot + make(r.randint(0, 300)) for _ in range(60)]
+    texts += [make(r.randint(0, 100)) + short + make(r.randint(0, 100)) for _ in range(40)]
+    texts += [make(20) + hot[:300] + x + short + hot[100:] for x in "abab"] + [copies] * 30 + [copies[: r.randint(0, 600)] for _ in range(40)]
+    length = 2 * suffix_dedup.SPAN + suffix_dedup.GRAM
+    want = [(i, sum(b - a for a, b in spans), len(spans)) for i, spans in enumerate(spans_of([t.encode() for t in texts], length))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(9)
+    got = suffix_dedup.digest(suffix_dedup.remove_repeats(docs, length, crowded)).select("doc_id", "n_removed", "n_spans").collect()
+    assert sorted(map(tuple, got)) == want
+
+
 def test_long_texts_are_cut_in_stretches(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_SEAM", 1500)
     monkeypatch.setattr(suffix_dedup, "BLOCK", 1000)
