@@ -1,7 +1,8 @@
 """License scans by an exact set-similarity join of text blocks with licence templates.
 
-A block is a line, or the words on both sides of a line break, so that wrapped notices count; comment marks are no words. It
-matches a template when it holds at least the threshold's share of the template's distinct words.
+A block is a stretch of a line twice as long as the template, one beginning at each of its lengths, or the words on both sides of a
+line break, so that wrapped notices count and words strewn over a long line don't; comment marks are no words. It matches a template
+when it holds at least the threshold's share of the template's distinct words. A line is first met as a whole, which holds all its stretches.
 Words are ordered by the number of blocks that hold them, rarest first. A matching block must hold one
 of the template's first words (prefix filter), be large enough (length filter), and have enough words left
 after the shared one (positional filter); what remains is verified. All steps are DataFrame operations.
@@ -97,9 +98,24 @@ def base_places(docs: DataFrame) -> DataFrame:
 
 
 def text_blocks(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """One row for each block: row key, block number and its distinct words of the vocabulary."""
+    """One row for each line: row key, line number, the line and its distinct words of the vocabulary."""
     lines = docs.select(F.xxhash64("doc_id", "text").alias("row_key"), F.posexplode(F.split(lowered(F.col("text")), "\n")).alias("block", "line"))
-    return lines.select("row_key", "block", F.array_intersect(F.split("line", BETWEEN), strings(vocabulary)).alias("held"))
+    return lines.select("row_key", "block", "line", F.array_intersect(F.split("line", BETWEEN), strings(vocabulary)).alias("held"))
+
+
+def stretches_that_match(lines: DataFrame) -> DataFrame:
+    """row_key, block, template, label, containment of lines of which a stretch matches.
+
+    lines: row_key, block, template, label, length, need, size, ranks, and spots (place and rank of its words of the vocabulary). Each word
+    lies in the stretch that begins at or before it and in the one before that.
+    """
+    own = F.filter("spots", lambda s: F.array_contains(F.col("ranks"), s["rank"]))
+    spots = lines.select("row_key", "block", "template", "label", "length", "need", "size", F.explode(own).alias("spot"))
+    stretch = F.floor(F.col("spot.place") / F.col("length"))
+    placed = spots.select("*", F.explode(F.array(stretch, stretch - 1)).alias("stretch")).where("stretch >= 0")
+    each = placed.groupBy("row_key", "block", "template", "label", "need", "size", "stretch").agg(F.size(F.collect_set("spot.rank")).alias("n"))
+    most = each.where("n >= need").groupBy("row_key", "block", "template", "label", "size").agg(F.max("n").alias("n"))
+    return most.select("row_key", "block", "template", "label", (F.col("n") / F.col("size")).alias("containment"))
 
 
 def break_blocks(docs: DataFrame, span: int, firsts: list[str]) -> DataFrame:
@@ -155,9 +171,15 @@ def matching_blocks(docs: DataFrame, threshold: float = THRESHOLD, templates=TEM
         return probes.join(F.broadcast(wanted), "rank").where((n >= F.col("need")) & (F.least("at", "place") + 1 + left >= F.col("need")))
 
     ordered = F.filter(ranks_of(F.col("held")), lambda r: r >= 0)
-    held = blocks.where(F.arrays_overlap("held", strings(sorted(firsts)))).select("row_key", "block", F.array_sort(ordered).alias("held"))
+    line_words = F.filter(F.split("line", BETWEEN), lambda w: w != "")
+    spots = F.filter(F.transform(line_words, lambda w, i: F.struct(i.alias("place"), (F.array_position(strings(order), w).cast("int") - 1).alias("rank"))), lambda s: s["rank"] >= 0)
+    probed = blocks.where(F.arrays_overlap("held", strings(sorted(firsts))))
+    held = probed.select("row_key", "block", F.array_sort(ordered).alias("held"), spots.alias("spots"))
     shared = F.size(F.array_intersect("held", "ranks"))
-    verified = candidates(held).where(shared >= F.col("need")).select("row_key", "block", "template", "label", (shared / F.col("size")).alias("containment"))
+    met = candidates(held).where(shared >= F.col("need")).withColumn("containment", shared / F.col("size"))
+    # A line that one stretch holds is the block itself.
+    short = F.element_at("spots", -1)["place"] < 2 * F.col("length")
+    verified = met.where(short).select("row_key", "block", "template", "label", "containment").unionByName(stretches_that_match(met.where(~short)))
     in_lines = verified.dropDuplicates(["row_key", "block", "template"])
 
     both = break_blocks(docs, max(lengths), sorted(firsts)).where(F.arrays_overlap(F.concat("before", "after"), strings(sorted(firsts))))
@@ -201,8 +223,9 @@ def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPL
 
 
 def scan_sql(threshold: float = THRESHOLD, templates=TEMPLATES) -> str:
-    """scan_licenses() of the table documents by comparing every line with every template."""
-    quoted = ",".join(f"({k},'{label}',[{','.join(repr(w) for w in ws)}])" for k, (label, ws) in enumerate(template_sets(templates)))
+    """scan_licenses() of the table documents by comparing every stretch of lines and every line break with every template."""
+    sets = [(k, label, ws, len(template_words(text))) for k, ((label, ws), (_, text)) in enumerate(zip(template_sets(templates), templates, strict=True))]
+    quoted = ",".join(f"({k},'{label}',[{','.join(repr(w) for w in ws)}],{length},{math.ceil(threshold * len(ws) - 1e-9)})" for k, label, ws, length in sets)
     lower, between = f"translate(coalesce(text,''),'{UPPER}','{LOWER}')", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     cut = "list_filter(regexp_split_to_array({}, '" + between + "'), lambda w: w<>'')"
     starts = []
@@ -214,12 +237,22 @@ def scan_sql(threshold: float = THRESHOLD, templates=TEMPLATES) -> str:
     places = "||".join(f"p_{label}" for label, _ in PHRASES)
     return f"""
 WITH docs AS (SELECT row_number() OVER () AS k, doc_id, {lower} AS low FROM documents),
-base AS (SELECT k, doc_id, len(ws) AS n_words, {", ".join(starts)} FROM (SELECT k, doc_id, {cut.format("low")} AS ws FROM docs)),
+words AS (SELECT k, doc_id, {cut.format("low")} AS ws FROM docs),
+base AS (SELECT k, doc_id, len(ws) AS n_words, {", ".join(starts)} FROM words),
 placed AS (SELECT k, doc_id, n_words, {places} AS ps, list_filter([{has}], lambda x: x IS NOT NULL) AS bl FROM base),
-lines AS (SELECT k, list_distinct({cut.format("line")}) AS held FROM (SELECT k, unnest(string_split(low, chr(10))) AS line FROM docs)),
-templates(t, label, ws) AS (VALUES {quoted}),
-hits AS (SELECT k, label, len(list_intersect(held, ws)) / len(ws) AS c FROM lines JOIN templates ON len(list_intersect(held, ws)) >= ceil({threshold} * len(ws) - 1e-9)),
-found AS (SELECT k, list(DISTINCT label) AS ls, max(c) AS c, count(*) AS n FROM hits GROUP BY k)
+lines AS (SELECT k, b, {cut.format("line")} AS line FROM (SELECT k, unnest(string_split(low, chr(10))) AS line, generate_subscripts(string_split(low, chr(10)), 1) AS b FROM docs)),
+templates(t, label, tw, length, need) AS (VALUES {quoted}),
+whole AS (SELECT k, t, label, line, tw, length, need FROM lines JOIN templates ON len(list_intersect(line, tw)) >= need),
+stretched AS (SELECT k, t, label, need, len(tw) AS size, list_max(list_transform(range(0, len(line), length), lambda i: len(list_intersect(line[i+1:i+2*length], tw)))) AS m FROM whole),
+in_lines AS (SELECT k, t, label, m / size AS c FROM stretched WHERE m >= need),
+breaks AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY b) AS nr, sum(len(line)) OVER (PARTITION BY k ORDER BY b)::BIGINT AS upto FROM lines WHERE len(line) > 0),
+sides AS (SELECT k, nr, t, label, tw, need, ws[greatest(upto-length+1, 1):upto] AS x, ws[upto+1:upto+length] AS y
+ FROM breaks JOIN words USING (k) JOIN templates ON list_has_any(ws[greatest(upto-length+1, 1):upto+length], tw)),
+spanning AS (SELECT k, nr, t, label, len(list_intersect(x || y, tw)) / len(tw) AS c FROM sides
+ WHERE len(list_intersect(x || y, tw)) >= need AND len(list_intersect(x, tw)) < need AND len(list_intersect(y, tw)) < need),
+headed AS (SELECT *, nr - 1 IS DISTINCT FROM lag(nr) OVER (PARTITION BY k, t ORDER BY nr) AS head FROM spanning),
+hits AS (SELECT k, label, c, 1 AS one FROM in_lines UNION ALL SELECT k, label, c, head::INT FROM headed),
+found AS (SELECT k, list(DISTINCT label) AS ls, max(c) AS c, sum(one) AS n FROM hits GROUP BY k)
 SELECT doc_id, n_words::BIGINT AS n_words, len(ps)::BIGINT AS n_base, (list_min(ps)-1)::BIGINT AS first_word, (list_max(ps)-1)::BIGINT AS last_word,
  coalesce(array_to_string(list_sort(bl), ','), '') AS base_labels, coalesce(array_to_string(list_sort(list_distinct(bl || coalesce(ls, []))), ','), '') AS labels,
  CASE WHEN len(ps)>0 THEN 1.0::DOUBLE ELSE coalesce(c, 0)::DOUBLE END AS score, coalesce(n, 0)::BIGINT AS n_blocks

@@ -7,6 +7,7 @@ import textwrap
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -243,6 +244,39 @@ def test_notices_wrapped_over_lines(spark):
     assert got[f"{bsd}-25"]["n_blocks"] == 1
 
 
+def made_notices(repeat):
+    """Texts with each notice on one line, within long lines, wrapped in several ways and strewn over a long line."""
+    r = random.Random(repeat)
+    fill = ["word", "of", "the", "license", "may", "x1", "this", "and"]
+    out = ["", None, "\n\n", "all rights\n\n * reserved"]
+    for _, text in license_scan.TEMPLATES:
+        prose = [r.choice(fill) for _ in range(r.randint(0, 90))]
+        out.append(" ".join([*prose, text, *prose]))
+        out.append("\n# ".join(textwrap.wrap(" ".join([*prose[:20], text, *prose[:20]]), r.choice([12, 30, 70]), break_long_words=False)))
+        out.append(" ".join(w + " " + " ".join(prose) for w in text.split()))
+    return out
+
+
+def test_twin_knows_wrapped_and_strewn_notices(spark):
+    texts = made_notices(1) + made_notices(2)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    connection = duckdb.connect()
+    connection.register("documents", docs.toArrow())
+    names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "n_blocks"]
+    want = sorted(connection.execute(f"select {', '.join(names)} from ({license_scan.scan_sql()})").fetchall())
+    got = sorted(tuple(r) for r in license_scan.scan_licenses(docs).select(names).collect())
+    assert got == want and sum(r[-1] > 0 for r in got) > 2 * len(license_scan.TEMPLATES)
+
+
+def test_strewn_words_are_no_notice(spark):
+    gpl = next(text for label, text in license_scan.TEMPLATES if label == "gpl" and "redistribute" in text)
+    far = " ".join(w + " " + "filler " * 150 for w in gpl.split())
+    rights = "all " + "filler " * 1000 + "rights " + "filler " * 1000 + "reserved"
+    within = "filler " * 1000 + gpl + " filler" * 1000
+    docs = spark.createDataFrame([(1, far), (2, rights), (3, within), (4, rights + " All rights reserved.")], "doc_id long, text string")
+    assert {r["doc_id"]: (r["labels"], r["n_blocks"]) for r in license_scan.scan_licenses(docs).collect()} == {1: ("", 0), 2: ("", 0), 3: ("gpl", 1), 4: ("proprietary", 1)}
+
+
 def test_rights_reserved_without_copyright(spark):
     docs = spark.createDataFrame([(1, "Some prose.\nAll rights reserved."), (2, "(c) 2020 A. Writer, all\n# rights reserved"), (3, "all rights")], "doc_id long, text string")
     assert {r["doc_id"]: r["labels"] for r in license_scan.scan_licenses(docs).collect()} == {1: "proprietary", 2: "proprietary", 3: ""}

@@ -55,3 +55,19 @@ def test_empty_table(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = settle(stage(spark, docs, sf_dir), "empty")
         assert docs.count() == 0
+
+
+def test_one_row_of_each_group_whatever_the_ids(spark):
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(60)) for k in "abcd")
+    near = a.rsplit(" ", 1)[0] + " other"
+    rows = [
+        (1, a, 1), (2, a, 2), (None, a, 3), (None, near, 4),  # one group with ids
+        (None, b, 5), (None, b, 6), (None, b + " more", 7),  # one without
+        (1, c, 8), (3, c, 9), (1, d, 10), (1, d, 11),  # ids that lead several groups
+        (4, None, 12), (4, None, 13), (5, "", 14), (None, None, 15),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_key long").repartition(3)
+    got = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert got.columns == docs.columns
+    kept = sorted((r["doc_id"] or 0, (r["text"] or "")[:1]) for r in got.collect())
+    assert kept == [(0, ""), (0, "b"), (1, "a"), (1, "c"), (1, "d"), (4, ""), (5, "")]
