@@ -31,15 +31,17 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id.
 
-    Rows that repeat both id and text count once. Texts without words form no group. Documents with a null id stay if none of their
-    group has an id.
+    Rows that repeat both id and text count once. Texts without words form no group. A row with a null id stays only if none of its
+    group has an id, and then one of them does; rows that share an id are told apart by their texts.
     """
-    groups = ngram_join.similar_documents(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = settle(kept, "kept")
-    whole = docs.select(F.struct(*docs.columns).alias("whole_row"), "doc_id", F.xxhash64("text").alias("same"))
-    stay = whole.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return stay.dropDuplicates(["doc_id", "same"]).select("whole_row.*")
+    row_key = F.xxhash64("doc_id", "text").alias("row_key")
+    groups = ngram_join.similar_documents(docs.select(row_key.alias("doc_id"), "text"))
+    placed = settle(groups.select(F.col("doc_id").alias("row_key"), "component_id").distinct(), "placed")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")).alias("first")
+    named = docs.select("doc_id", row_key).distinct().join(placed, "row_key")
+    kept = settle(named.groupBy("component_id").agg(first).select("first.row_key"), "kept")
+    single = docs.select(F.struct(*docs.columns).alias("whole_row"), "doc_id", row_key).dropDuplicates(["row_key", "doc_id"])
+    return single.join(kept, "row_key", "left_semi").select("whole_row.*")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
