@@ -24,7 +24,7 @@ LENGTH = 400
 GRAM = 16  # bytes that an anchor's hash covers
 SPAN = 96  # places of which one is an anchor
 UNIT = 1024  # candidate places in a row of the exchange at most
-CROWDED = 4096  # units of a bucket that are sorted together; a larger bucket is dealt anew by a longer key
+CROWDED = 1 << 16  # places of a bucket that are sorted together; a larger bucket is dealt anew by a longer key
 COMPARED = 1 << 18  # places whose whole strings are compared at a time before they are dealt
 BLOCK = 1 << 19
 SORTED = 1 << 21  # bytes of units sorted together, about
@@ -325,8 +325,8 @@ _PLACES = "row_key long, place long, many long"
 
 
 def _crowded(units: DataFrame, most: int, label: str) -> DataFrame:
-    """Keys of more units than a task shall sort together."""
-    return settle(units.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("key"), label)
+    """Keys of more places than a task shall sort together."""
+    return settle(units.groupBy("key").agg(F.sum("many").alias("n")).where(F.col("n") > most).select("key"), label)
 
 
 def _sorted(units: DataFrame, length: int) -> DataFrame:
@@ -351,7 +351,7 @@ def _by_whole_strings(units: DataFrame, length: int) -> DataFrame:
 def repeated_places(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDED) -> DataFrame:
     """row_key, place, many: runs of places at which a string of `length` bytes begins that also begins elsewhere. docs: keyed().
 
-    A bucket with more than `crowded` units is dealt anew by all pieces inside its strings, and one that still has more by whole strings.
+    A bucket with more than `crowded` places is dealt anew by all pieces inside its strings, and one that still has more by whole strings.
     """
     if length < 2 * SPAN + GRAM:
         raise ValueError(f"repeated strings have at least {2 * SPAN + GRAM} bytes")
