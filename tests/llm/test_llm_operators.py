@@ -1,11 +1,13 @@
 """The dealt operators beside plain restatements, on odd rows and small tables."""
 
 import hashlib
+import math
 import random
 import re
 import textwrap
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import duckdb
 import numpy as np
@@ -543,6 +545,45 @@ def test_mixing_keeps_every_window(spark, weights):
         assert all(abs(taken[s] - (slot + 1) * w / sum(weight.values())) < 1 for s, w in weight.items())
 
 
+def brute_schedule(blocks, weights):
+    """(source, block): slot, release, deadline; every slot scans all released blocks for the earliest deadline."""
+    found, before, turn = {}, 0, 0
+    order = sorted(weights, key=lambda s: (s is not None, s or ""))
+    while True:
+        supply = {s: min(weights[s], blocks[s] - turn * weights[s]) for s in order if blocks[s] > turn * weights[s]}
+        if not supply:
+            return found
+        due = []
+        for k, s in enumerate(order):
+            for j in range(supply.get(s, 0)):
+                begin, end = (sum(min(Fraction(c), Fraction(i, weights[s]) * weights[o]) for o, c in supply.items()) for i in (j, j + 1))
+                due.append((math.ceil(end), k, j, math.floor(begin)))
+        for slot in range(len(due)):
+            best = min(d for d in due if d[3] <= slot)
+            due.remove(best)
+            s = order[best[1]]
+            found[s, turn * weights[s] + best[2]] = (before + slot, before + best[3], before + best[0])
+        before, turn = before + sum(supply.values()), turn + 1
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mixing_is_the_schedule_slot_by_slot(spark, seed):
+    r = random.Random(seed)
+    sources = [None, *(f"s{k}" for k in range(12))]
+    counts = {s: r.choice([1, 4, 5, 37, 90, 200]) for s in sources}
+    docs = spark.createDataFrame([(k, s) for s, n in counts.items() for k in range(n)], "doc_id long, source string")
+    got = mixing.mix(docs, exponent=0.7, block=4, resolution=r.choice([20, 60]), bucket=100).collect()
+    weights = {x["source"]: x["source_weight"] for x in got}
+    want = brute_schedule({s: -(-n // 4) for s, n in counts.items()}, weights)
+    assert {(x["source"], x["block"]): (x["slot"], x["release"], x["deadline"]) for x in got} == want
+
+
+def test_mixing_of_many_sources(spark):
+    docs = spark.range(9000).selectExpr("id AS doc_id", "concat('s', floor(sqrt(id * 40))) AS source")
+    got = mixing.mix(docs).selectExpr("count(*)", "count(DISTINCT position)", "count(DISTINCT slot)", "max(slot) + 1", "count(DISTINCT source)").first()
+    assert got[0] == got[1] == 9000 and got[2] == got[3] and got[4] > 500
+
+
 def test_mixing_odd_rows(odd, empty):
     got = mixing.mix(odd)
     assert got.count() == odd.count() and mixing.mix(empty).count() == 0
