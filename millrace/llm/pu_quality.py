@@ -19,6 +19,7 @@ from millrace.llm import arrow_text
 
 POSITIVES, UNLABELLED = 3000, 6000  # sampled texts at most
 EPOCHS, BATCH, RATE, DECAY = 40, 256, 0.01, 1e-4
+FIRST_EPOCHS, CONFIDENCE = 10, 0.1  # of the model that the class prior comes from
 THRESHOLD = 0.3
 BLOCK = 1 << 19
 
@@ -113,6 +114,23 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: in
     return Scorer(mean, scale, w, b, prior)
 
 
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of positives among unlabelled rows, from these two kinds alone.
+
+    A first model learns from every other row and scores the rest. Above the best of all cuts, unlabelled rows are taken to be positive, so the
+    share of unlabelled rows above it over that of positives estimates the prior; cuts that few positives pass are uncertain and count for more.
+    """
+    if min(len(positive), len(unlabelled)) < 4:
+        return 0.5
+    first = train(positive[::2], unlabelled[::2], 0.5, FIRST_EPOCHS)
+    p, u = np.sort(first.score(positive[1::2])), np.sort(first.score(unlabelled[1::2]))
+    above_p = 1 - np.searchsorted(p, p) / len(p)
+    above_u = 1 - np.searchsorted(u, p) / len(u)
+    doubt = sum(np.sqrt(np.log(4 / CONFIDENCE) / (2 * len(x))) for x in (p, u))
+    best = np.argmin((above_u + doubt) / above_p)
+    return float(np.clip(above_u[best] / above_p[best], 0.01, 0.99))
+
+
 def remainder(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(5))
 
@@ -143,19 +161,17 @@ def _features_of(docs: DataFrame, hashes: list[int], seed: str) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Scorer | None:
     """A scorer from bounded samples: `positives` texts with quality 1 and `unlabelled` texts of any kind.
 
-    Labels are used only of ids that are not held out, and rows with a null id or label are no labels. The class prior is estimated by the share of
-    quality 1 among them. None if there is no positive text.
+    Labels are used only of ids that are not held out, and only those of quality 1; rows with a null id or label are no labels. The class
+    prior is estimated from the two samples. None if there is no positive text.
     """
-    known = labels.where(F.col("quality").isNotNull() & (remainder(F.col("doc_id")) != 0))
-    prior = known.agg(F.avg(F.col("quality").cast("double"))).first()[0]
-    trusted = _dealt(known.where(F.col("quality") == 1), positives, "positive")
+    trusted = _dealt(labels.where((F.col("quality") == 1) & (remainder(F.col("doc_id")) != 0)), positives, "positive")
     if not trusted:
         return None
     web = _dealt(docs.where(remainder(F.col("doc_id")) != 0), unlabelled, "web")
     p, u = _features_of(docs, trusted, "positive"), _features_of(docs, web, "web")
     if not len(p) or not len(u):
         return None
-    return train(p, u, min(max(prior, 0.01), 0.99))
+    return train(p, u, class_prior(p, u))
 
 
 def score_documents(docs: DataFrame, scorer: Scorer | None, threshold: float = THRESHOLD) -> DataFrame:

@@ -522,6 +522,16 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {(i, 0) for i in range(31)} | {(i, 100) for i in range(100, 120)}
 
 
+def test_class_prior_from_positives_and_unlabelled():
+    random_ = np.random.default_rng(5)
+    for share in (0.2, 0.5, 0.8):
+        good, bad = random_.normal(1.5, 1, (4000, 6)), random_.normal(-1.5, 1, (4000, 6))
+        web = np.concatenate([good[: int(share * 3000)], bad[: 3000 - int(share * 3000)]])
+        got = pu_quality.class_prior(good[3000:].astype("f4"), random_.permutation(web).astype("f4"))
+        assert abs(got - share) < 0.06
+    assert pu_quality.class_prior(good[:2], web) == 0.5
+
+
 # 10
 
 
