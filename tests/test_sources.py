@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.session import CHECKPOINT_CONF, scratch_dir, scratch_root, settle
-from millrace.sources import jdbc, sinks, tabular
+from millrace.sources import jdbc, sinks, tabular, text
 
 
 def test_scratch_is_the_shared_folder(spark):
@@ -54,3 +54,21 @@ def test_jdbc_ranges():
     assert jdbc.partition_options("id", 1, 100, 8) == {"partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "8"}
     with pytest.raises(ValueError):
         jdbc.partition_options("id", 5, 1, 8)
+
+
+def test_trees_of_many_folders_are_listed_and_read_by_few_tasks(spark, tmp_path):
+    for i in range(600):
+        (tmp_path / f"doc_id={i}").mkdir()
+        (tmp_path / f"doc_id={i}" / "part.txt").write_text(f"text {i}")
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    sc.setJobGroup("listing", "listing")
+    try:
+        files, held = text.scan_text_tree(spark, str(tmp_path), "*.txt"), text.file_inventory(spark, str(tmp_path))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and all(s.numTasks <= 4 * sc.defaultParallelism for s in stages if s)
+    with text.small_files(spark):
+        assert files.rdd.getNumPartitions() <= sc.defaultParallelism + 1
+        assert sorted(r["value"] for r in files.collect()) == sorted(f"text {i}" for i in range(600))
+    assert held.where("length between 6 and 8").count() == 600
