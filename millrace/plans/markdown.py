@@ -206,7 +206,9 @@ def a1_audit_of_files(spark, sf_dir):
 def p12_clean_files(spark, sf_dir):
     """Files written and scanned, cleaned, and the changed ones written: S1, P12 and S10 in a row."""
     path = scratch_dir(spark, "cleaned-files")
-    sinks.write_changed(shell.clean_shell_blocks(_scanned_pages(spark, _file_tree(spark, sf_dir)), RENAMES), path)
+    root = _file_tree(spark, sf_dir)
+    with tree.small_files(spark):
+        sinks.write_changed(shell.clean_shell_blocks(_scanned_pages(spark, root), RENAMES), path)
     return spark.read.schema("path string, value string, n_changes long").parquet(path)
 
 
