@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,36 +66,40 @@ def advanced(following: int | None, missing: list[list[int]], ranges: list[tuple
     """The next expected offset, missing ranges (first, last, noticed at) and the rows (kind, first, last, times) after a batch of ranges."""
     stretches = covered(ranges)
     following = stretches[0][0] if following is None else following
-    late, repeats, gaps = [], [], []
+    limit = following
+    late, repeats, gaps, left, opened = [], [], [], [], []
+    # Stretches and missing ranges both lie in order and apart, so one walk along the two meets every overlap.
+    rest = deque(missing)
     for a, b, times in stretches:
-        old_end = min(b, following - 1)
+        old_end = min(b, limit - 1)
         if a <= old_end:
-            left, rest = [], []
             at = a
-            for m in missing:
-                low, high = max(m[0], a), min(m[1], old_end)
-                if low > high:
-                    left.append(m)
-                    continue
+            while rest and rest[0][1] < a:
+                left.append(rest.popleft())
+            while rest and rest[0][0] <= old_end:
+                first, last, noticed = rest.popleft()
+                low, high = max(first, a), min(last, old_end)
                 late.append((low, high, 1))
-                if times > 1:
-                    rest.append((low, high, times - 1))
                 if at < low:
-                    rest.append((at, low - 1, times))
+                    repeats.append((at, low - 1, times))
+                if times > 1:
+                    repeats.append((low, high, times - 1))
                 at = high + 1
-                left += [p for p in ([m[0], low - 1, m[2]], [high + 1, m[1], m[2]]) if p[0] <= p[1]]
+                if first < low:
+                    left.append([first, low - 1, noticed])
+                if last > high:
+                    rest.appendleft([high + 1, last, noticed])
             if at <= old_end:
-                rest.append((at, old_end, times))
-            missing = sorted(left)
-            repeats += sorted(rest)
+                repeats.append((at, old_end, times))
         if b >= following:
             start = max(a, following)
             if start > following:
                 gaps.append((following, start - 1, 1))
-                missing = [*missing, [following, start - 1, now]]
+                opened.append([following, start - 1, now])
             if times > 1:
                 repeats.append((start, b, times - 1))
             following = b + 1
+    missing = [*left, *rest, *opened]
     rows = [("gap", *r) for r in joined(sorted(gaps))] + [("late", *r) for r in joined(sorted(late))] + [("repeat", *r) for r in joined(sorted(repeats))]
     return following, missing, rows
 

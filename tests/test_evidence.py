@@ -6,6 +6,7 @@ import os
 import random
 import subprocess
 import sys
+import time
 from collections import Counter
 
 import pytest
@@ -168,6 +169,19 @@ def test_rows_of_offsets_do_not_depend_on_how_ranges_are_cut():
             assert all(o < state[0] and o not in batch for o in held)
 
 
+def test_many_gaps_are_walked_once():
+    n = 30_000
+    start = time.time()
+    following, missing, rows = offsets.advanced(None, [], [(4 * i, 4 * i + 1) for i in range(n)], 10)
+    assert following == 4 * n - 2 and len(missing) == n - 1
+    # The first half of each gap comes late, and all but the last run come again.
+    batch = [(4 * i, 4 * i + 2) for i in range(n - 1)]
+    following, missing, rows = offsets.advanced(following, missing, batch, 20)
+    assert missing == [[4 * i + 3, 4 * i + 3, 10] for i in range(n - 1)]
+    assert rows == [("late", 4 * i + 2, 4 * i + 2, 1) for i in range(n - 1)] + [("repeat", 4 * i, 4 * i + 1, 1) for i in range(n - 1)]
+    assert time.time() - start < 20
+
+
 def test_offsets_on_a_stream(spark, tmp_path):
     schema = "topic string, partition int, offset long, timestamp timestamp"
     landings = [
