@@ -57,6 +57,18 @@ def test_state_survives_a_restart(spark, places):
     assert got == {"hot": 57, "cold": 1}
 
 
+def test_only_busy_keys_have_many_states(spark, places):
+    source, out, ck = places
+    rows = [(i, i, f"user {i % 50}") for i in range(1000)]
+    with setting(spark, jobs.STATE_STORE_CONF, jobs.ROCKSDB):
+        for part in (rows + [(i, i, "hot") for i in range(5000)], rows + [(1, 1, None)]):
+            land(spark, source, part)
+            jobs.run_available(jobs.running_counts(jobs.stream_files(spark, source, SCHEMA), "user"), out, ck, "update")
+    lanes = jobs.latest(spark.read.parquet(out), ["key", "lane"], "n").collect()
+    assert sorted((r["key"], r["lane"], r["n"]) for r in lanes if r["key"] not in (None, "hot")) == sorted((f"user {i}", 0, 40) for i in range(50))
+    assert sum(r["n"] for r in lanes if r["key"] == "hot") == 5000 and sum(r["n"] for r in lanes if r["key"] is None) == 1
+
+
 def test_late_rows_are_counted(spark, places):
     source, out, ck = places
     build = lambda: jobs.tumbling_counts(jobs.stream_files(spark, source, SCHEMA), "ts", "user", "1 hour", "10 minutes")
