@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -43,23 +44,30 @@ def contributions(pred: DataFrame, model: Model, key: str) -> DataFrame:
     return parts.where("contribution <> 0")
 
 
+SLICE = 1024  # vectors that a task unpacks at a time
+
+
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, slot, value) of the stored slots of (key, vector), in slices and without a Python object for each slot."""
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            keys, vectors = batch.slice(at, SLICE).columns
+            kinds, _, indices, values = vectors.flatten()
+            sizes = pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False).astype("i8")
+            stored = values.flatten().to_numpy(zero_copy_only=False)
+            slots = np.arange(len(stored)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            # Dense vectors have no indices.
+            sparse = pc.fill_null(pc.equal(kinds, 0), False).to_numpy(zero_copy_only=False)
+            slots[np.repeat(sparse, sizes)] = indices.flatten().to_numpy(zero_copy_only=False)
+            kept = np.flatnonzero(stored != 0)
+            owners = keys.take(pa.array(np.repeat(np.arange(len(keys)), sizes)[kept]))
+            yield pa.RecordBatch.from_arrays([owners, pa.array(slots[kept].astype("i4")), pa.array(stored[kept])], names=["key", "slot", "value"])
+
+
 def sparse_slots(df: DataFrame, key: str, features: str) -> DataFrame:
     """(key, slot, value) of the slots that a vector column stores, whatever its width: sparse vectors stay sparse."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [(k, v) for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if v is not None]
-            keys, slots, values = [], [], []
-            for k, v in found:
-                stored = v["values"] or []
-                at = v["indices"] if v["type"] == 0 else range(len(stored))
-                kept = [(i, x) for i, x in zip(at, stored) if x]
-                keys += [k] * len(kept)
-                slots += [i for i, _ in kept]
-                values += [x for _, x in kept]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field(0).type), pa.array(slots, pa.int32()), pa.array(values, pa.float64())], names=[key, "slot", "value"])
-
-    return df.select(key, features).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, slot int, value double")
+    found = df.select(key, features).mapInArrow(_slots, f"key {df.schema[key].dataType.simpleString()}, slot int, value double")
+    return found.withColumnRenamed("key", key)
 
 
 def class_weights(model: Model) -> tuple[DataFrame, DataFrame]:

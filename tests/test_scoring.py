@@ -269,3 +269,41 @@ def test_documents_are_counted_while_their_words_are(spark):
     docs = spark.createDataFrame([(1, "a b b"), (2, "b"), (3, ""), (4, None), (5, "9 9")], "id long, text string")
     got = {(r["id"], r["term"]): r["tfidf"] for r in relations.tfidf(docs, "id", "text").collect()}
     assert got.keys() == {(1, "a"), (1, "b"), (2, "b")} and close(got[1, "b"], 2 * math.log(6 / 3)) and close(got[1, "a"], math.log(6 / 2))
+
+
+# Slots of vectors
+
+
+def test_slots_of_any_vector(spark):
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql import types as S
+
+    r = random.Random(4)
+    rows, want = [(-1, None), (-2, Vectors.sparse(5, [], [])), (-3, Vectors.dense([0.0, 2.5, 0.0, -1.0])), (-4, Vectors.sparse(9, [2, 7], [0.0, 3.0]))], []
+    want += [(-3, 1, 2.5), (-3, 3, -1.0), (-4, 7, 3.0)]
+    for i in range(3000):
+        cells = {r.randrange(50): float(r.randint(-2, 2)) for _ in range(r.randrange(6))}
+        rows.append((i, Vectors.sparse(50, cells) if i % 3 else Vectors.dense([cells.get(k, 0.0) for k in range(50)])))
+        want += [(i, k, v) for k, v in cells.items() if v]
+    df = spark.createDataFrame(rows, S.StructType([S.StructField("id", S.LongType()), S.StructField("x", VectorUDT())])).coalesce(1)
+    found = insight.sparse_slots(df, "id", "x")
+    assert found.columns == ["id", "slot", "value"]
+    assert sorted(tuple(x) for x in found.collect()) == sorted(want)
+
+
+def test_slots_need_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n, width = 10_000, 100
+    ends = pa.array(np.arange(0, n * width + 1, width, dtype="i4"))
+    cells = {"type": pa.array(np.zeros(n, "i1")), "size": pa.array(np.full(n, 4096, "i4"))}
+    cells |= {"indices": pa.ListArray.from_arrays(ends, pa.array(np.arange(n * width, dtype="i4") % 4096)), "values": pa.ListArray.from_arrays(ends, pa.array(np.ones(n * width)))}
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.StructArray.from_arrays(list(cells.values()), names=list(cells))], names=["id", "x"])
+    tracemalloc.start()
+    try:
+        assert sum(len(out) for out in insight._slots(iter([batch]))) == n * width
+        assert tracemalloc.get_traced_memory()[1] < 20 << 20  # one object for each slot took over 100 MB
+    finally:
+        tracemalloc.stop()
