@@ -159,7 +159,8 @@ def transactions(spark, sf_dir):
 
 def _large(spark, sf_dir):
     """Training and test transactions, and the training rows' 90th percentile of the amount."""
-    train, test = models.split(transactions(spark, sf_dir), "o_orderkey")
+    # Every stage of a pipeline reads its rows anew, so lines are summed and joined once.
+    train, test = models.split(settle(transactions(spark, sf_dir), "transactions"), "o_orderkey")
     cut = quantiles(train.withColumn("_all", F.lit(0)), ["_all"], "o_totalprice", [0.9]).first()["quantile"]
     return train, test, cut
 

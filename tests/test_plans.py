@@ -1,6 +1,7 @@
 """What the physical plans must and must not hold."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.plans import all_queries, etl, markdown
 from millrace.session import table
@@ -92,3 +93,10 @@ def test_windows_and_the_join_of_parts_share_an_exchange(spark, sf_dir, name):
 def test_the_audit_matches_each_text_once(spark, sf_dir):
     plan = physical(QUERIES["a1_link_audit_summary"](spark, sf_dir))
     assert plan.count("ReadSchema: struct<") == 2 and sum("text:string" in x for x in plan.splitlines() if "ReadSchema" in x) == 1
+
+
+def test_lines_are_summed_once_for_all_models(spark, sf_dir):
+    from millrace.plans import learning
+
+    train, test, _ = learning._large(spark, sf_dir)
+    assert "l_discount" not in physical(train) and "l_discount" not in physical(test)
