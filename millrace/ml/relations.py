@@ -14,14 +14,18 @@ from millrace.session import settle
 
 
 def tfidf(docs: DataFrame, key: str, text: str, pattern: str = "[a-z]+") -> DataFrame:
-    """(key, term, tf, tfidf) with idf = ln((N + 1) / (df + 1)). Texts are cut into terms once; `key` is unique."""
+    """(key, term, tf, tfidf) with idf = ln((N + 1) / (df + 1)). Texts are cut into terms once; `key` is unique.
+
+    Whole texts are dealt by key, so their terms are counted where they are cut. The weights of all terms are written before
+    they are joined: Spark knows their size then, and moves the counts only if the vocabulary is too large to broadcast.
+    """
     found = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
     # A null term in every document counts the documents on the way.
-    terms = docs.select(key, F.explode(F.concat(F.array(F.lit(None).cast("string")), F.coalesce(found, F.array().cast("array<string>")))).alias("term"))
+    terms = docs.select(key, text).repartition(key).select(key, F.explode(F.concat(F.array(F.lit(None).cast("string")), F.coalesce(found, F.array().cast("array<string>")))).alias("term"))
     tf = settle(terms.groupBy(key, "term").agg(F.count("*").alias("tf")), "tfidf-counts")
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     n_docs = tf.where("term is null").agg(F.count("*")).scalar()
-    idf = df.where("term is not null").select("term", F.log((n_docs + 1) / (F.col("df") + 1)).alias("idf"))
+    idf = settle(df.where("term is not null").select("term", F.log((n_docs + 1) / (F.col("df") + 1)).alias("idf")), "tfidf-weights")
     return tf.join(idf, "term").select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 

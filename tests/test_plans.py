@@ -100,3 +100,12 @@ def test_lines_are_summed_once_for_all_models(spark, sf_dir):
 
     train, test, _ = learning._large(spark, sf_dir)
     assert "l_discount" not in physical(train) and "l_discount" not in physical(test)
+
+
+def test_counts_of_terms_stay_where_they_are_cut(spark):
+    from millrace.ml import relations
+
+    docs = spark.createDataFrame([(i, f"a b{'c' * (i % 7)} a") for i in range(50)], "doc_id long, text string")
+    weighted = relations.tfidf(docs, "doc_id", "text")
+    assert "hashpartitioning(term" not in physical(weighted)
+    assert weighted.count() == 100 and weighted.agg(F.sum("tf")).first()[0] == 150
