@@ -75,9 +75,10 @@ def shared(rows: DataFrame, cut: Cut, label: str) -> tuple[DataFrame, DataFrame]
 
         def flush() -> pa.RecordBatch:
             nonlocal flushed, names, owners, keys, size, count
-            all_keys, all_owners = np.concatenate(keys), np.concatenate(owners)
-            order = np.argsort(all_keys)
-            k, o = all_keys[order], all_owners[order]
+            k, o = np.concatenate(keys), np.concatenate(owners)
+            keys, owners = [], []
+            order = np.argsort(k)
+            k, o = k[order], o[order]
             same = np.concatenate([[False], k[1:] == k[:-1], [False]])
             twice = same[1:] | same[:-1]
             out = [row(NAMES, task * 31 + flushed, np.concatenate(names).astype("<i8").tobytes(), b"")]
@@ -86,6 +87,7 @@ def shared(rows: DataFrame, cut: Cut, label: str) -> tuple[DataFrame, DataFrame]
             marks = k[twice & ~same[:-1]]
             one = np.concatenate([k[~twice], marks])
             of = np.concatenate([o[~twice], np.full(len(marks), MARK, "u4")])
+            del k, o, same, twice
             order = np.argsort(one)
             one, of = one[order], of[order]
             homes = bucket_of(one, buckets)
@@ -109,6 +111,9 @@ def shared(rows: DataFrame, cut: Cut, label: str) -> tuple[DataFrame, DataFrame]
                         yield flush()
         if size:
             yield flush()
+        # A worker outlives its task; what it does not use goes back to the machine, where the executor needs it.
+        seen.clear()
+        pa.default_memory_pool().release_unused()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
@@ -143,6 +148,8 @@ def shared(rows: DataFrame, cut: Cut, label: str) -> tuple[DataFrame, DataFrame]
                     yield _found(SIDE, np.zeros(1, "i8"), np.zeros(1, "i8"), np.zeros(1, "i8"), keys)
         if held:
             yield settle_bucket()
+        held = []
+        pa.default_memory_pool().release_unused()
 
     sent = rows.mapInArrow(send, _SENT)
     met = sent.repartition("bucket").sortWithinPartitions("kind", "bucket").mapInArrow(meet, _FOUND)
