@@ -120,7 +120,10 @@ _UNITS = "key long, row_key long, place long, many long, body binary"
 
 
 class _Thinned:
-    """Units of a task: of equal ones the first two go on with their bytes, the others are known to repeat and go on without."""
+    """Units of a task: of equal ones the first two go on with their bytes, the others are known to repeat and go on without.
+
+    Known ones that follow each other in a text make one row, however many keys they have.
+    """
 
     def __init__(self, length: int):
         self.length = length
@@ -132,7 +135,7 @@ class _Thinned:
         new[1:] = (rows[1:] != rows[:-1] + 1) | (keys[1:] != keys[:-1])
         heads = np.flatnonzero(new)
         numbers = np.searchsorted(found.cuts, rows[heads], "right") - 1
-        out = []
+        out, known = [], None
         for x, y, number in zip(heads.tolist(), np.append(heads[1:], len(rows)).tolist(), numbers.tolist(), strict=True):
             key, first = int(keys[x : x + 1].view("i8")[0]), int(found.cuts[number])
             for c in range(x, y, UNIT):
@@ -140,7 +143,15 @@ class _Thinned:
                 body = text[start : start + many - 1 + self.length]
                 mark = hashlib.blake2b(body, digest_size=16, key=key.to_bytes(8, "little", signed=True)).digest()
                 times = self.times[mark] = self.times.get(mark, 0) + 1
-                out.append((key, names[number], bases[number] + start - first, many, body if times < 3 else None))
+                row, place = names[number], bases[number] + start - first
+                if times < 3:
+                    out.append((key, row, place, many, body))
+                elif known and known[:2] == (number, place):  # goes on where the last known one ends
+                    out[known[2]] = (*out[known[2]][:3], out[known[2]][3] + many, None)
+                    known = number, place + many, known[2]
+                else:
+                    out.append((key, row, place, many, None))
+                    known = number, place + many, len(out) - 1
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True), _UNIT_FIELDS, strict=True)], names=[n for n, _ in _UNIT_FIELDS])
 
 

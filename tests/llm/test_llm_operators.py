@@ -111,6 +111,18 @@ def test_crowded_buckets_are_brute_force(spark, crowded, monkeypatch):
     assert sorted(map(tuple, got)) == want
 
 
+def test_known_repeats_of_a_text_make_one_row():
+    r = random.Random(4)
+    text = "".join(r.choice("abcdefgh ") for _ in range(3000)).encode()
+    thinned, rows = suffix_dedup._Thinned(400), []
+    for name in range(50):
+        found = suffix_dedup.Anchors(np.frombuffer(text, "u1"), np.array([0, len(text)]), 400)
+        rows += thinned.units(found, *found.candidates(), text, [name], [0]).to_pylist()
+    for name in range(50):
+        own = [x for x in rows if x["row_key"] == name]
+        assert sum(x["many"] for x in own) == 2601 and len(own) > 20 if name < 2 else [(x["place"], x["many"], x["body"]) for x in own] == [(0, 2601, None)]
+
+
 def test_long_texts_are_cut_in_stretches(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_SEAM", 1500)
     monkeypatch.setattr(suffix_dedup, "BLOCK", 1000)
