@@ -11,17 +11,23 @@ from pyspark.sql import functions as F
 
 from millrace.llm import language_id, mixing, ngram_join, packing, secret_scan
 from millrace.llm.queries import tokenizer_path
-from millrace.session import settle, table
+from millrace.session import ARROW_ROWS_CONF, settle, table, wide_rows
 
 #: Least score of a document whose language counts as known; texts without letters score 0.
 LEAST_LANGUAGE_SCORE = 0.35
 
 
+def few_texts_a_batch(spark: SparkSession) -> None:
+    """From now on the session hands texts to Python in small batches; stages are run by who writes them, so this lasts."""
+    spark.conf.set(ARROW_ROWS_CONF, wide_rows(spark))
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the byte network recognises; it learns from their own labels.
 
     Null texts, texts without letters and texts of no clear language go. Without any label nothing can be recognised, and all stay.
     """
+    few_texts_a_batch(spark)
     net = language_id.fit(docs)
     if net is None:
         return docs
@@ -46,6 +52,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of each secret; n_chars follows the text."""
+    few_texts_a_batch(spark)
     text = secret_scan.redact_column(F.col("text"))
     columns = [F.col(c) if c != "text" else text.alias("text") for c in docs.columns]
     redacted = docs.select(*columns)

@@ -25,6 +25,7 @@ EPOCHS = 12
 BATCH = 64
 RATE = 0.01
 BLOCK = 1 << 18
+TOGETHER = 64  # windows whose responses are held at a time
 UNKNOWN = "und"
 
 
@@ -119,14 +120,18 @@ class PairTables:
         self.third, self.second = three[2], pairs(four[2], four[3])
 
     def probabilities(self, windows: np.ndarray) -> np.ndarray:
+        peaks = np.concatenate([self.peaks(windows[k : k + TOGETHER]) for k in range(0, max(1, len(windows)), TOGETHER)])
+        return softmax(np.maximum(peaks + self.net.biases, 0) @ self.net.output + self.net.offset)
+
+    def peaks(self, windows: np.ndarray) -> np.ndarray:
+        """The largest response of each filter in each window."""
         pair = windows[:, :-1].astype("i4") << 8 | windows[:, 1:]
         places = windows.shape[1] - 3
         found = self.first[pair]
         f = FILTERS
         found[:, : places + 1, f : 2 * f] += self.third[windows[:, 2:]]
         found[:, :places, 2 * f :] += self.second[pair[:, 2:]]
-        peaks = [found[:, :, :f].max(1), found[:, : places + 1, f : 2 * f].max(1), found[:, :places, 2 * f :].max(1)]
-        return softmax(np.maximum(np.concatenate(peaks, 1) + self.net.biases, 0) @ self.net.output + self.net.offset)
+        return np.concatenate([found[:, :, :f].max(1), found[:, : places + 1, f : 2 * f].max(1), found[:, :places, 2 * f :].max(1)], 1)
 
 
 def windows_of(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

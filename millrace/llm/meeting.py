@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import settle
+from millrace.session import ARROW_ROWS_CONF, setting, settle, wide_rows
 
 FLUSH = 1 << 20  # entries sorted at a time
 BUCKETS = 8  # for each shuffle partition
@@ -153,7 +153,8 @@ def shared(rows: DataFrame, cut: Cut, label: str) -> tuple[DataFrame, DataFrame]
 
     sent = rows.mapInArrow(send, _SENT)
     met = sent.repartition("bucket").sortWithinPartitions("kind", "bucket").mapInArrow(meet, _FOUND)
-    kept = settle(met, label)
+    with setting(rows.sparkSession, ARROW_ROWS_CONF, wide_rows(rows.sparkSession)):
+        kept = settle(met, label)
     names = kept.where(F.col("kind") == NAMES).select("flush", "owner", F.col("key").alias("name"))
     entries = kept.where(F.col("kind") == SHARED).select("flush", "owner", "key")
     sides = kept.where(F.col("kind") == SIDE).select("side")

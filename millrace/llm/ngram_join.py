@@ -24,7 +24,7 @@ from millrace.session import settle
 
 SHARE = 80  # hundredths of the union that linked sets have in common
 RARE = 32  # classes that hold a shingle indexed by itself
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 
 def _cut(words: int) -> meeting.Cut:

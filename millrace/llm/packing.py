@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import arrow_text, tokens
-from millrace.session import settle
+from millrace.session import ARROW_ROWS_CONF, setting, settle, wide_rows
 
 WINDOW = 2048
 OPEN = 64
@@ -116,7 +116,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, open_w
         return rest.drop(columns="merge_group")
 
     names = [f.name for f in _FOUND]
-    found = settle(docs.select("doc_id", "text").mapInArrow(run, ", ".join(f"{n} long" for n in names)), "packed")
+    with setting(docs.sparkSession, ARROW_ROWS_CONF, wide_rows(docs.sparkSession)):
+        found = settle(docs.select("doc_id", "text").mapInArrow(run, ", ".join(f"{n} long" for n in names)), "packed")
     final = found.where(F.col("merge_group").isNull()).select(*names[:-1])
     rest = found.where(F.col("merge_group").isNotNull())
     return final.unionByName(rest.groupBy("merge_group").applyInPandas(merge, PIECE))

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -12,6 +13,7 @@ from fractions import Fraction
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import (
     components,
@@ -19,6 +21,7 @@ from millrace.llm import (
     graph_ann,
     language_id,
     license_scan,
+    meeting,
     mixing,
     ngram_join,
     nra_topk,
@@ -29,7 +32,7 @@ from millrace.llm import (
     suffix_dedup,
     tokens,
 )
-from millrace.session import table
+from millrace.session import ARROW_ROWS_CONF, setting, table, wide_rows
 
 CLASHES = "key string, row_key string, run string, nth string, block string, n string, kept string, position string"
 
@@ -319,6 +322,17 @@ def test_pair_tables_are_the_filters():
     assert np.allclose(language_id.PairTables(net).probabilities(windows), want, atol=1e-5)
 
 
+def test_a_network_needs_little_memory():
+    net = language_id.untrained(("a", "b"))
+    text = np.random.default_rng(2).integers(32, 127, 512 * language_id.WINDOW).astype("u1")
+    language_id.predict(net, text[:1000], np.array([0, 1000]))
+    tracemalloc.start()
+    language_id.predict(net, text, np.arange(0, len(text) + 1, 4 * language_id.WINDOW))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12e6
+
+
 def test_quality_of_held_out_rows(spark, odd, empty):
     docs, labels = (table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
     scorer = pu_quality.fit(docs, labels, 800, 1600)
@@ -528,6 +542,18 @@ def test_ngram_join_is_brute_force(spark, odd, empty):
         assert sorted(got, key=key) == brute_components(many.collect(), 80)
 
 
+def test_workers_get_few_texts_at_a_time(spark):
+    def cut(batch, seen):
+        assert batch.num_rows <= 512
+        yield np.arange(1), np.zeros(2, "u4"), np.arange(2, dtype="u8"), None
+
+    before = spark.conf.get(ARROW_ROWS_CONF)
+    meeting.shared(spark.range(3000).coalesce(1).select("id", F.lit("text")), cut, "few")
+    assert spark.conf.get(ARROW_ROWS_CONF) == before
+    with setting(spark, ARROW_ROWS_CONF, "100"):
+        assert wide_rows(spark) == "100"
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 120)] + [(7, 7)]
     got = {tuple(r) for r in components.stars(spark.createDataFrame(links, "a long, b long")).collect()}
