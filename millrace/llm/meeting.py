@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from millrace.session import ARROW_ROWS_CONF, setting, settle, wide_rows
 
 FLUSH = 1 << 20  # entries sorted at a time
+PASSED = 1 << 16  # entries handed on in a batch, about
 BUCKETS = 8  # for each shuffle partition
 MARK = 0xFFFFFFFF
 LOW = np.uint64((1 << 48) - 1)
@@ -73,12 +74,13 @@ def shared(rows: DataFrame, cut: Cut, label: str) -> tuple[DataFrame, DataFrame]
         def row(kind: int, bucket: int, keys: bytes, owners: bytes) -> tuple:
             return bucket, kind, (task << 32) + flushed, keys, owners
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             nonlocal flushed, names, owners, keys, size, count
             k, o = np.concatenate(keys), np.concatenate(owners)
             keys, owners = [], []
             order = np.argsort(k)
             k, o = k[order], o[order]
+            del order
             same = np.concatenate([[False], k[1:] == k[:-1], [False]])
             twice = same[1:] | same[:-1]
             out = [row(NAMES, task * 31 + flushed, np.concatenate(names).astype("<i8").tobytes(), b"")]
@@ -92,10 +94,16 @@ def shared(rows: DataFrame, cut: Cut, label: str) -> tuple[DataFrame, DataFrame]
             one, of = one[order], of[order]
             homes = bucket_of(one, buckets)
             starts = np.flatnonzero(np.concatenate([[True], homes[1:] != homes[:-1]])) if len(one) else np.zeros(0, "i8")
+            waiting = 0
             for a, b in zip(starts, np.append(starts[1:], len(one))):
                 out.append(row(SINGLE, int(homes[a]), _planes(one[a:b], 6), _planes(of[a:b], 4)))
-            flushed, names, owners, keys, size, count = flushed + 1, [], [], [], 0, 0
-            return _batch(out)
+                waiting += b - a
+                if waiting >= PASSED:
+                    yield _batch(out)
+                    out, waiting = [], 0
+            if out:
+                yield _batch(out)
+            flushed, names, size, count = flushed + 1, [], 0, 0
 
         for batch in batches:
             for name, owner, key, side in cut(batch, seen):
@@ -108,9 +116,9 @@ def shared(rows: DataFrame, cut: Cut, label: str) -> tuple[DataFrame, DataFrame]
                     keys.append(key)
                     size, count = size + len(key), count + len(name)
                     if size >= FLUSH:
-                        yield flush()
+                        yield from flush()
         if size:
-            yield flush()
+            yield from flush()
         # A worker outlives its task; what it does not use goes back to the machine, where the executor needs it.
         seen.clear()
         pa.default_memory_pool().release_unused()
@@ -139,8 +147,10 @@ def shared(rows: DataFrame, cut: Cut, label: str) -> tuple[DataFrame, DataFrame]
                     at = bucket
                     held.append((flush, _numbers(keys, 6), _numbers(owners, 4)))
                 elif kind == SHARED:
-                    key = identity(np.frombuffer(keys, "<u8"), buckets)
-                    yield _found(SHARED, np.full(len(key), flush), np.frombuffer(owners, "<u4"), key)
+                    key, owner = np.frombuffer(keys, "<u8"), np.frombuffer(owners, "<u4")
+                    for a in range(0, len(key), PASSED):
+                        part = identity(key[a : a + PASSED], buckets)
+                        yield _found(SHARED, np.full(len(part), flush), owner[a : a + PASSED], part)
                 elif kind == NAMES:
                     names = np.frombuffer(keys, "<i8")
                     yield _found(NAMES, np.full(len(names), flush), np.arange(len(names)), names)
@@ -174,6 +184,6 @@ def _found(kind: int, flush: np.ndarray, owner: np.ndarray, key: np.ndarray, sid
         pa.array(flush.astype("i8")),
         pa.array(owner.astype("i8")),
         pa.array(key.astype("u8").view("i8") if key.dtype.kind == "u" else key.astype("i8")),
-        pa.array([side] * n, pa.binary()),
+        pa.nulls(n, pa.binary()) if side is None else pa.array([side] * n, pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(arrays, names=["kind", "flush", "owner", "key", "side"])
