@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from millrace.session import ARROW_ROWS_CONF, setting, settle, wide_rows
 
 FLUSH = 1 << 20  # entries sorted at a time
-PASSED = 1 << 16  # entries handed on in a batch, about
+PASSED = 1 << 16  # known entries handed on in a batch
 BUCKETS = 8  # for each shuffle partition
 MARK = 0xFFFFFFFF
 LOW = np.uint64((1 << 48) - 1)
@@ -74,13 +74,12 @@ def shared(rows: DataFrame, cut: Cut, label: str) -> tuple[DataFrame, DataFrame]
         def row(kind: int, bucket: int, keys: bytes, owners: bytes) -> tuple:
             return bucket, kind, (task << 32) + flushed, keys, owners
 
-        def flush() -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
             nonlocal flushed, names, owners, keys, size, count
             k, o = np.concatenate(keys), np.concatenate(owners)
             keys, owners = [], []
             order = np.argsort(k)
             k, o = k[order], o[order]
-            del order
             same = np.concatenate([[False], k[1:] == k[:-1], [False]])
             twice = same[1:] | same[:-1]
             out = [row(NAMES, task * 31 + flushed, np.concatenate(names).astype("<i8").tobytes(), b"")]
@@ -94,16 +93,10 @@ def shared(rows: DataFrame, cut: Cut, label: str) -> tuple[DataFrame, DataFrame]
             one, of = one[order], of[order]
             homes = bucket_of(one, buckets)
             starts = np.flatnonzero(np.concatenate([[True], homes[1:] != homes[:-1]])) if len(one) else np.zeros(0, "i8")
-            waiting = 0
             for a, b in zip(starts, np.append(starts[1:], len(one))):
                 out.append(row(SINGLE, int(homes[a]), _planes(one[a:b], 6), _planes(of[a:b], 4)))
-                waiting += b - a
-                if waiting >= PASSED:
-                    yield _batch(out)
-                    out, waiting = [], 0
-            if out:
-                yield _batch(out)
-            flushed, names, size, count = flushed + 1, [], 0, 0
+            flushed, names, owners, keys, size, count = flushed + 1, [], [], [], 0, 0
+            return _batch(out)
 
         for batch in batches:
             for name, owner, key, side in cut(batch, seen):
@@ -116,9 +109,9 @@ def shared(rows: DataFrame, cut: Cut, label: str) -> tuple[DataFrame, DataFrame]
                     keys.append(key)
                     size, count = size + len(key), count + len(name)
                     if size >= FLUSH:
-                        yield from flush()
+                        yield flush()
         if size:
-            yield from flush()
+            yield flush()
         # A worker outlives its task; what it does not use goes back to the machine, where the executor needs it.
         seen.clear()
         pa.default_memory_pool().release_unused()
