@@ -1,7 +1,10 @@
+import glob
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.session import CHECKPOINT_CONF, scratch_dir, scratch_root, settle
+from millrace.session import CHECKPOINT_CONF, CLEANUP_CONF, scratch_dir, scratch_root, settle
 from millrace.sources import jdbc, sinks, tabular, text
 
 
@@ -16,6 +19,21 @@ def test_settle_keeps_rows_and_schema(spark):
     assert kept.columns == df.columns and kept.count() == 10
 
 
+def test_settle_leaves_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {x for d in disk.localDirsString() for x in glob.glob(f"{d}/*/shuffle_*")}
+    before = shuffled()
+    sums = spark.range(20_000).groupBy((F.col("id") % 5_000).alias("k")).count()
+    settled = settle(sums.join(spark.range(5_000).withColumnRenamed("id", "k").repartition(3, "k"), "k"), "sums")
+    for _ in range(50):  # executors remove them after the write
+        left = shuffled() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert settled.count() == 5_000 and spark.conf.get(CLEANUP_CONF) == "false"
+
+
 def test_csv_keeps_bad_rows(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,day,name\n1,2024-01-02,"x, y"\nbad,2024-01-03,z\n3,not a day,\n')
     rows = tabular.read_csv(spark, str(tmp_path), "id long, day date, name string").orderBy("_corrupt_record").collect()
