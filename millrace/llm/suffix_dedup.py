@@ -423,6 +423,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDED
 
 
 def digest(removed: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and n_kept of the result of remove_repeats()."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept and kept_text of the result of remove_repeats().
+
+    kept_text: the remaining bytes as text; a character of which only some bytes remain becomes U+FFFD there. Hash and length are those of the bytes.
+    """
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-    return removed.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.octet_length("kept").cast("long").alias("n_kept"))
+    text = F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text")
+    return removed.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.octet_length("kept").cast("long").alias("n_kept"), text)

@@ -98,6 +98,16 @@ def test_suffix_dedup_is_brute_force(odd, crowded):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+def test_suffix_dedup_shows_the_kept_text(spark):
+    passage = " ".join("word%03d" % k for k in range(60))  # 60 words, 479 bytes
+    short = " ".join("w%03d" % k for k in range(60))  # 60 words, 299 bytes: less than a repeated string has
+    texts = ["one " + passage + " end", "two " + passage + " fin", "three " + short, "four " + short, "\u00e9" + "x" * 400, "\u0129" + "x" * 400, "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = sorted(suffix_dedup.digest(suffix_dedup.remove_repeats(docs)).collect())
+    assert [r["kept_text"] for r in rows] == ["one" + "end", "two" + "fin", texts[2], texts[3], "\ufffd", "\ufffd", "", ""]
+    assert [r["n_kept"] for r in rows] == [6, 6, 305, 304, 1, 1, 0, 0]
+
+
 @pytest.mark.parametrize("crowded", [4096, 40, 3])
 def test_crowded_buckets_are_brute_force(spark, crowded, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "UNIT", 16)
