@@ -5,12 +5,17 @@ windows, which two equal strings have at the same places. A string is a candidat
 Candidates are dealt by the least piece hash inside them, which equal strings share, and each bucket's suffixes are sorted
 by deep-shallow sorting. A common prefix of the given length with a neighbour is a repeat. A bucket that is too large for a task is dealt anew by
 all pieces inside its strings, and what is still crowded by whole strings; these smaller buckets are sorted alike.
+
+Passages of more than 50 words that are too short to be removed stay. Those that the kept text of two documents has are shown beside it.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +28,15 @@ from millrace.session import settle
 LENGTH = 400
 GRAM = 16  # bytes that an anchor's hash covers
 SPAN = 96  # places of which one is an anchor
+ALIKE = 2 * SPAN + GRAM  # bytes of the shortest string that has a piece for sure, and of a passage at least
+WORDS = 51  # words of a passage at least
 UNIT = 1024  # candidate places in a row of the exchange at most
 CROWDED = 1 << 16  # places of a bucket that are sorted together; a larger bucket is dealt anew by a longer key
 COMPARED = 1 << 18  # places whose whole strings are compared at a time before they are dealt
 BLOCK = 1 << 19
 SORTED = 1 << 21  # bytes of units sorted together, about
 _SEAM = 1 << 20  # bytes of a long text that are cut at a time
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 class Anchors:
@@ -36,7 +44,7 @@ class Anchors:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, length: int):
         own, cuts = data[offsets[0] : offsets[-1]], offsets - offsets[0]
-        self.length, self.cuts, n = length, cuts, len(own)
+        self.length, self.own, self.cuts, n = length, own, cuts, len(own)
         up, self.down = shingles._power_tables(n + 1)
         down = self.down
         sums = np.concatenate([np.zeros(1, "u8"), np.cumsum(shingles._RANDOM[own] * up[:n], dtype="u8")])
@@ -61,23 +69,52 @@ class Anchors:
         a, b = self.places[self.piece], self.places[self.piece + 1] + GRAM
         self.hashes = shingles.mixed((sums[b] - sums[a]) * down[a] + (b - a).astype("u8"))
 
+    @cached_property
+    def _number(self) -> np.ndarray:
+        """By place, the number of the anchor of the window that begins there."""
+        return np.searchsorted(self.places, self.least)
+
+    @cached_property
+    def _ends(self) -> np.ndarray:
+        """By place, the end of its text."""
+        return np.repeat(self.cuts[1:], np.diff(self.cuts))
+
+    def _strings(self, length: int, shared: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places whose string of `length` bytes has only shared pieces, and the numbers of its first and last anchor."""
+        last = length - GRAM + 1 - SPAN
+        rows = np.arange(max(0, len(self.least) - last))
+        rows = rows[rows + length <= self._ends[: len(rows)]]
+        from_, to = self._number[rows], self._number[rows + last]
+        if shared is None:
+            return rows, from_, to
+        lone = np.zeros(len(self.places) + 1, "i8")
+        lone[self.piece[~shared] + 1] = 1
+        lone = np.cumsum(lone)  # lone pieces before each anchor
+        good = lone[to] == lone[from_]
+        return rows[good], from_[good], to[good]
+
+    def alike(self, shared: np.ndarray, limit: int) -> list[tuple[int, int, int]]:
+        """Runs of places below `limit` whose string of ALIKE bytes has only shared pieces, if they may hold a passage: text, place, many."""
+        rows = self._strings(ALIKE, shared)[0]
+        rows = rows[rows < limit]
+        if not len(rows):
+            return []
+        heads = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1] + 1]))
+        first, last = rows[heads], rows[np.append(heads[1:], len(rows)) - 1]
+        spaces = np.concatenate([[0], np.cumsum((self.own == 0x20) | (self.own >= 0x09) & (self.own <= 0x0D))])
+        # A run that a stretch of a long text cuts off goes on in another stretch.
+        keep = (spaces[last + ALIKE] - spaces[first] >= WORDS - 1) | (first == 0) | (last == limit - 1)
+        first, last = first[keep], last[keep]
+        text = np.searchsorted(self.cuts, first, "right") - 1
+        return list(zip(text.tolist(), (first - self.cuts[text]).tolist(), (last + 1 - first).tolist(), strict=True))
+
     def candidates(self, shared: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Places whose string has only shared pieces, and a key of each: the least piece hash inside it.
 
         shared: by piece; without it all places count, and the key is a hash of all pieces inside a string.
         """
-        last = self.length - GRAM + 1 - SPAN
-        rows = np.arange(max(0, len(self.least) - last))
-        text = np.searchsorted(self.cuts, rows, "right") - 1
-        rows = rows[rows + self.length <= self.cuts[text + 1]] if len(rows) else rows
-        from_, to = np.searchsorted(self.places, self.least[rows]), np.searchsorted(self.places, self.least[rows + last])
+        rows, from_, to = self._strings(self.length, shared)
         number = len(self.places)
-        if shared is not None:
-            lone = np.zeros(number + 1, "i8")
-            lone[self.piece[~shared] + 1] = 1
-            lone = np.cumsum(lone)  # lone pieces before each anchor
-            good = lone[to] == lone[from_]
-            rows, from_, to = rows[good], from_[good], to[good]
         if not len(rows):
             return rows, np.zeros(0, "u8")
         new = np.ones(len(rows), bool)
@@ -119,6 +156,10 @@ _UNIT_FIELDS = [("key", pa.int64()), ("row_key", pa.int64()), ("place", pa.int64
 _UNITS = "key long, row_key long, place long, many long, body binary"
 
 
+def _batch(units: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*units, strict=True), _UNIT_FIELDS, strict=True)], names=[n for n, _ in _UNIT_FIELDS])
+
+
 class _Thinned:
     """Units of a task: of equal ones the first two go on with their bytes, the others are known to repeat and go on without.
 
@@ -152,11 +193,11 @@ class _Thinned:
                 else:
                     out.append((key, row, place, many, None))
                     known = number, place + many, len(out) - 1
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True), _UNIT_FIELDS, strict=True)], names=[n for n, _ in _UNIT_FIELDS])
+        return _batch(out)
 
 
 def _units(length: int, buckets: int):
-    """Units of neighbouring candidate places with the same key, and the bytes of their strings."""
+    """Units of neighbouring candidate places with the same key, and the bytes of their strings; without key and bytes, runs that may hold passages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         thinned = _Thinned(length)
@@ -168,7 +209,10 @@ def _units(length: int, buckets: int):
                 if flags.null_count == len(flags):
                     continue
                 found = Anchors(data, cuts, length)
-                rows, least = found.candidates(np.isin(meeting.identity(found.hashes, buckets), np.array(flags.flatten(), "i8")))
+                shared = np.isin(meeting.identity(found.hashes, buckets), np.array(flags.flatten(), "i8"))
+                if alike := found.alike(shared, limit):
+                    yield _batch([(None, names[a + number], base + place, many, None) for number, place, many in alike])
+                rows, least = found.candidates(shared)
                 rows, least = rows[rows < limit], least[rows < limit]
                 if len(rows):
                     yield thinned.units(found, rows, least, data[cuts[0] : cuts[-1]].tobytes(), names[a : a + len(cuts) - 1], [base] * (len(cuts) - 1))
@@ -263,7 +307,7 @@ def _singled(length: int):
             for row, place, body, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 out += [(w["string"], row, w["place"], 1, body[w["place"] - place : w["place"] - place + length]) for w in wanted]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True), _UNIT_FIELDS, strict=True)], names=[n for n, _ in _UNIT_FIELDS])
+                yield _batch(out)
 
     return run
 
@@ -359,18 +403,23 @@ def _by_whole_strings(units: DataFrame, length: int) -> DataFrame:
     return known.unionByName(_sorted(singled, length))
 
 
-def repeated_places(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDED) -> DataFrame:
-    """row_key, place, many: runs of places at which a string of `length` bytes begins that also begins elsewhere. docs: keyed().
-
-    A bucket with more than `crowded` places is dealt anew by all pieces inside its strings, and one that still has more by whole strings.
-    """
+def candidate_units(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Units of candidate places, and without a key the runs of places that may hold a passage. docs: keyed()."""
     if length < 2 * SPAN + GRAM:
         raise ValueError(f"repeated strings have at least {2 * SPAN + GRAM} bytes")
     texts = docs.select("row_key", "text")
     entries, _ = meeting.shared(texts, _pieces(length), "suffix-pieces")
     flags = entries.groupBy(F.col("owner").alias("row_key")).agg(F.collect_set("key").alias("pieces"))
     flagged = texts.join(flags, "row_key").select("row_key", "text", "pieces")
-    units = settle(flagged.mapInArrow(_units(length, meeting.bucket_count(docs.sparkSession)), _UNITS), "suffix-units")
+    return settle(flagged.mapInArrow(_units(length, meeting.bucket_count(docs.sparkSession)), _UNITS), "suffix-units")
+
+
+def repeated_places(units: DataFrame, length: int = LENGTH, crowded: int = CROWDED) -> DataFrame:
+    """row_key, place, many: runs of places at which a string of `length` bytes begins that also begins elsewhere. units: candidate_units().
+
+    A bucket with more than `crowded` places is dealt anew by all pieces inside its strings, and one that still has more by whole strings.
+    """
+    units = units.where(F.col("key").isNotNull())
     found = units.where(F.col("body").isNull()).select("row_key", "place", "many")
     units = units.where(F.col("body").isNotNull())
     heavy = _crowded(units, crowded, "suffix-crowded")
@@ -389,21 +438,106 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDE
     return found.unionByName(_by_whole_strings(still, length))
 
 
+_LEFT = "row_key long, stretches array<struct<start:long,end:long>>"
+
+
+def _left(length: int):
+    """What is kept of runs of alike places, if a passage has room there. Of a row: row_key, runs of alike places and of repeated ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, left = [], []
+            for row, alike, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                gone = _merged([(r["place"], r["place"] + r["many"] - 1 + length) for r in runs or ()])
+                ends, found = [b for _, b in gone], []
+                for start, end in _merged([(r["place"], r["place"] + r["many"]) for r in alike]):
+                    end += ALIKE - 1
+                    for a, b in gone[bisect.bisect_right(ends, start) :]:
+                        if a >= end:
+                            break
+                        if a - start >= ALIKE:
+                            found.append({"start": start, "end": a})
+                        start = max(start, b)
+                    if end - start >= ALIKE:
+                        found.append({"start": start, "end": end})
+                if found:
+                    rows.append(row)
+                    left.append(found)
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(left, _SPANS)], names=["row_key", "stretches"])
+
+    return run
+
+
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+_WINDOWS = "row_key long, start long, end long, mark binary, first boolean"
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Strings of WORDS whole words inside the stretches of a text: where, a hash, and whether the text has it for the first time."""
+    for batch in batches:
+        data, offsets = arrow_text.utf8_bytes(batch.column(1))
+        out = []
+        for k, (row, stretches) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+            text, seen = data[offsets[k] : offsets[k + 1]].tobytes(), set()
+            for s in stretches:
+                words = [m.span() for m in _WORD.finditer(text, s["start"], s["end"])]
+                if words and words[0][0] and not text[words[0][0] - 1 : words[0][0]].isspace():
+                    words = words[1:]
+                if words and words[-1][1] < len(text) and not text[words[-1][1] : words[-1][1] + 1].isspace():
+                    words = words[:-1]
+                for (a, _), (_, b) in zip(words, words[WORDS - 1 :]):
+                    if b - a >= ALIKE:
+                        mark = hashlib.blake2b(text[a:b], digest_size=16).digest()
+                        out.append((row, a, b, mark, mark not in seen))
+                        seen.add(mark)
+        columns = zip(*out, strict=True) if out else ([],) * 5
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["row_key", "start", "end", "mark", "first"])
+
+
+def left_passages(docs: DataFrame, units: DataFrame, held: DataFrame, length: int = LENGTH) -> DataFrame:
+    """row_key and strings: start and end of each string of WORDS words that the kept text of another document has too.
+
+    A string has ALIKE bytes at least, whole words of the text, and no removed byte. held: repeated places of `length` bytes by row_key.
+    """
+    alike = units.where(F.col("key").isNull()).groupBy("row_key").agg(F.collect_list(F.struct("place", "many")).alias("alike"))
+    stretches = settle(alike.join(held, "row_key", "left").select("row_key", "alike", "runs").mapInArrow(_left(length), _LEFT), "suffix-left")
+    windows = settle(docs.select("row_key", "text").join(stretches, "row_key").mapInArrow(_windows, _WINDOWS), "suffix-windows")
+    twice = windows.groupBy("mark").agg(F.count_if("first").alias("n")).where("n > 1").select("mark")
+    return windows.join(twice, "mark").groupBy("row_key").agg(F.collect_list(F.struct("start", "end")).alias("strings"))
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order, joined where they meet or overlap."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], b)
+        else:
+            out.append((a, b))
+    return out
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDED) -> DataFrame:
-    """doc_id, n_bytes, spans (start and end of each maximal removed run) and kept (the remaining bytes) of every row.
+    """doc_id, n_bytes, spans (start and end of each maximal removed run), kept (the remaining bytes) and passages of every row.
+
+    passages: start and end, in the text, of each maximal run of kept strings of 51 words that another document's kept text has too. They stay.
 
     Each byte goes that is covered by a string of `length` bytes which also begins anywhere else, in the same text or another; all copies go.
     Texts count as UTF-8 bytes, a null text as empty, and no string crosses texts. Rows that repeat are documents of their own: their
     long strings repeat. A null id is kept. Columns besides doc_id and text are ignored.
     """
     rows = keyed(docs)
-    runs = settle(repeated_places(rows, length, crowded), "suffix-repeats")
+    units = candidate_units(rows, length)
+    runs = settle(repeated_places(units, length, crowded), "suffix-repeats")
     held = runs.groupBy("row_key").agg(F.collect_list(F.struct("place", "many")).alias("runs"))
+    left = left_passages(rows, units, held, length)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = arrow_text.utf8_bytes(batch.column(1))
             found, kept = [], []
+            passages = [[{"start": a, "end": b} for a, b in _merged([(s["start"], s["end"]) for s in strings or ()])] for strings in batch.column(3).to_pylist()]
             for k, runs in enumerate(batch.column(2).to_pylist()):
                 own = data[offsets[k] : offsets[k + 1]]
                 gone = np.zeros(len(own) + 2, "i4")
@@ -414,19 +548,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, crowded: int = CROWDED
                 edges = np.flatnonzero(covered[1:] != covered[:-1])
                 found.append([{"start": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2])])
                 kept.append(own[~covered[1:-1]].tobytes() if runs else own.tobytes())
-            spans = pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets)), spans, pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
+            columns = [batch.column(0), pa.array(np.diff(offsets)), pa.array(found, _SPANS), pa.array(kept, pa.binary()), pa.array(passages, _SPANS)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "spans", "kept", "passages"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    joined = rows.join(held, "row_key", "left").select("doc_id", "text", "runs")
-    return joined.mapInArrow(cut, f"doc_id {kind}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    joined = rows.join(held, "row_key", "left").join(left, "row_key", "left").select("doc_id", "text", "runs", "strings")
+    return joined.mapInArrow(cut, f"doc_id {kind}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, passages array<struct<start:long,end:long>>")
 
 
 def digest(removed: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept and kept_text of the result of remove_repeats().
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept, kept_text, n_left and n_repeated of the result of remove_repeats().
 
     kept_text: the remaining bytes as text; a character of which only some bytes remain becomes U+FFFD there. Hash and length are those of the bytes.
+    n_left: kept bytes in passages of more than 50 words that another document's kept text has too. n_repeated: n_removed and n_left together.
     """
-    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    gone, left = (F.aggregate(c, F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]) for c in ("spans", "passages"))
     text = F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text")
-    return removed.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.octet_length("kept").cast("long").alias("n_kept"), text)
+    return removed.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.octet_length("kept").cast("long").alias("n_kept"), text, left.alias("n_left"), (gone + left).alias("n_repeated"))

@@ -108,6 +108,43 @@ def test_suffix_dedup_shows_the_kept_text(spark):
     assert [r["n_kept"] for r in rows] == [6, 6, 305, 304, 1, 1, 0, 0]
 
 
+def left_of(texts, length):
+    """Kept bytes in strings of 51 words, of 208 bytes at least, that another text's kept bytes have too."""
+    windows = []
+    for t, gone in zip(texts, spans_of(texts, length), strict=True):
+        words = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)]
+        spans = [(a, b) for (a, _), (_, b) in zip(words, words[50:]) if b - a >= 208 and all(b <= x or a >= y for x, y in gone)]
+        windows.append(spans)
+    has = Counter(w for t, spans in zip(texts, windows, strict=True) for w in {t[a:b] for a, b in spans})
+    return [len({i for a, b in spans if has[t[a:b]] > 1 for i in range(a, b)}) for t, spans in zip(texts, windows, strict=True)]
+
+
+@pytest.mark.parametrize("seam", [1 << 20, 700])
+def test_passages_under_the_removed_length_are_shown(spark, monkeypatch, seam):
+    monkeypatch.setattr(suffix_dedup, "_SEAM", seam)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", min(seam, suffix_dedup.BLOCK))
+    r = random.Random(21)
+    prose = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7))) for _ in range(n))
+    passages = [prose(n) for n in (51, 55, 60, 52, 50, 45)]
+    assert all(208 < len(p) < 400 for p in passages)
+    texts = [prose(r.randint(0, 200)) + r.choice([" ", "\n", ""]) + p + r.choice([" ", ". ", "x"]) + prose(r.randint(0, 200)) for p in passages[:5] * 6]
+    texts += [passages[5] + " " + prose(10), prose(300) + " " + passages[0].replace(" ", "\n"), passages[1], passages[1]]
+    alone, both, short = prose(58), prose(56), "ab " * 60
+    texts += [" ".join([prose(20), alone, prose(30), alone]), short + prose(40), short + prose(50)]  # repeats in its text only; words too short
+    copy = prose(70) + " " + both + " " + prose(70)  # both: removed in two texts, kept in one
+    texts += ["1 " + copy, "2 " + copy, prose(30) + " " + both + " " + prose(9), "", None]
+    rows = list(enumerate(texts))
+    rows.append((texts.index(passages[1]), passages[1]))  # a row that repeats is a document of its own
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    data = [(t or "").encode() for _, t in rows]
+    want = sorted(zip([k for k, _ in rows], left_of(data, 400), [sum(b - a for a, b in s) for s in spans_of(data, 400)], strict=True))
+    found = suffix_dedup.digest(suffix_dedup.remove_repeats(docs)).collect()
+    got = sorted((x["doc_id"], x["n_left"], x["n_removed"]) for x in found)
+    assert got == want
+    assert sum(n > 0 for _, n, _ in got) > 20 and sum(n > 0 for *_, n in got) >= 2
+    assert all(x["n_repeated"] == x["n_left"] + x["n_removed"] for x in found)
+
+
 @pytest.mark.parametrize("crowded", [4096, 40, 3])
 def test_crowded_buckets_are_brute_force(spark, crowded, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "UNIT", 16)
