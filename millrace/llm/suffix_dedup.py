@@ -502,7 +502,9 @@ def left_passages(docs: DataFrame, units: DataFrame, held: DataFrame, length: in
     """
     alike = units.where(F.col("key").isNull()).groupBy("row_key").agg(F.collect_list(F.struct("place", "many")).alias("alike"))
     stretches = settle(alike.join(held, "row_key", "left").select("row_key", "alike", "runs").mapInArrow(_left(length), _LEFT), "suffix-left")
-    windows = settle(docs.select("row_key", "text").join(stretches, "row_key").mapInArrow(_windows, _WINDOWS), "suffix-windows")
+    # The stretches grow with the corpus, so they are dealt out at every size instead of being sent whole to every task.
+    texts = docs.select("row_key", "text").join(stretches.hint("merge"), "row_key")
+    windows = settle(texts.mapInArrow(_windows, _WINDOWS), "suffix-windows")
     twice = windows.groupBy("mark").agg(F.count_if("first").alias("n")).where("n > 1").select("mark")
     return windows.join(twice, "mark").groupBy("row_key").agg(F.collect_list(F.struct("start", "end")).alias("strings"))
 
