@@ -15,7 +15,7 @@ from millrace.session import scratch_dir, spread, table
 # Bounds of the sketches: count-min as a share of all items with a confidence, Bloom as a share of strangers let through.
 COUNT_MIN_ERROR, COUNT_MIN_CONFIDENCE = 1e-4, 0.99
 BLOOM_RATE = 0.01
-ANONYMITY, CUT_ROUNDS, QUASI = 5, 12, ("segment", "c_nationkey", "cents")
+ANONYMITY, QUASI = 5, ("segment", "c_nationkey", "cents")
 TREE_DEPTH, BLOCK = 6, 1000
 
 
@@ -131,7 +131,7 @@ def _quasi_rows(spark, sf_dir):
 
 def g2_mondrian(spark, sf_dir):
     """What is published of each group of at least five customers: ranges that follow the data."""
-    grouped = mondrian.mondrian(_quasi_rows(spark, sf_dir), QUASI, ANONYMITY, CUT_ROUNDS)
+    grouped = mondrian.mondrian(_quasi_rows(spark, sf_dir), QUASI, ANONYMITY)
     return mondrian.generalised(grouped, QUASI).withColumnRenamed("_group", "cuts")
 
 
@@ -304,7 +304,7 @@ _ROW_HASH = f"sha256({' || '.join(_cell(c, kind) for c, kind in _CUSTOMER.items(
 
 _QUASI = f"""q AS (SELECT c_custkey, CAST(list_position((SELECT list(DISTINCT c_mktsegment ORDER BY c_mktsegment) FROM customer), c_mktsegment) AS BIGINT) AS segment, c_nationkey,
           CAST(round(c_acctbal * 100) AS BIGINT) AS cents FROM customer),
-        {mondrian.mondrian_sql('q', QUASI, ANONYMITY, CUT_ROUNDS)}"""
+        {mondrian.mondrian_sql('q', QUASI, ANONYMITY)}"""
 _STEPS = "steps AS (SELECT count(*) AS n FROM customer GROUP BY c_mktsegment, c_nationkey, floor(c_acctbal / 2500) HAVING count(*) >= 5)"
 
 
@@ -337,8 +337,8 @@ def _tree(name: str, source: str) -> str:
 
 
 ORACLES = {
-    "g2_mondrian": f"""WITH {_QUASI} SELECT _group AS cuts, count(*) AS n, {', '.join(f"min({c}) AS {c}_low, max({c}) AS {c}_high" for c in QUASI)} FROM grouped GROUP BY 1""",
-    "g2_suppressed": f"""WITH {_QUASI}, {_STEPS}, cuts AS (SELECT count(*) AS n FROM grouped GROUP BY _group)
+    "g2_mondrian": f"""WITH RECURSIVE {_QUASI} SELECT _group AS cuts, count(*) AS n, {', '.join(f"min({c}) AS {c}_low, max({c}) AS {c}_high" for c in QUASI)} FROM grouped GROUP BY 1""",
+    "g2_suppressed": f"""WITH RECURSIVE {_QUASI}, {_STEPS}, cuts AS (SELECT count(*) AS n FROM grouped GROUP BY _group)
         SELECT 'steps' AS method, CAST((SELECT count(*) FROM customer) - sum(n) AS BIGINT) AS suppressed, count(*) AS n_groups, min(n) AS least FROM steps
         UNION ALL SELECT 'cuts', CAST((SELECT count(*) FROM customer) - sum(n) AS BIGINT), count(*), min(n) FROM cuts""",
     "g6_log_chain": f"WITH {_LOG}, {_blocks('k', 'g')} SELECT * FROM k",

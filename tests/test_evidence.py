@@ -9,10 +9,12 @@ import sys
 import time
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import evidence, mondrian, profiling
+from millrace.plans import trust
 from millrace.streaming import jobs, offsets
 
 # Trees and logs
@@ -142,6 +144,28 @@ def test_published_ranges_hold_their_rows(spark):
     assert mondrian.mondrian(df.where("false"), ["a", "b"], 5, 3).count() == 0
 
 
+def test_cuts_go_on_until_no_group_can_be_cut(spark, tmp_path):
+    r = random.Random(3)
+    rows = [(i, r.choice(["A", "B", "C"]), r.randint(0, 24), r.randint(-99_999, 999_999) / 100) for i in range(45_000)]
+    customer = spark.createDataFrame(rows, "c_custkey long, c_mktsegment string, c_nationkey int, c_acctbal double").coalesce(1)
+    customer.write.parquet(str(tmp_path / "customer.parquet"))
+    published = {g["cuts"]: g["n"] for g in trust.g2_mondrian(spark, str(tmp_path)).collect()}
+    # A group of ten different balances can be halved, which takes more than twelve rounds here.
+    assert max(map(len, published)) > 12 and sum(published.values()) == 45_000 and 5 <= min(published.values()) and max(published.values()) < 12
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+    assert published == {row[0]: row[1] for row in con.sql(trust.ORACLES["g2_mondrian"]).fetchall()}
+
+
+def test_cuts_by_one_task_are_those_of_all_tasks(spark):
+    r = random.Random(5)
+    rows = [(i, r.choice([0, 0, 0, 1, 7]), round(r.gauss(0, 3), 1), r.choice([None, 1.5, 2.5, float("nan")]) if i % 9 == 0 else 2.0) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, a int, b double, c double")
+    for columns, rounds in ((["a", "b"], None), (["a", "b", "c"], 3)):
+        one, all_ = (mondrian.mondrian(df, columns, 20, rounds, local_rows) for local_rows in (1000, 60))
+        assert {g["id"]: g["_group"] for g in one.collect()} == {g["id"]: g["_group"] for g in all_.collect()}
+
+
 # Offsets
 
 
