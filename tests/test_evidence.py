@@ -155,6 +155,8 @@ def test_cuts_go_on_until_no_group_can_be_cut(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
     assert published == {row[0]: row[1] for row in con.sql(trust.ORACLES["g2_mondrian"]).fetchall()}
+    cuts = trust.g2_suppressed(spark, str(tmp_path)).where("method = 'cuts'").first()
+    assert (cuts["suppressed"], cuts["n_groups"], cuts["least"]) == (0, len(published), min(published.values()))
 
 
 def test_cuts_by_one_task_are_those_of_all_tasks(spark):
