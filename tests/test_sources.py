@@ -90,3 +90,27 @@ def test_trees_of_many_folders_are_listed_and_read_by_few_tasks(spark, tmp_path)
         assert files.rdd.getNumPartitions() <= sc.defaultParallelism + 1
         assert sorted(r["value"] for r in files.collect()) == sorted(f"text {i}" for i in range(600))
     assert held.where("length between 6 and 8").count() == 600
+
+
+def test_folders_of_text_are_those_of_spark(spark, tmp_path):
+    rows = [("a b", 1, "one\n\u00e9"), ("a b", 2, ""), ("x/y=%1:[z]", 3, None), (None, 4, "four"), ("", 5, "five"), ("a b", None, "six"), ("a b", 1, "one\n\u00e9")]
+    df = spark.createDataFrame(rows, "source string, doc_id long, value string").repartition(3, "source", "doc_id")
+    sinks.write_text_folders(df, f"file://{tmp_path}/ours", ["source", "doc_id"], "\0")
+    df.write.partitionBy("source", "doc_id").option("lineSep", "\0").text(f"{tmp_path}/spark")
+    ours, theirs = (sorted((str(f.parent.relative_to(tmp_path / t)), f.read_bytes()) for f in (tmp_path / t).rglob("*=*/part-*.txt")) for t in ("ours", "spark"))
+    assert ours == theirs and len(ours) == 6
+    assert not [f for f in (tmp_path / "ours").rglob(".*") if f.is_file()]
+    sinks.write_text_folders(df.where("false"), f"{tmp_path}/none", ["source", "doc_id"], "\0")
+    assert text.scan_text_tree(spark, f"{tmp_path}/none", "*.txt").count() == 0
+
+
+def test_many_folders_of_text_start_no_process_each(spark, tmp_path):
+    def started():
+        with open("/proc/stat") as f:
+            return int(next(line for line in f if line.startswith("processes")).split()[1])
+
+    df = spark.range(2000).select(F.lit("s").alias("source"), F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("value"))
+    before = started()
+    sinks.write_text_folders(df, str(tmp_path / "t"), ["source", "doc_id"], "\0")
+    assert started() - before < 2000
+    assert text.file_inventory(spark, str(tmp_path / "t")).count() == 2000
